@@ -64,6 +64,9 @@ def r6(expr: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6)"
 
 
+_r6 = r6
+
+
 # ------------------------------------------------------------------ ranked lists
 
 
@@ -134,8 +137,8 @@ def _floor_k(mult: float) -> str:
 
 
 # per-topic value SQL over `rows`, grouped by (run_id, qid); returns list of (name, expr)
-def _measure_exprs(name: str) -> list[tuple[str, str]]:
-    cut = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
+def _measure_exprs(name: str, cuts=None) -> list[tuple[str, str]]:
+    cut = tuple(cuts) if cuts else (5, 10, 15, 20, 30, 100, 200, 500, 1000)
     if name == "num_ret":
         return [("num_ret", "count(*)")]
     if name == "num_rel":
@@ -180,7 +183,7 @@ def _measure_exprs(name: str) -> list[tuple[str, str]]:
     if name == "relative_P":
         return [(f"relative_P_{k}", f"CASE WHEN max(R) > 0 THEN {relk(k)} / least(max(R), {k}) ELSE 0 END") for k in cut]
     if name == "success":
-        return [(f"success_{k}", f"CASE WHEN {relk(k)} > 0 THEN 1.0 ELSE 0.0 END") for k in (1, 5, 10)]
+        return [(f"success_{k}", f"CASE WHEN {relk(k)} > 0 THEN 1.0 ELSE 0.0 END") for k in (cuts or (1, 5, 10))]
     if name == "map_cut":
         return [(f"map_cut_{k}", f"CASE WHEN max(R) > 0 THEN sum(CASE WHEN is_rel = 1 AND rank <= {k} THEN cum_rel / rank ELSE 0 END) / max(R) ELSE 0 END") for k in cut]
     if name == "Rprec_mult":
@@ -233,9 +236,11 @@ SUMMED = {"num_ret", "num_rel", "num_rel_ret", "num_nonrel_judged_ret"}
 GEO = {"gm_map", "gm_bpref"}
 
 
-def measure_sql(name: str, run_sql: str = DEEP_RUN, qrels_sql: str = DEEP_QRELS, level: int = 1) -> str:
+def measure_sql(name: str, run_sql: str = DEEP_RUN, qrels_sql: str = DEEP_QRELS, level: int = 1,
+                cuts=None, rounded: bool = True) -> str:
     """Per-topic rows + summary row (qid 'all') for one measure, like the Spark query."""
-    exprs = _measure_exprs(name)
+    r6 = _r6 if rounded else (lambda e: f"CAST({e} AS DOUBLE)")
+    exprs = _measure_exprs(name, cuts)
     with_ideal = name in ("ndcg", "G", "ndcg_rel", "ndcg_cut", "Rndcg")
     src = "rows"
     extra = ""
@@ -296,3 +301,99 @@ SELECT run_id, qid, 'relstring' AS measure,
        string_agg(CASE WHEN rel BETWEEN 0 AND 9 THEN CAST(rel AS VARCHAR) WHEN rel > 9 THEN '>'
                        WHEN rel = -1 THEN '-' WHEN rel = -2 THEN '.' ELSE '<' END, '' ORDER BY rank) AS value
 FROM ranked WHERE rank <= {length} GROUP BY run_id, qid"""
+
+
+# ------------------------------------------------------------------ judgment groups
+
+
+def jg_rows_cte(run_sql: str = DEEP_RUN, qrels_sql: str = DEEP_QRELS_JG) -> str:
+    return f"""
+run AS ({run_sql}),
+qrels AS ({qrels_sql}),
+groups AS (SELECT DISTINCT qid, jg FROM qrels),
+ranked0 AS (
+  SELECT run_id, qid, docno,
+         row_number() OVER (PARTITION BY run_id, qid ORDER BY sim DESC, docno DESC) AS rank
+  FROM run WHERE qid IN (SELECT qid FROM qrels)),
+ranked AS (
+  SELECT r.run_id, r.qid, g.jg, r.docno, r.rank,
+         CASE WHEN q.rel IS NULL THEN -1 WHEN q.rel < 0 THEN -2 ELSE q.rel END AS rel
+  FROM ranked0 r JOIN groups g ON r.qid = g.qid
+  LEFT JOIN qrels q ON r.qid = q.qid AND g.jg = q.jg AND r.docno = q.docno),
+tj AS (SELECT qid, jg, sum(CASE WHEN rel >= 1 THEN 1 ELSE 0 END) AS R FROM qrels GROUP BY qid, jg),
+rows AS (
+  SELECT k.*, tj.R, CASE WHEN k.rel >= 1 THEN 1 ELSE 0 END AS is_rel,
+         sum(CASE WHEN k.rel >= 1 THEN 1 ELSE 0 END) OVER (PARTITION BY k.run_id, k.qid, k.jg ORDER BY k.rank
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_rel
+  FROM ranked k JOIN tj ON k.qid = tj.qid AND k.jg = tj.jg)"""
+
+
+def jg_measure_sql(name: str) -> str:
+    cut = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
+    if name == "map_avgjg":
+        exprs = [("map_avgjg", "CASE WHEN max(R) > 0 THEN sum(CASE WHEN is_rel = 1 THEN cum_rel / rank ELSE 0 END) / max(R) ELSE 0 END")]
+    elif name == "P_avgjg":
+        exprs = [(f"P_avgjg_{k}", f"sum(CASE WHEN is_rel = 1 AND rank <= {k} THEN 1 ELSE 0 END) / {k}.0") for k in cut]
+    else:
+        exprs = []
+        for m in (0.2, 0.4, 0.6, 0.8, 1.0, 1.2, 1.4, 1.6, 1.8, 2.0):
+            k = _floor_k(m)
+            exprs.append((f"Rprec_mult_avgjg_{m:3.2f}",
+                          f"CASE WHEN max({k}) > 0 THEN sum(CASE WHEN is_rel = 1 AND rank <= {k} THEN 1 ELSE 0 END) / max({k}) ELSE 0 END"))
+    cols = ",\n       ".join(f"{e} AS \"{n}\"" for n, e in exprs)
+    unp = " UNION ALL ".join(f"SELECT run_id, qid, jg, '{n}' AS measure, CAST(\"{n}\" AS DOUBLE) AS value FROM wide" for n, _ in exprs)
+    return f"""WITH {jg_rows_cte()},
+wide AS (SELECT run_id, qid, jg, {cols} FROM rows GROUP BY run_id, qid, jg),
+long AS ({unp}),
+topic AS (SELECT run_id, qid, measure, avg(value) AS value FROM long GROUP BY run_id, qid, measure)
+SELECT run_id, qid, measure, {r6('value')} AS value FROM topic
+UNION ALL SELECT run_id, 'all', measure, {r6('avg(value)')} FROM topic GROUP BY run_id, measure"""
+
+
+# ------------------------------------------------------------------ ranked-list operators
+
+RANKED_COLS = "run_id, qid, docno, sim, rank, rel"
+
+
+def ranked_sql(run_sql=TIED_RUN, qrels_sql=DEEP_QRELS, max_docs=None, judged_only=False) -> str:
+    return f"WITH {ranked_cte(run_sql, qrels_sql, max_docs, judged_only)}\nSELECT {RANKED_COLS} FROM ranked"
+
+
+def topic_stats_sql(run_sql=DEEP_RUN, qrels_sql=DEEP_QRELS) -> str:
+    return f"""WITH {ranked_cte(run_sql, qrels_sql)},
+j AS (SELECT qid, CAST(sum(CASE WHEN rel >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS num_rel,
+             CAST(sum(CASE WHEN rel >= 0 AND rel < 1 THEN 1 ELSE 0 END) AS BIGINT) AS num_nonrel FROM qrels GROUP BY qid)
+SELECT r.run_id, r.qid, CAST(count(*) AS BIGINT) AS num_ret,
+       CAST(sum(CASE WHEN rel >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS num_rel_ret,
+       CAST(sum(CASE WHEN rel = -1 THEN 1 ELSE 0 END) AS BIGINT) AS num_nonpool,
+       CAST(sum(CASE WHEN rel = -2 THEN 1 ELSE 0 END) AS BIGINT) AS num_unjudged,
+       max(j.num_rel) AS num_rel, max(j.num_nonrel) AS num_nonrel
+FROM ranked r JOIN j ON r.qid = j.qid GROUP BY r.run_id, r.qid"""
+
+
+RAW_RUN_KEYS = """
+SELECT CAST(l_suppkey AS VARCHAR) AS qid,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS docno
+FROM lineitem"""
+
+RAW_QRELS_KEYS = """
+SELECT CAST(l_suppkey AS VARCHAR) AS qid,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS docno
+FROM lineitem WHERE l_returnflag <> 'N' OR l_linestatus = 'F'"""
+
+
+def duplicates_sql(src: str) -> str:
+    return f"SELECT qid, docno, CAST(count(*) AS BIGINT) AS n FROM ({src}) s GROUP BY qid, docno HAVING count(*) > 1"
+
+
+def summary_rows_sql(names, run_sql, qrels_sql=DEEP_QRELS, only_all=True, level=1) -> str:
+    parts = []
+    for n in names:
+        sql = rndcg_sql(run_sql, qrels_sql, level) if n == "Rndcg" else measure_sql(n, run_sql, qrels_sql, level)
+        parts.append(f"SELECT * FROM ({sql}) x" + (" WHERE qid = 'all'" if only_all else ""))
+    return "\nUNION ALL\n".join(parts)
+
+
+def num_q_sql(run_sql, qrels_sql=DEEP_QRELS) -> str:
+    return f"""SELECT run_id, 'all' AS qid, 'num_q' AS measure, CAST(count(DISTINCT qid) AS DOUBLE) AS value
+FROM ({run_sql}) r WHERE qid IN (SELECT qid FROM ({qrels_sql}) q) GROUP BY run_id"""

@@ -56,3 +56,187 @@ register("Rndcg", O.rndcg_sql())(_measure_query("Rndcg"))
 @register("relstring", O.relstring_sql())
 def q_relstring(spark, sf):
     return evaluate_text(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["relstring"])
+
+
+# ------------------------------------------------------------------ judgment groups
+
+from ranklens.plans.evaluate import evaluate_jg  # noqa: E402
+from ranklens.operators import ranked as RK  # noqa: E402
+
+
+def _jg_query(name):
+    def q(spark, sf):
+        df = evaluate_jg(T.deep_run(spark, sf), T.deep_qrels_jg(spark, sf), [name])
+        return _r6(df.where(F.col("measure") != "num_q"))
+
+    return q
+
+
+for _m in ("map_avgjg", "P_avgjg", "Rprec_mult_avgjg"):
+    register(_m, O.jg_measure_sql(_m))(_jg_query(_m))
+
+
+# ------------------------------------------------------------------ ranked-list operators
+
+_RANKED = ["run_id", "qid", "docno", "sim", "rank", "rel"]
+
+
+@register("ranked", O.ranked_sql(O.TIED_RUN))
+def q_ranked(spark, sf):
+    return RK.build_ranked(T.tied_run(spark, sf), T.deep_qrels(spark, sf)).select(*_RANKED)
+
+
+@register("max_docs", O.ranked_sql(O.DEEP_RUN, max_docs=100))
+def q_max_docs(spark, sf):
+    return RK.build_ranked(T.deep_run(spark, sf), T.deep_qrels(spark, sf), max_docs_=100).select(*_RANKED)
+
+
+@register("judged_only", O.ranked_sql(O.DEEP_RUN, judged_only=True))
+def q_judged_only(spark, sf):
+    return RK.build_ranked(T.deep_run(spark, sf), T.deep_qrels(spark, sf), judged_only_=True).select(*_RANKED)
+
+
+@register("relevance_level", O.measure_sql("map", level=2))
+def q_relevance_level(spark, sf):
+    df = evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["map"], relevance_level=2)
+    return _r6(df.where(F.col("measure") != "num_q"))
+
+
+@register("topic_stats", O.topic_stats_sql())
+def q_topic_stats(spark, sf):
+    qrels = T.deep_qrels(spark, sf)
+    ranked = RK.build_ranked(T.deep_run(spark, sf), qrels)
+    return RK.topic_stats(ranked, qrels)
+
+
+@register("topic_join", f"""SELECT DISTINCT run_id, qid FROM ({O.TRUNC_RUN}) r
+WHERE qid IN (SELECT qid FROM ({O.DEEP_QRELS}) q)""")
+def q_topic_join(spark, sf):
+    return RK.topic_join(T.trunc_run(spark, sf), T.deep_qrels(spark, sf)).select("run_id", "qid").distinct()
+
+
+@register("ranked_jg", f"WITH {O.jg_rows_cte()} SELECT run_id, qid, jg, docno, rank, CAST(rel AS INTEGER) AS rel FROM ranked")
+def q_ranked_jg(spark, sf):
+    return RK.build_ranked_jg(T.deep_run(spark, sf), T.deep_qrels_jg(spark, sf)).select(
+        "run_id", "qid", "jg", "docno", "rank", "rel"
+    )
+
+
+def _complete_sql():
+    judged = f"(SELECT count(DISTINCT qid) FROM ({O.DEEP_QRELS}) q)"
+    m = f"SELECT * FROM ({O.measure_sql('map', O.TRUNC_RUN, rounded=False)}) x WHERE qid <> 'all'"
+    g = f"SELECT * FROM ({O.measure_sql('gm_map', O.TRUNC_RUN, rounded=False)}) x WHERE qid = 'all'"
+    # gm_map per-topic logs are not printed; rebuild them from the per-topic map values
+    return f"""WITH m AS ({m}),
+nq AS (SELECT {judged} AS n)
+SELECT run_id, 'all' AS qid, 'map' AS measure, round(sum(value) / max(n), 6) AS value FROM m, nq GROUP BY run_id
+UNION ALL
+SELECT run_id, 'all', 'gm_map', round(exp((sum(ln(greatest(value, 1e-5))) + (max(n) - count(*)) * ln(1e-5)) / max(n)), 6) FROM m, nq GROUP BY run_id
+UNION ALL
+SELECT run_id, 'all', 'num_q', CAST(max(n) AS DOUBLE) FROM m, nq GROUP BY run_id"""
+
+
+@register("complete_topics", _complete_sql())
+def q_complete_topics(spark, sf):
+    df = evaluate(T.trunc_run(spark, sf), T.deep_qrels(spark, sf), ["map", "gm_map"], complete=True, per_topic=False)
+    return _r6(df)
+
+
+@register("validate_run", O.duplicates_sql(O.RAW_RUN_KEYS))
+def q_validate_run(spark, sf):
+    li = T.table(spark, sf, "lineitem")
+    raw = li.select(F.col("l_suppkey").cast("string").alias("qid"), T._doc_key().alias("docno"))
+    return RK.duplicates(raw)
+
+
+@register("validate_qrels", O.duplicates_sql(O.RAW_QRELS_KEYS))
+def q_validate_qrels(spark, sf):
+    li = T.table(spark, sf, "lineitem").where((F.col("l_returnflag") != "N") | (F.col("l_linestatus") == "F"))
+    raw = li.select(F.col("l_suppkey").cast("string").alias("qid"), T._doc_key().alias("docno"))
+    return RK.duplicates(raw)
+
+
+_TOP_SUPPLIER = "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 1)"
+
+
+@register("topic_filter", O.summary_rows_sql(["map", "P"], f"SELECT * FROM ({O.DEEP_RUN}) r WHERE qid IN {_TOP_SUPPLIER}", only_all=False))
+def q_topic_filter(spark, sf):
+    sup = T.table(spark, sf, "supplier")
+    top = sup.orderBy(F.col("s_acctbal").desc(), F.col("s_suppkey")).limit(1).select(F.col("s_suppkey").cast("string").alias("qid"))
+    run = RK.topic_filter(T.deep_run(spark, sf), top)
+    df = evaluate(run, T.deep_qrels(spark, sf), ["map", "P"])
+    return _r6(df.where(F.col("measure") != "num_q"))
+
+
+@register("runid", f"SELECT DISTINCT run_id, 'all' AS qid, 'runid' AS measure, run_id AS value FROM ({O.DEEP_RUN}) r")
+def q_runid(spark, sf):
+    return evaluate_text(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["runid"])
+
+
+@register("num_q", O.num_q_sql(O.DEEP_RUN))
+def q_num_q(spark, sf):
+    return _r6(evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["map"], per_topic=False).where(F.col("measure") == "num_q"))
+
+
+_TWO_RUNS = f"{O.DEEP_RUN} UNION ALL {O.TIED_RUN}"
+_SUMMARY_MEASURES = ["num_ret", "map", "gm_map", "P", "ndcg", "bpref"]
+
+
+def _two_runs(spark, sf):
+    return T.deep_run(spark, sf).unionByName(T.tied_run(spark, sf))
+
+
+@register("summary", O.summary_rows_sql(_SUMMARY_MEASURES, _TWO_RUNS) + "\nUNION ALL\n" + O.num_q_sql(_TWO_RUNS))
+def q_summary(spark, sf):
+    return _r6(evaluate(_two_runs(spark, sf), T.deep_qrels(spark, sf), _SUMMARY_MEASURES, per_topic=False))
+
+
+@register("per_topic", O.summary_rows_sql(["map", "recip_rank"], _TWO_RUNS, only_all=False))
+def q_per_topic(spark, sf):
+    df = evaluate(_two_runs(spark, sf), T.deep_qrels(spark, sf), ["map", "recip_rank"])
+    return _r6(df.where(F.col("measure") != "num_q"))
+
+
+def _zscore_sql():
+    pt = "\nUNION ALL\n".join(
+        f"SELECT * FROM ({O.measure_sql(n, _TWO_RUNS, rounded=False)}) x WHERE qid <> 'all'" for n in ("map", "P")
+    )
+    return f"""WITH pt AS ({pt}),
+zref AS (SELECT qid, measure, avg(value) AS mean, stddev_samp(value) AS sd FROM pt GROUP BY qid, measure),
+z AS (
+  SELECT p.run_id, p.qid, 'Z' || p.measure AS measure,
+         CASE WHEN z.mean IS NULL THEN -1000000.0
+              WHEN z.sd = 0 THEN CASE WHEN p.value = z.mean THEN 0.0 ELSE -1000000.0 END
+              ELSE (p.value - z.mean) / z.sd END AS value
+  FROM pt p LEFT JOIN zref z ON p.qid = z.qid AND p.measure = z.measure WHERE p.run_id = 'deep')
+SELECT run_id, qid, measure, round(value, 6) AS value FROM z
+UNION ALL SELECT run_id, 'all', measure, round(avg(value), 6) FROM z GROUP BY run_id, measure
+UNION ALL SELECT 'deep', 'all', 'Znum_q', CAST(count(DISTINCT qid) AS DOUBLE) FROM z"""
+
+
+@register("zscore", _zscore_sql())
+def q_zscore(spark, sf):
+    qrels = T.deep_qrels(spark, sf)
+    pt = evaluate(_two_runs(spark, sf), qrels, ["map", "P"]).where(F.col("qid") != "all")
+    zref = pt.groupBy("qid", "measure").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"))
+    return _r6(evaluate(T.deep_run(spark, sf), qrels, ["map", "P"], zref=zref))
+
+
+_SET = ["num_ret", "num_rel", "num_rel_ret", "utility", "set_P", "set_recall", "set_relative_P", "set_map", "set_F"]
+
+
+@register("measure_groups", O.summary_rows_sql(_SET, O.DEEP_RUN, only_all=False) + "\nUNION ALL\n" + O.num_q_sql(O.DEEP_RUN))
+def q_measure_groups(spark, sf):
+    return _r6(evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), "set"))
+
+
+def _params_sql():
+    a = O.measure_sql("P", cuts=(3, 7))
+    b = O.measure_sql("success", cuts=(2, 20))
+    return f"SELECT * FROM ({a}) x UNION ALL SELECT * FROM ({b}) y"
+
+
+@register("measure_params", _params_sql())
+def q_measure_params(spark, sf):
+    df = evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["P.7,3", "success.20,2,2"])
+    return _r6(df.where(F.col("measure") != "num_q"))

@@ -36,20 +36,21 @@ def gain_column(rel: Column, gains: dict | None) -> Column:
     return default if e is None else e.otherwise(default)
 
 
-def ideal_positions(qrels: DataFrame, gains: dict | None = None) -> DataFrame:
+def ideal_positions(qrels: DataFrame, gains: dict | None = None, qkeys=("qid",)) -> DataFrame:
     """Ideal ranking per topic: judged documents with positive gain, best first.
 
     Columns: qid, pos, igain, cum_idcg, cum_cost (running sum of max(gain, 1)),
     is_boundary (last position of a block of equal gain).
     """
-    q = qrels.where(F.col("rel") >= 0).select("qid", "docno", gain_column(F.col("rel"), gains).alias("igain"))
+    qkeys = list(qkeys)
+    q = qrels.where(F.col("rel") >= 0).select(*qkeys, "docno", gain_column(F.col("rel"), gains).alias("igain"))
     q = q.where(F.col("igain") > 0)
-    w = Window.partitionBy("qid").orderBy(F.col("igain").desc(), F.col("docno"))
+    w = Window.partitionBy(*qkeys).orderBy(F.col("igain").desc(), F.col("docno"))
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pos = F.row_number().over(w)
     q = q.withColumn("pos", pos)
     return q.select(
-        "qid",
+        *qkeys,
         "pos",
         "igain",
         F.sum(F.col("igain") / F.log2(F.col("pos") + 1)).over(wc).alias("cum_idcg"),
@@ -75,17 +76,18 @@ def _gains_of(ms: list[C.Measure]) -> dict:
     return seen or {}
 
 
-def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1) -> DataFrame:
+def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys=("qid",)) -> DataFrame:
     """One row per judged topic with every judgment-side quantity the measures need."""
-    base = qrels.groupBy("qid").agg(
+    qkeys = list(qkeys)
+    base = qrels.groupBy(*qkeys).agg(
         F.sum(F.when(F.col("rel") >= level, 1).otherwise(0)).cast("long").alias("R"),
         F.sum(F.when((F.col("rel") >= 0) & (F.col("rel") < level), 1).otherwise(0)).cast("long").alias("N"),
     )
     gain_family = _needs(ms, "ndcg", "ndcg_rel", "Rndcg", "G")
     cut = [m for m in ms if m.name == "ndcg_cut"]
     if gain_family:
-        ideal = ideal_positions(qrels, _gains_of(ms))
-        agg = ideal.groupBy("qid").agg(
+        ideal = ideal_positions(qrels, _gains_of(ms), qkeys)
+        agg = ideal.groupBy(*qkeys).agg(
             F.count(F.lit(1)).alias("P"),
             F.max("cum_idcg").alias("idcg_full"),
             F.sum("igain").alias("ideal_gain_sum"),
@@ -93,25 +95,25 @@ def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1) -> Da
                 "bounds"
             ),  # one entry per distinct positive gain: bounded by the number of levels
         )
-        base = base.join(agg, "qid", "left")
+        base = base.join(agg, qkeys, "left")
     if cut:
-        lvl = ideal_positions(qrels, None)
+        lvl = ideal_positions(qrels, None, qkeys)
         ks = cut[0].params
-        lagg = lvl.groupBy("qid").agg(
+        lagg = lvl.groupBy(*qkeys).agg(
             *[F.sum(F.when(F.col("pos") <= k, F.col("igain") / F.log2(F.col("pos") + 1))).alias(f"idcg_cut_{k}") for k in ks]
         )
-        base = base.join(lagg, "qid", "left")
+        base = base.join(lagg, qkeys, "left")
     return base
 
 
 # ---------------------------------------------------------------- run side
 
 
-def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int) -> DataFrame:
-    w = Window.partitionBy(*_W_RUN).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int, keys=_W_RUN) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rel = F.col("rel")
     df = ranked.select(
-        *_W_RUN,
+        *keys,
         "rank",
         "rel",
         *[c for c in ranked.columns if c in ("R", "N", "P", "idcg_full", "ideal_gain_sum", "bounds") or c.startswith("idcg_cut_")],
@@ -135,11 +137,11 @@ def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int) -> DataFram
     return df
 
 
-def _attach_ideal(rows: DataFrame, ideal: DataFrame) -> DataFrame:
+def _attach_ideal(rows: DataFrame, ideal: DataFrame, qkeys=("qid",)) -> DataFrame:
     """Ideal curve value at position min(rank, P) for every ranked row."""
     rows = rows.withColumn("ipos", F.least(F.col("rank"), F.coalesce(F.col("P"), F.lit(0))))
-    ide = ideal.select("qid", F.col("pos").alias("ipos"), "cum_idcg", "cum_cost", "is_boundary")
-    return rows.join(ide, ["qid", "ipos"], "left")
+    ide = ideal.select(*qkeys, F.col("pos").alias("ipos"), "cum_idcg", "cum_cost", "is_boundary")
+    return rows.join(ide, [*qkeys, "ipos"], "left")
 
 
 def _k_of(mult: float) -> Column:
@@ -174,6 +176,8 @@ def per_topic(
     level: int = 1,
     num_docs_in_coll: int = 0,
     wide: bool = False,
+    keys=_W_RUN,
+    qkeys=("qid",),
 ) -> DataFrame:
     """Per-topic values of the requested measures.
 
@@ -183,10 +187,11 @@ def per_topic(
     """
     ms = [m for m in C.expand(measures) if m.name not in ("runid", "num_q", "relstring")]
     ms = [m for m in ms if m.name not in C.PREF_MEASURES and m.name not in C.JG_MEASURES]
-    tj = topic_judgments(qrels, ms, level)
-    rows = _row_columns(ranked.join(tj, "qid"), ms, level)
+    keys, qkeys = list(keys), list(qkeys)
+    tj = topic_judgments(qrels, ms, level, qkeys)
+    rows = _row_columns(ranked.join(tj, qkeys), ms, level, keys)
     if _needs(ms, "ndcg_rel", "Rndcg", "G"):
-        rows = _attach_ideal(rows, ideal_positions(qrels, _gains_of(ms)))
+        rows = _attach_ideal(rows, ideal_positions(qrels, _gains_of(ms), qkeys), qkeys)
 
     p = _Plan()
     isrel = F.col("is_rel") == 1
@@ -340,11 +345,29 @@ def per_topic(
         else:
             raise ValueError(f"measure {m.name} is not a ranked-list measure")
 
-    agg = rows.groupBy(*_W_RUN).agg(*p.aggs.values())
+    agg = rows.groupBy(*keys).agg(*p.aggs.values())
     if wide:
-        return agg.select(*_W_RUN, *[e.alias(k) for k, e in p.finals])
+        return agg.select(*keys, *[e.alias(k) for k, e in p.finals])
     pairs = F.array(*[F.struct(F.lit(k).alias("measure"), e.alias("value")) for k, e in p.finals])
-    return agg.select(*_W_RUN, F.inline(pairs))
+    return agg.select(*keys, F.inline(pairs))
+
+
+def per_topic_jg(ranked_jg: DataFrame, qrels_jg: DataFrame, measures=None, level: int = 1) -> DataFrame:
+    """``*_avgjg`` measures: the base measure per judgment group, averaged over the topic's groups."""
+    ms = [m for m in C.expand(measures) if m.name in C.JG_MEASURES]
+    if not ms:
+        return ranked_jg.sparkSession.createDataFrame([], "run_id string, qid string, measure string, value double")
+    base = [C.Measure(m.name[: -len("_avgjg")], m.params, m.raw) for m in ms]
+    per_group = per_topic(ranked_jg, qrels_jg, base, level, keys=("run_id", "qid", "jg"), qkeys=("qid", "jg"))
+    # rename P_5 -> P_avgjg_5, map -> map_avgjg, Rprec_mult_0.20 -> Rprec_mult_avgjg_0.20
+    out_names = {}
+    for b, m in zip(base, ms):
+        for bn, mn in zip(b.names(), m.names()):
+            out_names[bn] = mn
+    rename = F.create_map(*[x for kv in out_names.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    return per_group.groupBy("run_id", "qid", "measure").agg(F.avg("value").alias("value")).select(
+        "run_id", "qid", F.element_at(rename, F.col("measure")).alias("measure"), "value"
+    )
 
 
 def relstring(ranked: DataFrame, length: int = C.RELSTRING_LEN, name: str = "relstring") -> DataFrame:

@@ -130,5 +130,8 @@ def validate(df: DataFrame, keys=("qid", "docno"), what: str = "input") -> None:
         raise ValueError(f"duplicate {'/'.join(keys)} in {what}: {bad[0].asDict()}")
 
 
-def topic_filter(df: DataFrame, qid: str) -> DataFrame:
+def topic_filter(df: DataFrame, qid) -> DataFrame:
+    """Keep one topic (a literal id) or the topics listed in a DataFrame with a ``qid`` column."""
+    if isinstance(qid, DataFrame):
+        return df.join(qid.select(F.col("qid").cast("string").alias("qid")), "qid", "left_semi")
     return df.where(F.col("qid") == F.lit(str(qid)))

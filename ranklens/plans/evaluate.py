@@ -61,3 +61,25 @@ def evaluate_text(run: DataFrame, qrels: DataFrame, measures=None, max_docs=None
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def evaluate_jg(
+    run: DataFrame,
+    qrels_jg: DataFrame,
+    measures="qrels_jg",
+    relevance_level: int = 1,
+    max_docs: int | None = None,
+    judged_only: bool = False,
+    complete: bool = False,
+    per_topic: bool = True,
+) -> DataFrame:
+    """Judgment-group measures (``map_avgjg``, ``P_avgjg``, ``Rprec_mult_avgjg``)."""
+    from ranklens.operators.ranked import build_ranked_jg
+
+    ms = [m for m in C.expand(measures) if m.name in C.JG_MEASURES]
+    ranked = build_ranked_jg(run, qrels_jg, max_docs, judged_only)
+    scores = M.per_topic_jg(ranked, qrels_jg, ms, relevance_level)
+    names = [n for m in ms for n in m.names()]
+    judged = qrels_jg.select("qid").distinct() if complete else None
+    summary = S.summarize(scores, names, judged, complete)
+    return scores.unionByName(summary) if per_topic else summary

@@ -124,3 +124,16 @@ def test_zscores(spark, base):
     got = _collect(evaluate(run, qrels, "all_trec", zref=z))
     n, bad = _compare(got, read_golden("out.test.aqZ"))
     assert n > 300 and not bad, bad[:20]
+
+
+def test_qrels_jg(spark):
+    from ranklens.plans.evaluate import evaluate_jg
+    from ranklens.sources import read_qrels_jg
+
+    run = read_run(spark, fixture("results.test"))
+    q = read_qrels_jg(spark, fixture("qrels.123"))
+    got = _collect(evaluate_jg(run, q, "qrels_jg"))
+    gold = read_golden("out.test.qrels_jg")
+    gold.pop("num_q", None)
+    n, bad = _compare(got, gold)
+    assert n > 70 and not bad, bad[:20]
