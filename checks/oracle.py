@@ -397,3 +397,73 @@ def summary_rows_sql(names, run_sql, qrels_sql=DEEP_QRELS, only_all=True, level=
 def num_q_sql(run_sql, qrels_sql=DEEP_QRELS) -> str:
     return f"""SELECT run_id, 'all' AS qid, 'num_q' AS measure, CAST(count(DISTINCT qid) AS DOUBLE) AS value
 FROM ({run_sql}) r WHERE qid IN (SELECT qid FROM ({qrels_sql}) q) GROUP BY run_id"""
+
+
+# ------------------------------------------------------------------ text, index, scoring
+
+STOP = ("a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it",
+        "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these",
+        "they", "this", "to", "was", "will", "with")
+STOP_LIST = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
+
+
+def uni_expr(col: str) -> str:
+    return (f"list_filter(string_split(trim(regexp_replace(lower({col}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '), "
+            f"lambda x: x <> '')")
+
+
+def std_expr(col: str) -> str:
+    return f"list_filter({uni_expr(col)}, lambda x: NOT list_contains({STOP_LIST}, x))"
+
+
+TEXT_CTE = f"""
+corpus AS ({CORPUS}),
+an AS (SELECT docno, {uni_expr('text')} AS uni, {std_expr('text')} AS std FROM corpus),
+ds AS (SELECT docno, CAST(len(std) AS BIGINT) AS dlen, CAST(len(uni) AS BIGINT) AS ulen,
+              CAST(len(list_distinct(uni)) AS BIGINT) AS uvoc FROM an),
+post AS (SELECT term, docno, count(*) AS tf FROM (SELECT docno, unnest(std) AS term FROM an) x GROUP BY term, docno),
+postd AS (SELECT p.term, p.docno, p.tf, d.dlen, d.ulen, d.uvoc FROM post p JOIN ds d ON p.docno = d.docno),
+topics AS ({TOPICS}),
+qtp AS (SELECT qid, unnest(generate_series(0, len(toks) - 1)) AS pos, unnest(toks) AS term
+        FROM (SELECT qid, {std_expr('query')} AS toks FROM topics) t),
+qt AS (SELECT qid, term, count(*) AS qtf, min(pos) AS qpos FROM qtp GROUP BY qid, term),
+ts AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM post
+       WHERE term IN (SELECT term FROM qt) GROUP BY term),
+cs AS (SELECT count(*) AS num_docs, CAST(sum(dlen) AS BIGINT) AS sum_tf, avg(dlen) AS avg_dlen FROM ds),
+m AS (SELECT q.qid, q.term, q.qtf, p.docno, p.tf, p.dlen, p.ulen, p.uvoc, ts.df, ts.ctf, cs.num_docs, cs.sum_tf, cs.avg_dlen
+      FROM qt q JOIN postd p ON q.term = p.term JOIN ts ON ts.term = q.term CROSS JOIN cs)"""
+
+TERM_SCORE = {
+    "bnn_bnn": ("CASE WHEN tf > 0 THEN 1.0 ELSE 0.0 END", "sum"),
+    "lnc_ltn": ("(1.0 + log10(tf)) * (1.0 + log10(qtf)) * log10(CAST(num_docs AS DOUBLE) / greatest(df, 1))", "sum_norm"),
+    "lm_laplace": ("(tf + 1.0 / ulen) / (ulen + uvoc)", "sum"),
+    "lm_jm": ("0.9 * tf / dlen + (1.0 - 0.9) * CAST(ctf AS DOUBLE) / sum_tf", "product"),
+    "lm_dirichlet": ("(tf + 1000.0) / (ctf + 1000.0)", "sum"),
+    "raw_tf": ("CAST(tf AS DOUBLE)", "sum"),
+    "bm25": ("qtf * ln(1.0 + (num_docs - df + 0.5) / (df + 0.5)) * tf * (1.2 + 1.0) / "
+             "(tf + 1.2 * (1.0 - 0.75 + 0.75 * dlen / avg_dlen))", "sum"),
+}
+PER_TERM_TOP = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
+
+
+def hits_cte(method: str, k: int = 10) -> str:
+    s, combine = TERM_SCORE[method]
+    if method in PER_TERM_TOP:
+        cand = """tt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, term ORDER BY s DESC, docno) AS rn
+                         FROM sc) z WHERE rn <= 10)"""
+    else:
+        cand = "tt AS (SELECT * FROM sc)"
+    agg = "pow(10.0, sum(log10(s)))" if combine == "product" else "sum(s)"
+    norm = ("score / sqrt(sum(score * score) OVER (PARTITION BY qid))" if combine == "sum_norm" else "score")
+    return f"""sc AS (SELECT *, CAST({s} AS DOUBLE) AS s FROM m),
+{cand},
+agg0 AS (SELECT qid, docno, {agg} AS score FROM tt GROUP BY qid, docno),
+agg AS (SELECT qid, docno, {norm} AS score FROM agg0),
+top_{method} AS (SELECT qid, docno, '{method}' AS method, score,
+              row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM agg)"""
+
+
+def hits_sql(method: str, k: int = 10) -> str:
+    return f"""WITH {TEXT_CTE},
+{hits_cte(method)}
+SELECT qid, docno, method, round(score, 6) AS score, rank FROM top_{method} WHERE rank <= {k}"""

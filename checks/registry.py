@@ -240,3 +240,83 @@ def _params_sql():
 def q_measure_params(spark, sf):
     df = evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["P.7,3", "success.20,2,2"])
     return _r6(df.where(F.col("measure") != "num_q"))
+
+
+# ------------------------------------------------------------------ text analysis and statistics
+
+from ranklens.functions import text as TX  # noqa: E402
+from ranklens.operators import index as IX  # noqa: E402
+from ranklens.operators import scoring as SC  # noqa: E402
+
+
+@register("tokenize_standard", f"WITH {O.TEXT_CTE} SELECT docno, std AS tokens FROM an")
+def q_tokenize_standard(spark, sf):
+    return T.corpus(spark, sf).select("docno", TX.tokenize_standard("text").alias("tokens"))
+
+
+@register("tokenize_unigram", f"WITH {O.TEXT_CTE} SELECT docno, uni AS tokens FROM an")
+def q_tokenize_unigram(spark, sf):
+    return T.corpus(spark, sf).select("docno", TX.tokenize_unigram("text").alias("tokens"))
+
+
+@register("query_terms", f"WITH {O.TEXT_CTE} SELECT qid, term, qtf, qpos FROM qt")
+def q_query_terms(spark, sf):
+    return IX.query_terms(T.topics(spark, sf))
+
+
+@register("query_tf", f"WITH {O.TEXT_CTE} SELECT qid, term, qtf FROM qt")
+def q_query_tf(spark, sf):
+    return IX.query_tf(T.topics(spark, sf))
+
+
+@register("postings", f"WITH {O.TEXT_CTE} SELECT term, docno, tf FROM post")
+def q_postings(spark, sf):
+    return IX.postings(T.corpus(spark, sf)).select("term", "docno", "tf")
+
+
+@register("doc_stats", f"WITH {O.TEXT_CTE} SELECT docno, dlen, ulen, uvoc FROM ds")
+def q_doc_stats(spark, sf):
+    return IX.doc_stats(T.corpus(spark, sf))
+
+
+@register("term_stats", f"""WITH {O.TEXT_CTE}
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM post GROUP BY term""")
+def q_term_stats(spark, sf):
+    return IX.term_stats(IX.postings(T.corpus(spark, sf)))
+
+
+@register("collection_stats", f"WITH {O.TEXT_CTE} SELECT num_docs, sum_tf, round(avg_dlen, 6) AS avg_dlen FROM cs")
+def q_collection_stats(spark, sf):
+    cs = IX.collection_stats(IX.doc_stats(T.corpus(spark, sf)))
+    return _r6(cs, "avg_dlen")
+
+
+@register("term_topk", f"""WITH {O.TEXT_CTE}
+SELECT qid, term, docno, tf FROM (
+  SELECT qid, term, docno, tf, row_number() OVER (PARTITION BY qid, term ORDER BY tf DESC, docno) AS rn FROM m) z
+WHERE rn <= 10""")
+def q_term_topk(spark, sf):
+    corpus = T.corpus(spark, sf)
+    m = SC.match(IX.query_terms(T.topics(spark, sf)), IX.postings(corpus)).withColumn("s", F.col("tf"))
+    return SC.term_topk(m, 10).select("qid", "term", "docno", "tf")
+
+
+def _score_query(method):
+    def q(spark, sf):
+        h = SC.score(method, T.topics(spark, sf), T.corpus(spark, sf))
+        return _r6(h, "score")
+
+    return q
+
+
+for _meth, _key in [("bnn_bnn", "score_bnn_bnn"), ("lnc_ltn", "score_lnc_ltn"), ("lm_laplace", "score_lm_laplace"),
+                    ("lm_jm", "score_lm_jm"), ("lm_dirichlet", "score_lm_dirichlet"), ("raw_tf", "score_raw_tf"),
+                    ("bm25", "score_default")]:
+    register(_key, O.hits_sql(_meth))(_score_query(_meth))
+
+
+@register("topk_per_query", O.hits_sql("raw_tf", k=3))
+def q_topk_per_query(spark, sf):
+    corpus = T.corpus(spark, sf)
+    h = SC.score("raw_tf", T.topics(spark, sf), corpus, k=3)
+    return _r6(h, "score")

@@ -46,7 +46,7 @@ def topic_join(run: DataFrame, qrels: DataFrame) -> DataFrame:
 
 
 def add_rank(run: DataFrame, keys=("run_id", "qid"), docno_desc: bool = True) -> DataFrame:
-    return run.withColumn("rank", F.row_number().over(rank_window(keys, docno_desc)))
+    return run.withColumn("rank", F.row_number().over(rank_window(keys, docno_desc)).cast("long"))
 
 
 def max_docs(ranked: DataFrame, m: int | None) -> DataFrame:
@@ -64,7 +64,7 @@ def attach_relevance(ranked: DataFrame, qrels: DataFrame, keys=("qid", "docno"))
 def judged_only(ranked: DataFrame, keys=("run_id", "qid")) -> DataFrame:
     """Drop unjudged documents and close up the ranks."""
     w = Window.partitionBy(*keys).orderBy("rank")
-    return ranked.where(F.col("rel") >= 0).withColumn("rank", F.row_number().over(w))
+    return ranked.where(F.col("rel") >= 0).withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def build_ranked(
