@@ -448,22 +448,47 @@ PER_TERM_TOP = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
 
 def hits_cte(method: str, k: int = 10) -> str:
     s, combine = TERM_SCORE[method]
+    mm = method
     if method in PER_TERM_TOP:
-        cand = """tt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, term ORDER BY s DESC, docno) AS rn
-                         FROM sc) z WHERE rn <= 10)"""
+        cand = f"""tt_{mm} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, term ORDER BY s DESC, docno) AS rn
+                         FROM sc_{mm}) z WHERE rn <= 10)"""
     else:
-        cand = "tt AS (SELECT * FROM sc)"
+        cand = f"tt_{mm} AS (SELECT * FROM sc_{mm})"
     agg = "pow(10.0, sum(log10(s)))" if combine == "product" else "sum(s)"
     norm = ("score / sqrt(sum(score * score) OVER (PARTITION BY qid))" if combine == "sum_norm" else "score")
-    return f"""sc AS (SELECT *, CAST({s} AS DOUBLE) AS s FROM m),
+    return f"""sc_{mm} AS (SELECT *, CAST({s} AS DOUBLE) AS s FROM m),
 {cand},
-agg0 AS (SELECT qid, docno, {agg} AS score FROM tt GROUP BY qid, docno),
-agg AS (SELECT qid, docno, {norm} AS score FROM agg0),
+agg0_{mm} AS (SELECT qid, docno, {agg} AS score FROM tt_{mm} GROUP BY qid, docno),
+agg_{mm} AS (SELECT qid, docno, {norm} AS score FROM agg0_{mm}),
 top_{method} AS (SELECT qid, docno, '{method}' AS method, score,
-              row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM agg)"""
+              row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM agg_{mm})"""
 
 
 def hits_sql(method: str, k: int = 10) -> str:
     return f"""WITH {TEXT_CTE},
 {hits_cte(method)}
 SELECT qid, docno, method, round(score, 6) AS score, rank FROM top_{method} WHERE rank <= {k}"""
+
+
+FEATURE_METHODS = ("bnn_bnn", "lnc_ltn", "lm_laplace", "lm_jm", "lm_dirichlet")
+
+
+def features_cte() -> str:
+    tops = ",\n".join(hits_cte(m) for m in FEATURE_METHODS)
+    union = " UNION ALL ".join(f"SELECT qid, docno, method, score, rank FROM top_{m} WHERE rank <= 10" for m in FEATURE_METHODS)
+    fcols = ",\n       ".join(
+        f"CAST(coalesce(max(CASE WHEN method = '{m}' THEN 1.0 / rank END), 0) AS FLOAT) AS f{i + 1}"
+        for i, m in enumerate(FEATURE_METHODS))
+    return f"""{TEXT_CTE},
+{tops},
+hits AS ({union}),
+cand AS (SELECT DISTINCT qid, docno FROM hits),
+feat AS (SELECT qid, docno,
+       {fcols}
+  FROM hits GROUP BY qid, docno),
+lab AS (SELECT CAST(doc_id AS VARCHAR) AS docno,
+               CASE WHEN quality = 1 AND toxic = 0 THEN 2 WHEN quality = 1 THEN 1 WHEN toxic = 1 THEN -1 ELSE 0 END AS rel
+        FROM labels),
+pq AS (SELECT c.qid, c.docno, CAST(l.rel AS INTEGER) AS rel FROM cand c JOIN lab l ON c.docno = l.docno),
+ltr AS (SELECT f.qid, f.docno, CAST(CASE WHEN pq.rel > 0 THEN 1 ELSE 0 END AS INTEGER) AS label, f.f1, f.f2, f.f3, f.f4, f.f5
+        FROM feat f LEFT JOIN pq ON f.qid = pq.qid AND f.docno = pq.docno)"""

@@ -320,3 +320,76 @@ def q_topk_per_query(spark, sf):
     corpus = T.corpus(spark, sf)
     h = SC.score("raw_tf", T.topics(spark, sf), corpus, k=3)
     return _r6(h, "score")
+
+
+# ------------------------------------------------------------------ fusion, features, learning to rank
+
+from ranklens.operators import features as FE  # noqa: E402
+from ranklens.operators import ltr as LT  # noqa: E402
+
+
+def _hits(spark, sf):
+    return SC.score_many(T.topics(spark, sf), T.corpus(spark, sf))
+
+
+def _text_qrels(spark, sf, hits=None):
+    hits = _hits(spark, sf) if hits is None else hits
+    return FE.pooled_qrels(FE.union_candidates(hits), T.table(spark, sf, "labels"))
+
+
+def _ltr(spark, sf):
+    hits = _hits(spark, sf)
+    return FE.ltr_dataset(hits, _text_qrels(spark, sf, hits))
+
+
+@register("union_candidates", f"WITH {O.features_cte()} SELECT qid, docno FROM cand")
+def q_union_candidates(spark, sf):
+    return FE.union_candidates(_hits(spark, sf))
+
+
+@register("rr_features", f"WITH {O.features_cte()} SELECT * FROM feat")
+def q_rr_features(spark, sf):
+    return FE.rr_features(_hits(spark, sf))
+
+
+@register("relevance_label", f"WITH {O.features_cte()} SELECT qid, docno, label FROM ltr")
+def q_relevance_label(spark, sf):
+    hits = _hits(spark, sf)
+    return FE.relevance_label(FE.union_candidates(hits), _text_qrels(spark, sf, hits))
+
+
+@register("ltr_dataset", f"WITH {O.features_cte()} SELECT * FROM ltr")
+def q_ltr_dataset(spark, sf):
+    return _ltr(spark, sf)
+
+
+_W5 = LT.MODEL_WEIGHTS_5
+_DOT = " + ".join(f"{w!r} * CAST(f{i + 1} AS DOUBLE)" for i, w in enumerate(_W5))
+
+
+@register("linear_rerank", f"""WITH {O.features_cte()},
+s AS (SELECT qid, docno, label, ({_DOT}) AS score FROM ltr)
+SELECT qid, docno, label, round(score, 6) AS score,
+       row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM s""")
+def q_linear_rerank(spark, sf):
+    r = LT.linear_rerank(_ltr(spark, sf), _W5)
+    return _r6(r.select("qid", "docno", "label", "score", "rank"), "score")
+
+
+@register("kfold_split", f"""WITH {O.features_cte()}
+SELECT DISTINCT qid, CAST(CAST(('0x' || substr(md5(qid), 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold FROM ltr""")
+def q_kfold_split(spark, sf):
+    return LT.kfold_split(_ltr(spark, sf)).select("qid", "fold").distinct()
+
+
+@register("weight_search", None)
+def q_weight_search(spark, sf):
+    feats = _ltr(spark, sf).cache()
+    w, m = LT.weight_search(feats)
+    return spark.createDataFrame([(i + 1, float(x), float(m)) for i, x in enumerate(w)], "feature int, weight double, train_map double")
+
+
+@register("cv_eval", None)
+def q_cv_eval(spark, sf):
+    feats = _ltr(spark, sf).cache()
+    return LT.cv_eval(feats, 5)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklens.operators.index import checked_broadcast, collection_stats, doc_stats, query_terms, term_stats
+from ranklens.operators.index import BROADCAST_ROWS, checked_broadcast, collection_stats, doc_stats, query_terms
 
 # fixed values: parameters of the ranking functions
 TERM_TOP_N = 10
@@ -30,16 +30,31 @@ BM25_B = 0.75
 METHODS = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
 
 
-def match(topics_terms: DataFrame, post: DataFrame) -> DataFrame:
+def match(topics_terms: DataFrame, post: DataFrame, bounded: bool | None = None) -> DataFrame:
     """(qid, term, qtf) ⋈ postings on term -> (qid, term, qtf, docno, tf, dlen, ulen, uvoc)."""
-    return post.join(checked_broadcast(topics_terms.select("qid", "term", "qtf")), "term")
+    qt = topics_terms.select("qid", "term", "qtf")
+    if bounded is None:
+        qt = checked_broadcast(qt)
+    elif bounded:
+        qt = F.broadcast(qt)
+    return post.join(qt, "term")
 
 
-def _with_stats(m: DataFrame, post: DataFrame, corpus_stats: DataFrame) -> DataFrame:
-    ts = term_stats(post, m.select("term").distinct())
+def _with_stats(qt: DataFrame, post: DataFrame, corpus_stats: DataFrame) -> DataFrame:
+    """Match rows with df/ctf of their term and the collection statistics.
+
+    One size check (the query-term table) bounds both broadcasts: term
+    statistics have at most one row per distinct query term.
+    """
+    bounded = qt.count() <= BROADCAST_ROWS
+    terms = qt.select("term").distinct()
+    terms = F.broadcast(terms) if bounded else terms
+    ts = post.join(terms, "term", "left_semi").groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf")
+    )
     cs = collection_stats(corpus_stats)
-    # term stats: one row per query term; collection stats: one row
-    return m.join(checked_broadcast(ts), "term").crossJoin(F.broadcast(cs))
+    m = match(qt, post, bounded)
+    return m.join(F.broadcast(ts) if bounded else ts, "term").crossJoin(F.broadcast(cs))
 
 
 def term_topk(scored: DataFrame, n: int = TERM_TOP_N) -> DataFrame:
@@ -117,7 +132,7 @@ def score(
     if stats is None:
         stats = doc_stats(corpus)
     qt = query_terms(topics, raw_terms)
-    m = _with_stats(match(qt, post), post, stats)
+    m = _with_stats(qt, post, stats)
     if custom is not None:
         s, combine = custom, "sum"
     else:
@@ -138,15 +153,56 @@ def score(
     return topk_per_query(scores, k, method).select("qid", "docno", "method", "score", "rank")
 
 
-def score_all(topics: DataFrame, corpus: DataFrame, methods=METHODS, k: int = TOP_K) -> DataFrame:
-    """The five feature rankings in one plan (the index is shared)."""
-    post, stats = None, None
+def score_many(
+    topics: DataFrame,
+    corpus: DataFrame | None = None,
+    methods=METHODS,
+    k: int = TOP_K,
+    n: int = TERM_TOP_N,
+    post: DataFrame | None = None,
+    stats: DataFrame | None = None,
+) -> DataFrame:
+    """Several rankings from one shared plan.
+
+    The match rows are computed once and stacked per method (a fixed fan-out
+    of ``len(methods)``), so every stage — per-term top-n, the per-document
+    sum and the final top-k — is one window or one aggregate keyed by method.
+    """
     from ranklens.operators.index import postings as build_postings
 
-    post = build_postings(corpus)
-    stats = doc_stats(corpus)
-    out = None
+    post = build_postings(corpus) if post is None else post
+    stats = doc_stats(corpus) if stats is None else stats
+    m = _with_stats(query_terms(topics), post, stats)
+    kinds = {}
+    structs = []
     for meth in methods:
-        h = score(meth, topics, post=post, stats=stats, k=k)
-        out = h if out is None else out.unionByName(h)
-    return out
+        s, combine = _term_scores(meth)
+        kinds[meth] = combine
+        structs.append(F.struct(F.lit(meth).alias("method"), s.cast("double").alias("s")))
+    st = m.select("qid", "term", "docno", F.inline(F.array(*structs)))
+    per_term = [mm for mm in methods if mm in METHODS]
+    if per_term:
+        # a plain `row_number() <= n` filter becomes a window group limit (partial top-n per task)
+        w = Window.partitionBy("method", "qid", "term").orderBy(F.col("s").desc(), F.col("docno"))
+        top = st.where(F.col("method").isin(*per_term)).withColumn("_rn", F.row_number().over(w))
+        top = top.where(F.col("_rn") <= n).drop("_rn")
+        rest = [mm for mm in methods if mm not in per_term]
+        st = top if not rest else top.unionByName(st.where(F.col("method").isin(*rest)))
+    prod = [mm for mm, c in kinds.items() if c == "product"]
+    agg = st.groupBy("method", "qid", "docno").agg(
+        F.sum("s").alias("_sum"), F.sum(F.log10("s")).alias("_logsum")
+    )
+    score = F.when(F.col("method").isin(*prod), F.pow(F.lit(10.0), F.col("_logsum"))).otherwise(F.col("_sum")) if prod else F.col("_sum")
+    agg = agg.withColumn("score", score)
+    norm_m = [mm for mm, c in kinds.items() if c == "sum_norm"]
+    if norm_m:
+        norm = F.sqrt(F.sum(F.col("score") * F.col("score")).over(Window.partitionBy("method", "qid")))
+        agg = agg.withColumn("score", F.when(F.col("method").isin(*norm_m), F.col("score") / norm).otherwise(F.col("score")))
+    w2 = Window.partitionBy("method", "qid").orderBy(F.round("score", ORDER_DECIMALS).desc(), F.col("docno"))
+    out = agg.withColumn("rank", F.row_number().over(w2).cast("long")).where(F.col("rank") <= k)
+    return out.select("qid", "docno", "method", "score", "rank")
+
+
+def score_all(topics: DataFrame, corpus: DataFrame, methods=METHODS, k: int = TOP_K) -> DataFrame:
+    """The five feature rankings in one plan."""
+    return score_many(topics, corpus, methods, k)
