@@ -83,3 +83,22 @@ def evaluate_jg(
     judged = qrels_jg.select("qid").distinct() if complete else None
     summary = S.summarize(scores, names, judged, complete)
     return scores.unionByName(summary) if per_topic else summary
+
+
+def evaluate_prefs(
+    run: DataFrame,
+    prefs: DataFrame,
+    measures="all_prefs",
+    max_docs: int | None = None,
+    complete: bool = False,
+    per_topic: bool = True,
+) -> DataFrame:
+    """Preference measures per topic and summarised (``prefs_num_*`` summed, the rest averaged)."""
+    from ranklens.operators.prefs import pref_measures
+
+    ms = [m for m in C.expand(measures) if m.name in C.PREF_MEASURES]
+    scores = pref_measures(run, prefs, max_docs, ms)
+    names = [n for m in ms for n in m.names()]
+    judged = prefs.select("qid").distinct() if complete else None
+    summary = S.summarize(scores, names, judged, complete)
+    return scores.unionByName(summary) if per_topic else summary
