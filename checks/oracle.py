@@ -492,3 +492,174 @@ lab AS (SELECT CAST(doc_id AS VARCHAR) AS docno,
 pq AS (SELECT c.qid, c.docno, CAST(l.rel AS INTEGER) AS rel FROM cand c JOIN lab l ON c.docno = l.docno),
 ltr AS (SELECT f.qid, f.docno, CAST(CASE WHEN pq.rel > 0 THEN 1 ELSE 0 END AS INTEGER) AS label, f.f1, f.f2, f.f3, f.f4, f.f5
         FROM feat f LEFT JOIN pq ON f.qid = pq.qid AND f.docno = pq.docno)"""
+
+
+# ------------------------------------------------------------------ preferences (pairs materialised: brute force)
+
+MULTI_PREFS = """
+SELECT qid, jg, unnest(['ls_' || ls, 'rf_' || rf]) AS jsg, docno, rel_level FROM (
+  SELECT qid, docno, ls, rf, '0' AS jg, lv0 AS rel_level FROM d0
+  UNION ALL SELECT qid, docno, ls, rf, '1' AS jg, lv1 AS rel_level FROM d0) z"""
+
+MULTI_PREFS_DOCS = """
+SELECT CAST(l_orderkey AS VARCHAR) AS qid,
+       CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS docno,
+       CAST(max(floor(l_quantity / 10)) AS FLOAT) AS lv0,
+       CAST(max(CASE WHEN l_tax >= 0.06 THEN 2 WHEN l_tax >= 0.03 THEN 1 ELSE 0 END) AS FLOAT) AS lv1,
+       max(l_linestatus) AS ls, max(l_returnflag) AS rf
+FROM lineitem GROUP BY 1, 2"""
+
+QRELS_PREFS = f"SELECT qid, '0' AS jg, '0' AS jsg, docno, CAST(rel AS FLOAT) AS rel_level FROM ({DEEP_QRELS}) q WHERE rel >= 0"
+
+
+def prefs_cte(prefs_sql: str, run_sql: str, pre: str = "") -> str:
+    """CTEs ending in ``pm(run_id, qid, measure, value)`` (per topic)."""
+    return f"""WITH RECURSIVE {pre}
+prefs AS ({prefs_sql}),
+prun AS ({run_sql}),
+judged AS (SELECT DISTINCT qid, docno FROM prefs),
+rr AS (SELECT run_id, qid, docno, row_number() OVER (PARTITION BY run_id, qid ORDER BY sim DESC, docno) AS rnk
+       FROM prun WHERE qid IN (SELECT qid FROM judged)),
+pos AS (SELECT t.run_id, j.qid, j.docno, r.rnk IS NOT NULL AS ret,
+               row_number() OVER (PARTITION BY t.run_id, j.qid ORDER BY (r.rnk IS NOT NULL) DESC, r.rnk, j.docno) - 1 AS pos
+        FROM judged j JOIN (SELECT DISTINCT run_id, qid FROM rr) t ON j.qid = t.qid
+        LEFT JOIN rr r ON r.run_id = t.run_id AND r.qid = j.qid AND r.docno = j.docno),
+nsub AS (SELECT qid, jg, count(DISTINCT jsg) AS nsub FROM prefs GROUP BY qid, jg),
+gdoc AS (SELECT qid, jg, docno, max(rel_level) AS lvl FROM prefs GROUP BY qid, jg, docno),
+e_one AS (SELECT a.qid, a.jg, a.docno AS a, b.docno AS b FROM gdoc a JOIN gdoc b ON a.qid = b.qid AND a.jg = b.jg
+          WHERE a.lvl > b.lvl AND (a.qid, a.jg) IN (SELECT qid, jg FROM nsub WHERE nsub = 1)),
+e_multi0 AS (SELECT DISTINCT a.qid, a.jg, a.docno AS a, b.docno AS b FROM prefs a JOIN prefs b
+             ON a.qid = b.qid AND a.jg = b.jg AND a.jsg = b.jsg
+             WHERE a.rel_level > b.rel_level AND (a.qid, a.jg) IN (SELECT qid, jg FROM nsub WHERE nsub > 1)),
+clo(qid, jg, a, b) AS (
+  SELECT qid, jg, a, b FROM e_multi0
+  UNION
+  SELECT c.qid, c.jg, c.a, e.b FROM clo c JOIN e_multi0 e ON c.qid = e.qid AND c.jg = e.jg AND c.b = e.a),
+edges AS (SELECT qid, jg, a, b, 1 AS one_sub FROM e_one UNION ALL SELECT qid, jg, a, b, 0 FROM clo),
+gd AS (SELECT p.run_id, g.qid, g.jg, g.docno, g.lvl, p.ret, p.pos,
+              sum(CASE WHEN g.lvl = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p.run_id, g.qid, g.jg ORDER BY p.pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nonrel_idx,
+              sum(CASE WHEN g.lvl = 0 AND p.ret THEN 1 ELSE 0 END) OVER (PARTITION BY p.run_id, g.qid, g.jg ORDER BY p.pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ret_nonrel_idx
+       FROM gdoc g JOIN pos p ON g.qid = p.qid AND g.docno = p.docno),
+dc AS (SELECT run_id, qid, jg, count(*) AS n_docs, sum(CASE WHEN ret THEN 1 ELSE 0 END) AS n_ret,
+              sum(CASE WHEN lvl > 0 THEN 1 ELSE 0 END) AS num_rel, sum(CASE WHEN lvl = 0 THEN 1 ELSE 0 END) AS num_nonrel,
+              sum(CASE WHEN lvl > 0 AND ret THEN 1 ELSE 0 END) AS num_rel_ret,
+              sum(CASE WHEN lvl = 0 AND ret THEN 1 ELSE 0 END) AS num_nonrel_ret
+       FROM gd GROUP BY run_id, qid, jg),
+ep AS (SELECT x.run_id, e.qid, e.jg, e.one_sub, x.docno AS a, y.docno AS b, x.lvl AS la, y.lvl AS lb,
+              x.ret AS ra, y.ret AS rb, x.pos AS pa, y.pos AS pb, x.nonrel_idx AS ia, y.nonrel_idx AS ib,
+              x.ret_nonrel_idx AS ria, y.ret_nonrel_idx AS rib
+       FROM edges e JOIN gd x ON e.qid = x.qid AND e.jg = x.jg AND e.a = x.docno
+       JOIN gd y ON e.qid = y.qid AND e.jg = y.jg AND e.b = y.docno AND x.run_id = y.run_id),
+cnt AS (SELECT run_id, qid, jg, max(one_sub) AS one_sub,
+               sum(CASE WHEN ra AND rb THEN 1 ELSE 0 END) AS poss_ret,
+               sum(CASE WHEN ra AND rb AND pa < pb THEN 1 ELSE 0 END) AS ful_ret,
+               sum(CASE WHEN ra <> rb THEN 1 ELSE 0 END) AS poss_imp,
+               sum(CASE WHEN ra AND NOT rb THEN 1 ELSE 0 END) AS ful_imp,
+               sum(CASE WHEN NOT ra AND NOT rb THEN 1 ELSE 0 END) AS poss_notoccur,
+               sum(CASE WHEN la > 0 AND lb > 0 THEN 1 ELSE 0 END) AS ecA_poss,
+               sum(CASE WHEN la > 0 AND lb > 0 AND ra AND pa < pb THEN 1 ELSE 0 END) AS ecA_ful,
+               sum(CASE WHEN la > 0 AND lb > 0 AND ra AND rb THEN 1 ELSE 0 END) AS ecAr_poss,
+               sum(CASE WHEN la > 0 AND lb > 0 AND ra AND rb AND pa < pb THEN 1 ELSE 0 END) AS ecAr_ful
+        FROM ep GROUP BY run_id, qid, jg),
+grp AS (SELECT d.run_id, d.qid, d.jg, n.nsub, d.n_docs, d.n_ret, d.num_rel, d.num_nonrel, d.num_rel_ret, d.num_nonrel_ret,
+               coalesce(c.poss_ret, 0) AS poss_ret, coalesce(c.ful_ret, 0) AS ful_ret, coalesce(c.poss_imp, 0) AS poss_imp,
+               coalesce(c.ful_imp, 0) AS ful_imp, coalesce(c.poss_notoccur, 0) AS poss_notoccur,
+               coalesce(c.ecA_poss, 0) AS ecA_poss, coalesce(c.ecA_ful, 0) AS ecA_ful,
+               coalesce(c.ecAr_poss, 0) AS ecAr_poss, coalesce(c.ecAr_ful, 0) AS ecAr_ful
+        FROM dc d JOIN nsub n ON d.qid = n.qid AND d.jg = n.jg
+        LEFT JOIN cnt c ON d.run_id = c.run_id AND d.qid = c.qid AND d.jg = c.jg),
+-- one sub-group recount: every group document against the first num_rel nonrelevant ones (itself included)
+kept AS (SELECT g.run_id, g.qid, g.jg,
+                sum(CASE WHEN x.ret AND x.pos < y.pos THEN 1 ELSE 0 END) AS ful_b, count(*) AS poss_b
+         FROM gd y JOIN dc g ON y.run_id = g.run_id AND y.qid = g.qid AND y.jg = g.jg
+         JOIN gd x ON x.run_id = y.run_id AND x.qid = y.qid AND x.jg = y.jg
+         WHERE y.lvl = 0 AND y.nonrel_idx <= g.num_rel GROUP BY g.run_id, g.qid, g.jg),
+kept_r AS (SELECT g.run_id, g.qid, g.jg,
+                  sum(CASE WHEN x.pos < y.pos THEN 1 ELSE 0 END) AS ful_b, count(*) AS poss_b
+           FROM gd y JOIN dc g ON y.run_id = g.run_id AND y.qid = g.qid AND y.jg = g.jg
+           JOIN gd x ON x.run_id = y.run_id AND x.qid = y.qid AND x.jg = y.jg AND x.ret
+           WHERE y.lvl = 0 AND y.ret AND y.nonrel_idx <= g.num_rel_ret GROUP BY g.run_id, g.qid, g.jg),
+-- several sub-groups recount: drop nonrelevant documents beyond the first num_rel
+arr AS (SELECT run_id, qid, jg,
+               sum(CASE WHEN ra AND pa < pb THEN 1 ELSE 0 END) AS ful, count(*) AS poss
+        FROM ep e JOIN dc USING (run_id, qid, jg)
+        WHERE e.one_sub = 0 AND NOT (la = 0 AND ia > num_rel) AND NOT (lb = 0 AND ib > num_rel)
+        GROUP BY run_id, qid, jg),
+arr_r AS (SELECT run_id, qid, jg,
+                 sum(CASE WHEN pa < pb THEN 1 ELSE 0 END) AS ful, count(*) AS poss
+          FROM ep e JOIN dc USING (run_id, qid, jg)
+          WHERE e.one_sub = 0 AND ra AND rb AND NOT (la = 0 AND ria > num_rel) AND NOT (lb = 0 AND rib > num_rel)
+          GROUP BY run_id, qid, jg),
+g2 AS (SELECT g.*,
+  CASE WHEN num_rel >= num_nonrel THEN ful_ret + ful_imp + num_rel_ret * (num_rel - num_nonrel)
+       WHEN nsub = 1 THEN ecA_ful + coalesce(k.ful_b, 0) ELSE coalesce(a.ful, 0) END AS rn_ful,
+  CASE WHEN num_rel >= num_nonrel THEN poss_ret + poss_imp + poss_notoccur + num_rel * (num_rel - num_nonrel)
+       WHEN nsub = 1 THEN ecA_poss + coalesce(k.poss_b, 0) ELSE coalesce(a.poss, 0) END AS rn_poss,
+  CASE WHEN num_rel_ret >= num_nonrel_ret THEN ful_ret + num_rel_ret * (num_rel_ret - num_nonrel_ret)
+       WHEN nsub = 1 THEN ecAr_ful + coalesce(kr.ful_b, 0) ELSE coalesce(ar.ful, 0) END AS rr_ful,
+  CASE WHEN num_rel_ret >= num_nonrel_ret THEN poss_ret + num_rel * (num_rel_ret - num_nonrel_ret)
+       WHEN nsub = 1 THEN ecAr_poss + coalesce(kr.poss_b, 0) ELSE coalesce(ar.poss, 0) END AS rr_poss
+  FROM grp g
+  LEFT JOIN kept k USING (run_id, qid, jg) LEFT JOIN kept_r kr USING (run_id, qid, jg)
+  LEFT JOIN arr a USING (run_id, qid, jg) LEFT JOIN arr_r ar USING (run_id, qid, jg)),
+topic AS (SELECT run_id, qid, count(*) AS njg,
+  sum(poss_ret + poss_imp + poss_notoccur) AS poss, sum(ful_ret + ful_imp) AS ful, sum(ful_ret) AS ful_ret,
+  sum(poss_ret) AS poss_ret, sum(poss_ret + poss_imp) AS poss_ri,
+  sum(CASE WHEN poss_ret + poss_imp + poss_notoccur > 0 THEN (ful_ret + ful_imp) / (poss_ret + poss_imp + poss_notoccur) ELSE 0 END) AS s_all,
+  sum(CASE WHEN poss_ret > 0 THEN ful_ret / poss_ret ELSE 0 END) AS s_ret,
+  sum(CASE WHEN poss_ret + poss_imp > 0 THEN (ful_ret + ful_imp) / (poss_ret + poss_imp) ELSE 0 END) AS s_imp,
+  sum(CASE WHEN rn_poss > 0 THEN rn_ful / rn_poss ELSE 0 END) AS s_rn, max(CASE WHEN rn_poss = 0 THEN 1 ELSE 0 END) AS nan_rn,
+  sum(CASE WHEN rr_poss > 0 THEN rr_ful / rr_poss ELSE 0 END) AS s_rnr, max(CASE WHEN rr_poss = 0 THEN 1 ELSE 0 END) AS nan_rnr
+  FROM g2 GROUP BY run_id, qid),
+pc0 AS (SELECT run_id, qid, CASE WHEN pa < pb THEN a ELSE b END AS x, CASE WHEN pa < pb THEN b ELSE a END AS y,
+               CASE WHEN pa < pb THEN 1 ELSE 0 END AS fwd, CASE WHEN pa < pb THEN ra ELSE rb END AS rx,
+               CASE WHEN pa < pb THEN rb ELSE ra END AS ry FROM ep),
+pc AS (SELECT run_id, qid, x, y, sum(fwd) AS nxy, sum(1 - fwd) AS nyx, bool_or(rx) AS rx, bool_or(ry) AS ry
+       FROM pc0 GROUP BY run_id, qid, x, y),
+pairs AS (SELECT run_id, qid,
+  sum(CASE WHEN rx THEN nxy / (nxy + nyx) ELSE 0 END) AS s, count(*) AS n_all,
+  sum(CASE WHEN rx THEN 1 ELSE 0 END) AS n_imp,
+  sum(CASE WHEN rx AND ry THEN nxy / (nxy + nyx) ELSE 0 END) AS ps_ret, sum(CASE WHEN rx AND ry THEN 1 ELSE 0 END) AS n_ret
+  FROM pc GROUP BY run_id, qid),
+tv AS (SELECT t.*, p.s, p.n_all, p.n_imp, p.ps_ret, p.n_ret FROM topic t LEFT JOIN pairs p USING (run_id, qid)),
+pm AS (
+  SELECT run_id, qid, 'prefs_num_prefs_poss' AS measure, CAST(poss AS DOUBLE) AS value FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_num_prefs_ful', CAST(ful AS DOUBLE) FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_num_prefs_ful_ret', CAST(ful_ret AS DOUBLE) FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_simp', CASE WHEN poss > 0 THEN ful / poss ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_simp_ret', CASE WHEN poss_ret > 0 THEN ful_ret / poss_ret ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_simp_imp', CASE WHEN poss_ri > 0 THEN ful / poss_ri ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_avgjg', CASE WHEN s_all > 0 THEN s_all / njg ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_avgjg_ret', CASE WHEN s_ret > 0 THEN s_ret / njg ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_avgjg_imp', CASE WHEN s_imp > 0 THEN s_imp / njg ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_avgjg_Rnonrel', CASE WHEN nan_rn = 0 AND s_rn > 0 THEN s_rn / njg ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_avgjg_Rnonrel_ret', CASE WHEN nan_rnr = 0 AND s_rnr > 0 THEN s_rnr / njg ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_pair', CASE WHEN coalesce(n_all, 0) > 0 THEN s / n_all ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_pair_imp', CASE WHEN coalesce(n_imp, 0) > 0 THEN s / n_imp ELSE 0 END FROM tv
+  UNION ALL SELECT run_id, qid, 'prefs_pair_ret', CASE WHEN coalesce(n_ret, 0) > 0 THEN ps_ret / n_ret ELSE 0 END FROM tv)"""
+
+
+SUMMED_PREFS = ("prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret")
+
+
+def prefs_input_cte(which: str = "multi") -> str:
+    if which == "multi":
+        return prefs_cte(MULTI_PREFS, PREFS_RUN, pre=f"d0 AS ({MULTI_PREFS_DOCS}),")
+    return prefs_cte(QRELS_PREFS, DEEP_RUN)
+
+
+def prefs_measure_sql(measure: str, which: str = "multi") -> str:
+    cte = prefs_input_cte(which)
+    agg = "sum(value)" if measure in SUMMED_PREFS else "avg(value)"
+    return f"""{cte}
+SELECT run_id, qid, measure, round(value, 6) AS value FROM pm WHERE measure = '{measure}'
+UNION ALL SELECT run_id, 'all', measure, round({agg}, 6) FROM pm WHERE measure = '{measure}' GROUP BY run_id, measure"""
+
+
+def prefs_all_sql(which: str = "qrels") -> str:
+    return f"""{prefs_input_cte(which)}
+SELECT run_id, qid, measure, round(value, 6) AS value FROM pm
+UNION ALL SELECT run_id, 'all', measure,
+  round(CASE WHEN measure IN {SUMMED_PREFS} THEN sum(value) ELSE avg(value) END, 6) FROM pm GROUP BY run_id, measure"""

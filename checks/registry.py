@@ -393,3 +393,68 @@ def q_weight_search(spark, sf):
 def q_cv_eval(spark, sf):
     feats = _ltr(spark, sf).cache()
     return LT.cv_eval(feats, 5)
+
+
+# ------------------------------------------------------------------ preferences
+
+from ranklens.operators import prefs as PR  # noqa: E402
+from ranklens.plans.evaluate import evaluate_prefs  # noqa: E402
+from ranklens.functions import catalog as CAT  # noqa: E402
+
+
+def _prefs_query(name):
+    def q(spark, sf):
+        df = evaluate_prefs(T.prefs_run(spark, sf), T.multi_prefs(spark, sf), [name])
+        return _r6(df.where(F.col("measure") != "num_q"))
+
+    return q
+
+
+for _m in CAT.PREF_MEASURES:
+    register(_m, O.prefs_measure_sql(_m))(_prefs_query(_m))
+
+
+@register("prefs_measures_qrels", O.prefs_all_sql("qrels"))
+def q_prefs_measures_qrels(spark, sf):
+    df = evaluate_prefs(T.deep_run(spark, sf), T.qrels_prefs(spark, sf), "all_prefs")
+    return _r6(df.where(F.col("measure") != "num_q"))
+
+
+@register("pref_positions", f"{O.prefs_input_cte('multi')} SELECT run_id, qid, docno, ret, CAST(pos AS BIGINT) AS pos FROM pos")
+def q_pref_positions(spark, sf):
+    return PR.pref_positions(T.prefs_run(spark, sf), T.multi_prefs(spark, sf))
+
+
+@register("pref_edges", f"{O.prefs_input_cte('multi')} SELECT qid, jg, a, b FROM e_multi0")
+def q_pref_edges(spark, sf):
+    return PR.pref_edges(T.multi_prefs(spark, sf))
+
+
+@register("pref_closure", f"{O.prefs_input_cte('multi')} SELECT qid, jg, a, b FROM clo")
+def q_pref_closure(spark, sf):
+    return PR.pref_closure(PR.pref_edges(T.multi_prefs(spark, sf)))
+
+
+@register("validate_prefs", f"""WITH prefs AS ({O.MULTI_PREFS.replace('FROM d0', f'FROM ({O.MULTI_PREFS_DOCS}) d0')})
+SELECT qid, jg, docno, 'two levels in a sub-group' AS problem FROM prefs GROUP BY qid, jg, jsg, docno
+HAVING count(DISTINCT rel_level) > 1
+UNION ALL
+SELECT qid, jg, docno, 'zero and non-zero level in a group' FROM prefs GROUP BY qid, jg, docno
+HAVING min(rel_level) = 0 AND max(rel_level) > 0""")
+def q_validate_prefs(spark, sf):
+    return PR.validate_prefs(T.multi_prefs(spark, sf))
+
+
+_PC = ["poss_ret", "ful_ret", "poss_imp", "ful_imp", "poss_notoccur", "num_rel", "num_nonrel", "num_rel_ret", "num_nonrel_ret"]
+
+
+@register("pref_counts", f"{O.prefs_input_cte('qrels')} SELECT run_id, qid, jg, " + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _PC) + " FROM grp")
+def q_pref_counts(spark, sf):
+    c = PR.pref_counts(T.deep_run(spark, sf), T.qrels_prefs(spark, sf))
+    return c.select("run_id", "qid", "jg", *[F.col(x).cast("long").alias(x) for x in _PC])
+
+
+@register("pair_counts", f"{O.prefs_input_cte('multi')} SELECT run_id, qid, x, y, CAST(nxy AS BIGINT) AS n_xy, CAST(nyx AS BIGINT) AS n_yx, rx, ry FROM pc")
+def q_pair_counts(spark, sf):
+    c = PR.pair_counts(T.prefs_run(spark, sf), T.multi_prefs(spark, sf))
+    return c.select("run_id", "qid", "x", "y", F.col("n_xy").cast("long").alias("n_xy"), F.col("n_yx").cast("long").alias("n_yx"), "rx", "ry")

@@ -17,9 +17,11 @@ Derivation rules (fixed, mirrored in the oracle):
   the highest grade of its lines.
 * qrels_jg: three assessors; '0' as above, '1' demotes grade 1 to 0,
   '2' promotes grade 0 to 1.
-* prefs ``multi``: topic = order, document = ``linenumber-suppkey``, one
-  assessor, every line in two sub-groups (by line status and by return flag),
-  preference level = quantity bucket (a function of the document, so no cycles).
+* prefs ``multi``: topic = order, document = ``linenumber-suppkey``, two
+  assessors (level = quantity bucket for '0', tax bucket for '1'), every line
+  in two sub-groups (by line status and by return flag); a level is a function
+  of the document, so no assessor has cycles.
+* prefs ``qrels``: the graded judgments seen as preferences (one sub-group).
 * run ``prefs``: the order's open lines plus lines with a discount above 0.03.
 """
 
@@ -89,22 +91,35 @@ def _pref_doc() -> F.Column:
 
 
 def multi_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preferences with two sub-groups per document (closure has work to do)."""
+    """Preferences with two sub-groups per document (closure has work to do), two assessors."""
     li = table(spark, sf_dir, "lineitem")
+    tax_level = F.when(F.col("l_tax") >= 0.06, 2).when(F.col("l_tax") >= 0.03, 1).otherwise(0)
     docs = li.groupBy(F.col("l_orderkey").cast("string").alias("qid"), _pref_doc().alias("docno")).agg(
-        F.max(F.floor(F.col("l_quantity") / 10)).cast("float").alias("rel_level"),
+        F.max(F.floor(F.col("l_quantity") / 10)).cast("float").alias("lv0"),
+        F.max(tax_level).cast("float").alias("lv1"),
         F.max("l_linestatus").alias("ls"),
         F.max("l_returnflag").alias("rf"),
     )
-    return docs.select(
+    per_jg = docs.select(
+        "qid", "docno", "ls", "rf",
+        F.explode(F.array(F.struct(F.lit("0").alias("jg"), F.col("lv0").alias("rel_level")),
+                          F.struct(F.lit("1").alias("jg"), F.col("lv1").alias("rel_level")))).alias("j"),
+    )
+    return per_jg.select(
         "qid",
-        F.lit("0").alias("jg"),
+        F.col("j.jg").alias("jg"),
         F.explode(F.array(F.concat(F.lit("ls_"), F.col("ls")), F.concat(F.lit("rf_"), F.col("rf")))).alias("jsg"),
         "docno",
-        "rel_level",
+        F.col("j.rel_level").alias("rel_level"),
     )
 
 
+def qrels_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graded judgments read as preferences: assessor '0', one sub-group."""
+    q = deep_qrels(spark, sf_dir).where(F.col("rel") >= 0)  # unjudged documents carry no preference
+    return q.select("qid", F.lit("0").alias("jg"), F.lit("0").alias("jsg"), "docno", F.col("rel").cast("float").alias("rel_level"))
+
+
 def prefs_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").where((F.col("l_linestatus") == "O") | (F.col("l_discount") > 0.03))
     return li.groupBy(F.col("l_orderkey").cast("string").alias("qid"), _pref_doc().alias("docno")).agg(
