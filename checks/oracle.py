@@ -663,3 +663,47 @@ def prefs_all_sql(which: str = "qrels") -> str:
 SELECT run_id, qid, measure, round(value, 6) AS value FROM pm
 UNION ALL SELECT run_id, 'all', measure,
   round(CASE WHEN measure IN {SUMMED_PREFS} THEN sum(value) ELSE avg(value) END, 6) FROM pm GROUP BY run_id, measure"""
+
+
+# ------------------------------------------------------------------ nested articles
+
+ARTICLE_CTE = """
+cn AS (SELECT c.*, n.n_regionkey FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+nodes AS (
+  SELECT CAST(n_regionkey AS VARCHAR) AS page_id, 'n' || CAST(n_nationkey AS VARCHAR) AS node_id, CAST(NULL AS VARCHAR) AS parent_id,
+         CAST(n_nationkey AS BIGINT) AS ord, 'section' AS kind, n_name AS heading, replace(n_name, ' ', '%20') AS heading_id,
+         CAST(NULL AS VARCHAR) AS para_id FROM nation
+  UNION ALL
+  SELECT CAST(n_regionkey AS VARCHAR), 'n' || CAST(c_nationkey AS VARCHAR) || '/' || c_mktsegment, 'n' || CAST(c_nationkey AS VARCHAR),
+         CAST(min(c_custkey) AS BIGINT), 'section', c_mktsegment, replace(c_mktsegment, ' ', '%20'), NULL
+  FROM cn WHERE c_acctbal >= 0 GROUP BY n_regionkey, c_nationkey, c_mktsegment
+  UNION ALL
+  SELECT CAST(n_regionkey AS VARCHAR), 'c' || CAST(c_custkey AS VARCHAR),
+         CASE WHEN c_acctbal >= 0 THEN 'n' || CAST(c_nationkey AS VARCHAR) || '/' || c_mktsegment ELSE 'n' || CAST(c_nationkey AS VARCHAR) END,
+         CAST(c_custkey AS BIGINT), 'para', NULL, NULL, CAST(c_custkey AS VARCHAR) FROM cn),
+paths(page_id, node_id, path_ids, headings) AS (
+  SELECT page_id, node_id, [heading_id], [heading] FROM nodes WHERE kind = 'section' AND parent_id IS NULL
+  UNION ALL
+  SELECT s.page_id, s.node_id, list_append(p.path_ids, s.heading_id), list_append(p.headings, s.heading)
+  FROM nodes s JOIN paths p ON s.parent_id = p.node_id AND s.page_id = p.page_id WHERE s.kind = 'section'),
+pp AS (SELECT page_id, node_id, headings, array_to_string(list_prepend(page_id, path_ids), '/') AS section_path_id FROM paths),
+spara AS (
+  SELECT x.page_id, p.section_path_id, p.headings, x.para_id, x.ord FROM nodes x JOIN pp p ON x.parent_id = p.node_id AND x.page_id = p.page_id
+  WHERE x.kind = 'para'
+  UNION ALL
+  SELECT page_id, page_id, CAST([] AS VARCHAR[]), para_id, ord FROM nodes WHERE kind = 'para' AND parent_id IS NULL),
+bodies AS (
+  SELECT CAST(conv_id AS VARCHAR) AS para_id, CAST(turn AS BIGINT) AS turn,
+         CASE WHEN role = 'user' THEN 'text' ELSE 'link' END AS kind,
+         CASE WHEN role = 'user' THEN text END AS text,
+         CASE WHEN role <> 'user' THEN role END AS page,
+         CASE WHEN role <> 'user' THEN role || '/' || CAST(conv_id AS VARCHAR) END AS page_id,
+         CASE WHEN role <> 'user' AND turn > 1 THEN CAST(turn AS VARCHAR) END AS link_section,
+         CASE WHEN role <> 'user' THEN text END AS anchor
+  FROM conversations),
+ptext AS (SELECT para_id, string_agg(CASE WHEN kind = 'text' THEN text ELSE anchor END, '' ORDER BY turn) AS text FROM bodies GROUP BY para_id),
+pages AS (SELECT CAST(r_regionkey AS VARCHAR) AS page_id, r_name AS page_name FROM region)"""
+
+
+def article_sql(select: str) -> str:
+    return f"WITH RECURSIVE {ARTICLE_CTE}\n{select}"

@@ -458,3 +458,68 @@ def q_pref_counts(spark, sf):
 def q_pair_counts(spark, sf):
     c = PR.pair_counts(T.prefs_run(spark, sf), T.multi_prefs(spark, sf))
     return c.select("run_id", "qid", "x", "y", F.col("n_xy").cast("long").alias("n_xy"), F.col("n_yx").cast("long").alias("n_yx"), "rx", "ry")
+
+
+# ------------------------------------------------------------------ nested articles
+
+from ranklens.operators import articles as AR  # noqa: E402
+
+
+@register("leaf_section_paths", O.article_sql("""SELECT p.page_id, p.section_path_id, p.headings FROM pp p
+WHERE NOT EXISTS (SELECT 1 FROM nodes c WHERE c.kind = 'section' AND c.parent_id = p.node_id AND c.page_id = p.page_id)"""))
+def q_leaf_section_paths(spark, sf):
+    return AR.leaf_section_paths(T.article_nodes(spark, sf))
+
+
+@register("section_paragraphs", O.article_sql("SELECT * FROM spara"))
+def q_section_paragraphs(spark, sf):
+    return AR.section_paragraphs(T.article_nodes(spark, sf))
+
+
+@register("section_path_id", O.article_sql("SELECT page_id, node_id, section_path_id FROM pp"))
+def q_section_path_id(spark, sf):
+    p = AR.section_paths(T.article_nodes(spark, sf))
+    return p.select("page_id", "node_id", AR.section_path_id(F.col("page_id"), F.col("path_ids")).alias("section_path_id"))
+
+
+@register("section_path_headings", O.article_sql("SELECT page_id, node_id, headings FROM pp"))
+def q_section_path_headings(spark, sf):
+    return AR.section_paths(T.article_nodes(spark, sf)).select("page_id", "node_id", "headings")
+
+
+@register("child_sections", O.article_sql("""SELECT c.page_id, p.section_path_id AS parent_path_id, c.heading AS child_heading, c.ord
+FROM nodes c JOIN pp p ON c.parent_id = p.node_id AND c.page_id = p.page_id WHERE c.kind = 'section'"""))
+def q_child_sections(spark, sf):
+    return AR.child_sections(T.article_nodes(spark, sf))
+
+
+@register("paragraph_text", O.article_sql("SELECT para_id, text FROM ptext"))
+def q_paragraph_text(spark, sf):
+    return AR.paragraph_text(T.article_paragraphs(spark, sf))
+
+
+@register("paragraph_entities", O.article_sql("""SELECT para_id, coalesce(list(page ORDER BY turn) FILTER (WHERE kind = 'link'), CAST([] AS VARCHAR[])) AS entities
+FROM bodies GROUP BY para_id"""))
+def q_paragraph_entities(spark, sf):
+    return AR.paragraph_entities(T.article_paragraphs(spark, sf))
+
+
+@register("link_sections", O.article_sql("SELECT para_id, turn, page, page_id, link_section, anchor FROM bodies WHERE kind = 'link'"))
+def q_link_sections(spark, sf):
+    return AR.link_sections(T.article_paragraphs(spark, sf))
+
+
+@register("article_plain_text", O.article_sql("""SELECT s.page_id, s.para_id,
+       array_to_string(list_concat([g.page_name], s.headings, [t.text]), ' ') AS line
+FROM spara s JOIN pages g ON s.page_id = g.page_id JOIN ptext t ON s.para_id = t.para_id WHERE length(t.text) > 10"""))
+def q_article_plain_text(spark, sf):
+    return AR.article_plain_text(T.article_nodes(spark, sf), T.article_pages(spark, sf), T.article_paragraphs(spark, sf))
+
+
+@register("dedupe_paragraph", O.article_sql("""SELECT DISTINCT para_id, text FROM (
+  SELECT para_id, text FROM ptext
+  UNION ALL SELECT t.para_id, t.text FROM spara s JOIN ptext t ON s.para_id = t.para_id) u"""))
+def q_dedupe_paragraph(spark, sf):
+    pt = AR.paragraph_text(T.article_paragraphs(spark, sf))
+    referenced = AR.section_paragraphs(T.article_nodes(spark, sf)).select("para_id").join(pt, "para_id")
+    return AR.dedupe_paragraph(pt.unionByName(referenced))

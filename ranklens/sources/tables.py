@@ -135,3 +135,87 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: one per benchmark item, the whole item text is the query."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("qid"), F.col("text").alias("query"))
+
+
+# ------------------------------------------------------------------ nested articles
+#
+# page = region; section = nation; sub-section = market segment of the
+# nation's customers; paragraph = customer (customers with a negative balance
+# sit directly in the nation section).  Paragraph bodies come from
+# conversations: turns in order, a user turn is plain text, any other turn a
+# link to the page named by its role (link section = the turn number from the
+# second turn on).
+
+NODE_SCHEMA = "page_id string, node_id string, parent_id string, ord long, kind string, heading string, heading_id string, para_id string"
+
+
+def _heading_id(c) -> F.Column:
+    return F.regexp_replace(c, " ", "%20")
+
+
+def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    return r.select(F.col("r_regionkey").cast("string").alias("page_id"), F.col("r_name").alias("page_name"))
+
+
+def article_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    c = table(spark, sf_dir, "customer")
+    nation = n.select(
+        F.col("n_regionkey").cast("string").alias("page_id"),
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("node_id"),
+        F.lit(None).cast("string").alias("parent_id"),
+        F.col("n_nationkey").cast("long").alias("ord"),
+        F.lit("section").alias("kind"),
+        F.col("n_name").alias("heading"),
+        _heading_id(F.col("n_name")).alias("heading_id"),
+        F.lit(None).cast("string").alias("para_id"),
+    )
+    cn = c.join(n.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey")
+    seg = (
+        cn.where(F.col("c_acctbal") >= 0)
+        .groupBy("n_regionkey", "c_nationkey", "c_mktsegment")
+        .agg(F.min("c_custkey").alias("first_cust"))
+        .select(
+            F.col("n_regionkey").cast("string").alias("page_id"),
+            F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit("/"), F.col("c_mktsegment")).alias("node_id"),
+            F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("parent_id"),
+            F.col("first_cust").cast("long").alias("ord"),
+            F.lit("section").alias("kind"),
+            F.col("c_mktsegment").alias("heading"),
+            _heading_id(F.col("c_mktsegment")).alias("heading_id"),
+            F.lit(None).cast("string").alias("para_id"),
+        )
+    )
+    parent = F.when(
+        F.col("c_acctbal") >= 0,
+        F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit("/"), F.col("c_mktsegment")),
+    ).otherwise(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    para = cn.select(
+        F.col("n_regionkey").cast("string").alias("page_id"),
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node_id"),
+        parent.alias("parent_id"),
+        F.col("c_custkey").cast("long").alias("ord"),
+        F.lit("para").alias("kind"),
+        F.lit(None).cast("string").alias("heading"),
+        F.lit(None).cast("string").alias("heading_id"),
+        F.col("c_custkey").cast("string").alias("para_id"),
+    )
+    return nation.unionByName(seg).unionByName(para)
+
+
+def article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """paragraphs(para_id, bodies array<struct<turn, kind, text, page, page_id, link_section, anchor>>)."""
+    cv = table(spark, sf_dir, "conversations")
+    is_text = F.col("role") == "user"
+    body = F.struct(
+        F.col("turn").cast("long").alias("turn"),
+        F.when(is_text, F.lit("text")).otherwise(F.lit("link")).alias("kind"),
+        F.when(is_text, F.col("text")).alias("text"),
+        F.when(~is_text, F.col("role")).alias("page"),
+        F.when(~is_text, F.concat(F.col("role"), F.lit("/"), F.col("conv_id").cast("string"))).alias("page_id"),
+        F.when(~is_text & (F.col("turn") > 1), F.col("turn").cast("string")).alias("link_section"),
+        F.when(~is_text, F.col("text")).alias("anchor"),
+    )
+    # one paragraph's bodies: bounded by the length of one conversation
+    return cv.groupBy(F.col("conv_id").cast("string").alias("para_id")).agg(F.sort_array(F.collect_list(body)).alias("bodies"))
