@@ -523,3 +523,140 @@ def q_dedupe_paragraph(spark, sf):
     pt = AR.paragraph_text(T.article_paragraphs(spark, sf))
     referenced = AR.section_paragraphs(T.article_nodes(spark, sf)).select("para_id").join(pt, "para_id")
     return AR.dedupe_paragraph(pt.unionByName(referenced))
+
+
+# ------------------------------------------------------------------ sources and sinks (round trips through files)
+
+from ranklens import sources as SRC  # noqa: E402
+from ranklens.session import scratch_path  # noqa: E402
+from ranklens.sources import sinks as SK  # noqa: E402
+
+
+def _write_lines(df: DataFrame, spark, name: str) -> str:
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").text(path)
+    return path
+
+
+@register("read_run", O.DEEP_RUN)
+def q_read_run(spark, sf):
+    run = T.deep_run(spark, sf)
+    lines = RK.add_rank(run).select(
+        F.concat_ws(" ", "qid", F.lit("Q0"), "docno", F.col("rank").cast("string"), F.col("sim").cast("string"), "run_id").alias("value")
+    )
+    return SRC.read_run(spark, _write_lines(lines, spark, "run")).select("run_id", "qid", "docno", "sim")
+
+
+@register("read_qrels", O.DEEP_QRELS)
+def q_read_qrels(spark, sf):
+    q = T.deep_qrels(spark, sf)
+    lines = q.select(F.concat_ws(" ", "qid", F.lit("0"), "docno", F.col("rel").cast("string")).alias("value"))
+    return SRC.read_qrels(spark, _write_lines(lines, spark, "qrels"))
+
+
+@register("read_qrels_jg", O.DEEP_QRELS_JG)
+def q_read_qrels_jg(spark, sf):
+    q = T.deep_qrels_jg(spark, sf)
+    lines = q.select(F.concat_ws(" ", "qid", "jg", "docno", F.col("rel").cast("string")).alias("value"))
+    return SRC.read_qrels_jg(spark, _write_lines(lines, spark, "qrels_jg"))
+
+
+@register("read_qrels_prefs", f"SELECT qid, jg, '0' AS jsg, docno, CAST(rel AS FLOAT) AS rel_level FROM ({O.DEEP_QRELS_JG}) q")
+def q_read_qrels_prefs(spark, sf):
+    q = T.deep_qrels_jg(spark, sf)
+    lines = q.select(F.concat_ws(" ", "qid", "jg", "docno", F.col("rel").cast("string")).alias("value"))
+    return SRC.read_qrels_prefs(spark, _write_lines(lines, spark, "qrels_prefs"))
+
+
+@register("read_prefs", f"WITH d0 AS ({O.MULTI_PREFS_DOCS}) {O.MULTI_PREFS}")
+def q_read_prefs(spark, sf):
+    p = T.multi_prefs(spark, sf)
+    lines = p.select(F.concat_ws(" ", "qid", "jg", "jsg", "docno", F.col("rel_level").cast("string")).alias("value"))
+    return SRC.read_prefs(spark, _write_lines(lines, spark, "prefs"))
+
+
+def _zref_sql():
+    pt = f"SELECT * FROM ({O.measure_sql('map', _TWO_RUNS, rounded=False)}) x WHERE qid <> 'all'"
+    return f"""WITH pt AS ({pt})
+SELECT qid, measure, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev FROM pt GROUP BY qid, measure"""
+
+
+@register("read_zref", _zref_sql())
+def q_read_zref(spark, sf):
+    pt = evaluate(_two_runs(spark, sf), T.deep_qrels(spark, sf), ["map"]).where(F.col("qid") != "all")
+    z = pt.groupBy("qid", "measure").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"))
+    lines = z.select(F.concat_ws("\t", "qid", "measure", F.col("mean").cast("string"), F.col("stddev").cast("string")).alias("value"))
+    r = SRC.read_zref(spark, _write_lines(lines, spark, "zref"))
+    return _r6(_r6(r, "mean"), "stddev")
+
+
+@register("qrels_lookup", f"""SELECT CAST(l_suppkey AS VARCHAR) AS qid,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS docno,
+       CAST(max(CASE WHEN l_discount >= 0.08 THEN 2 WHEN l_discount >= 0.05 THEN 1 ELSE 0 END) AS INTEGER) AS rel
+FROM lineitem GROUP BY 1, 2""")
+def q_qrels_lookup(spark, sf):
+    li = T.table(spark, sf, "lineitem")
+    grade = F.when(F.col("l_discount") >= 0.08, 2).when(F.col("l_discount") >= 0.05, 1).otherwise(0)
+    rows = li.select(F.col("l_suppkey").cast("string").alias("qid"), T._doc_key().alias("docno"), grade.alias("rel"))
+    # one judgment per line item, duplicates included; within a key, lines are written in grade order
+    lines = rows.repartitionByRange(8, "qid", "docno", "rel").sortWithinPartitions("qid", "docno", "rel")
+    lines = lines.select(F.concat_ws(" ", "qid", F.lit("0"), "docno", F.col("rel").cast("string")).alias("value"))
+    return SRC.qrels_lookup(spark, _write_lines(lines, spark, "qrels_lookup"))
+
+
+@register("read_topics", "SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS qid, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS query FROM benchmark")
+def q_read_topics(spark, sf):
+    t = T.topics(spark, sf).select(F.trim(F.regexp_replace("query", r"\s+", " ")).alias("value"))
+    return SRC.read_topics(spark, _write_lines(t, spark, "titles"))
+
+
+@register("read_corpus", O.CORPUS)
+def q_read_corpus(spark, sf):
+    path = scratch_path(spark, "corpus")
+    T.corpus(spark, sf).select(F.col("docno").alias("para_id"), "text").write.mode("overwrite").json(path)
+    return SRC.read_corpus(spark, path, fmt="json")
+
+
+@register("read_ltr", f"""WITH {O.features_cte()}
+SELECT label, qid, f1, f2, f3, f4, f5, 'DocId:' || docno AS comment FROM ltr""")
+def q_read_ltr(spark, sf):
+    path = scratch_path(spark, "ltr")
+    SK.write_ltr(_ltr(spark, sf), path)
+    r = SRC.read_ltr(spark, path)
+    return r.select("label", "qid", *[F.col("features")[i].alias(f"f{i}") for i in range(1, 6)], "comment")
+
+
+@register("write_ltr", f"""WITH {O.features_cte()}
+SELECT CAST(label AS VARCHAR) || ' qid:' || qid || ' 1:' || CAST(f1 AS VARCHAR) || ' 2:' || CAST(f2 AS VARCHAR)
+       || ' 3:' || CAST(f3 AS VARCHAR) || ' 4:' || CAST(f4 AS VARCHAR) || ' 5:' || CAST(f5 AS VARCHAR) || ' # DocId:' || docno AS value
+FROM ltr""")
+def q_write_ltr(spark, sf):
+    path = scratch_path(spark, "ltr_lines")
+    SK.write_ltr(_ltr(spark, sf), path)
+    return spark.read.text(path)
+
+
+@register("write_run", f"""WITH {O.TEXT_CTE},
+{O.hits_cte('lm_dirichlet')}
+SELECT printf('%s Q0 %s %d %.6f %s', qid, docno, rank, round(score, 6), 'team1-' || method) AS value
+FROM top_lm_dirichlet WHERE rank <= 10""")
+def q_write_run(spark, sf):
+    path = scratch_path(spark, "run_lines")
+    SK.write_run(SC.score("lm_dirichlet", T.topics(spark, sf), T.corpus(spark, sf)), path, team="team1")
+    return spark.read.text(path)
+
+
+@register("write_report", None)
+def q_write_report(spark, sf):
+    path = scratch_path(spark, "report")
+    run, qrels = T.deep_run(spark, sf), T.deep_qrels(spark, sf)
+    SK.write_report(evaluate(run, qrels, "official"), path, evaluate_text(run, qrels, ["runid", "relstring"]))
+    return spark.read.text(path)
+
+
+@register("top_content", f"""WITH {O.TEXT_CTE},
+{O.hits_cte('bm25')}
+SELECT t.qid, t.method, t.rank, t.docno, c.text FROM top_bm25 t JOIN corpus c ON t.docno = c.docno WHERE t.rank <= 10""")
+def q_top_content(spark, sf):
+    hits = SC.score("bm25", T.topics(spark, sf), T.corpus(spark, sf))
+    return SK.top_content(hits, T.corpus(spark, sf))

@@ -95,8 +95,15 @@ def read_zref(spark: SparkSession, path: str) -> DataFrame:
 
 
 def qrels_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Judgments split on single spaces (columns 0, 2, 3); the last duplicate wins."""
-    t = spark.read.text(path).select(F.split(F.col("value"), " ").alias("f"), F.monotonically_increasing_id().alias("line_no"))
+    """Judgments split on single spaces (columns 0, 2, 3); the last duplicate wins.
+
+    "Last" is file order: (file name, position in the file) — a file's lines
+    keep their order within its splits.
+    """
+    t = spark.read.text(path).select(
+        F.split(F.col("value"), " ").alias("f"),
+        F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line")).alias("line_no"),
+    )
     t = t.where(F.size("f") >= 4)
     return t.groupBy(F.col("f")[0].alias("qid"), F.col("f")[2].alias("docno")).agg(
         F.max_by(F.col("f")[3].cast("int"), F.col("line_no")).alias("rel")
