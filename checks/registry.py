@@ -660,3 +660,48 @@ SELECT t.qid, t.method, t.rank, t.docno, c.text FROM top_bm25 t JOIN corpus c ON
 def q_top_content(spark, sf):
     hits = SC.score("bm25", T.topics(spark, sf), T.corpus(spark, sf))
     return SK.top_content(hits, T.corpus(spark, sf))
+
+
+# ------------------------------------------------------------------ extension surface and measure naming
+
+from ranklens.operators import measures as ME  # noqa: E402
+
+# example user measure: binary DCG of the first 10 documents (summed discounted relevance)
+ME.register_measure(
+    "dcg_bin_10",
+    lambda: F.sum(F.when((F.col("is_rel") == 1) & (F.col("rank") <= 10), 1.0 / F.log2(F.col("rank") + 1.0)).otherwise(0.0)),
+    "mean",
+)
+
+
+@register("register_measure", f"""WITH {O.ranked_cte()},{O.rows_cte()},
+t AS (SELECT run_id, qid, sum(CASE WHEN is_rel = 1 AND rank <= 10 THEN 1.0 / log2(rank + 1.0) ELSE 0 END) AS value
+      FROM rows GROUP BY run_id, qid)
+SELECT run_id, qid, 'dcg_bin_10' AS measure, round(value, 6) AS value FROM t
+UNION ALL SELECT run_id, 'all', 'dcg_bin_10', round(avg(value), 6) FROM t GROUP BY run_id""")
+def q_register_measure(spark, sf):
+    df = evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), ["dcg_bin_10"])
+    return _r6(df.where(F.col("measure") != "num_q"))
+
+
+@register("score_custom", f"""WITH {O.TEXT_CTE},
+sc_c AS (SELECT qid, docno, sum(tf * log10(CAST(num_docs AS DOUBLE) / df)) AS score FROM m GROUP BY qid, docno),
+t AS (SELECT qid, docno, 'custom' AS method, score,
+             row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM sc_c)
+SELECT qid, docno, method, round(score, 6) AS score, rank FROM t WHERE rank <= 10""")
+def q_score_custom(spark, sf):
+    expr = F.col("tf") * F.log10(F.col("num_docs").cast("double") / F.col("df"))
+    h = SC.score("custom", T.topics(spark, sf), T.corpus(spark, sf), custom=expr, per_term_top=False)
+    return _r6(h, "score")
+
+
+_NAME_REQ = ["P.7,3", "iprec_at_recall..25,.5", "ndcg_cut.10", "utility.2,-1,0,0", "Rprec_mult.0.35"]
+_NAMES = [n for m in CAT.expand(_NAME_REQ) for n in m.names()]
+
+
+@register("measure_names", f"""WITH {O.ranked_cte()}
+SELECT measure, CAST((SELECT count(DISTINCT qid) FROM ranked) AS BIGINT) AS n_topics
+FROM (VALUES {", ".join(f"('{n}')" for n in _NAMES)}) v(measure)""")
+def q_measure_names(spark, sf):
+    df = evaluate(T.deep_run(spark, sf), T.deep_qrels(spark, sf), _NAME_REQ).where(F.col("qid") != "all")
+    return df.groupBy("measure").agg(F.countDistinct("qid").alias("n_topics"))

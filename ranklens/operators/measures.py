@@ -149,6 +149,22 @@ def _k_of(mult: float) -> Column:
     return F.floor(F.lit(float(mult)) * F.col("R") + F.lit(0.9)).cast("long")
 
 
+# user-registered measures: name -> (function(row columns) -> aggregate Column, summary kind)
+CUSTOM: dict[str, tuple] = {}
+
+
+def register_measure(name: str, per_topic_agg, summary: str = C.MEAN) -> None:
+    """Add a measure computed as one aggregate Column per topic.
+
+    ``per_topic_agg`` receives nothing and returns an aggregate expression over
+    the ranked-row columns ``rank, rel, is_rel, cum_rel, cum_jnr, cum_unj, R, N``
+    (e.g. ``lambda: F.sum(F.when(F.col("is_rel") == 1, 1 / F.log2(F.col("rank") + 1)))``).
+    ``summary`` is one of ``"mean"``, ``"sum"``, ``"geo"``.  No Python runs per row.
+    """
+    CUSTOM[name] = (per_topic_agg, summary)
+    C.SPEC[name] = (C.NONE, None, summary)
+
+
 class _Plan:
     """Collects aggregate expressions (deduplicated) and final measure expressions."""
 
@@ -342,6 +358,8 @@ def per_topic(
             sp = r.cast("double") / n.cast("double")
             sr = r.cast("double") / Rd
             p.out(nm[0], F.when(r > 0, (x + 1.0) * sp * sr / (x * sp + sr)).otherwise(0.0))
+        elif m.name in CUSTOM:
+            p.out(nm[0], p.agg(f"_custom_{m.name}", CUSTOM[m.name][0]()))
         else:
             raise ValueError(f"measure {m.name} is not a ranked-list measure")
 

@@ -135,6 +135,7 @@ def score(
     m = _with_stats(qt, post, stats)
     if custom is not None:
         s, combine = custom, "sum"
+        method = method or "custom"
     else:
         s, combine = _term_scores(method, mode)
     m = m.withColumn("s", s.cast("double"))
