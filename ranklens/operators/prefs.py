@@ -103,29 +103,31 @@ def pref_edges(prefs: DataFrame, only_multi: bool = True) -> DataFrame:
     return a.join(b, ["qid", "jg", "jsg"]).where(F.col("la") > F.col("lb")).select("qid", "jg", "a", "b").distinct()
 
 
-def pref_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Transitive closure of the edges within each (qid, jg), by iterated joins.
-
-    Each round joins the closure with itself (path doubling), so the number
-    of rounds is logarithmic in the longest chain; the new set is deduplicated
-    and its lineage cut with ``checkpoint()`` (reliable, shared folder).
+def pref_closure(edges: DataFrame, max_rounds: int = 256) -> DataFrame:
+    """Transitive closure of the edges within each (qid, jg), semi-naive.
+
+    Round k joins only the edges found in round k-1 with the base edges and
+    keeps what is new (anti join against everything found so far), so no
+    path is derived twice.  Every round's delta is checkpointed to the shared
+    checkpoint folder (reliable: survives executor loss, cuts lineage); the
+    loop ends when a round finds nothing new.
     """
     from ranklens.session import checkpoint_dir
 
     checkpoint_dir(edges.sparkSession)
-    cur = edges.select("qid", "jg", "a", "b").distinct()
-    n = cur.count()
+    base = edges.select("qid", "jg", "a", "b").distinct().checkpoint()
+    step = base.select("qid", "jg", F.col("a").alias("m"), F.col("b").alias("b2"))
+    found = base
+    delta = base
     for _ in range(max_rounds):
-        left = cur.select("qid", "jg", "a", F.col("b").alias("m"))
-        right = cur.select("qid", "jg", F.col("a").alias("m"), "b")
-        nxt = left.join(right, ["qid", "jg", "m"]).select("qid", "jg", "a", "b").unionByName(cur).distinct()
-        nxt = nxt.checkpoint()
-        m = nxt.count()
-        cur = nxt
-        if m == n:
+        d = delta.select("qid", "jg", "a", F.col("b").alias("m"))
+        nxt = d.join(step, ["qid", "jg", "m"]).select("qid", "jg", "a", F.col("b2").alias("b")).distinct()
+        nxt = nxt.join(found, ["qid", "jg", "a", "b"], "left_anti").checkpoint()
+        if nxt.isEmpty():
             break
-        n = m
-    return cur
+        found = found.unionByName(nxt)
+        delta = nxt
+    return found
 
 
 def pref_cycles(closure: DataFrame) -> DataFrame:
@@ -225,9 +227,11 @@ def _edge_counts(closure: DataFrame, gd: DataFrame) -> DataFrame:
     )
 
 
-def pref_counts(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -> DataFrame:
+def pref_counts(
+    run: DataFrame, prefs: DataFrame, max_docs: int | None = None, closure: DataFrame | None = None, pos: DataFrame | None = None
+) -> DataFrame:
     """Per (run_id, qid, jg): fulfilled / possible preferences by class and the Rnonrel recounts."""
-    pos = pref_positions(run, prefs, max_docs)
+    pos = pref_positions(run, prefs, max_docs) if pos is None else pos
     gd = _group_docs(prefs, pos)
     one = gd.where(F.col("nsub") == 1)
     multi = gd.where(F.col("nsub") > 1)
@@ -245,8 +249,9 @@ def pref_counts(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -
         (F.col("ful_ret_rel") + F.coalesce(F.col("ful_kept_ret"), F.lit(0))).alias("rcr_ful"),
         (F.col("poss_ret_rel") + F.col("n_ret") * F.coalesce(F.col("n_kept_ret"), F.lit(0))).alias("rcr_poss"),
     )
-    edges = pref_edges(prefs, only_multi=True)
-    ec = _edge_counts(pref_closure(edges), multi)
+    if closure is None:
+        closure = pref_closure(pref_edges(prefs, only_multi=True))
+    ec = _edge_counts(closure, multi)
     ec = multi.select(*G).distinct().join(ec, G, "left").fillna(0).join(dc, G)
     ec = ec.select(*lc.columns)
     return lc.unionByName(ec)
@@ -255,7 +260,9 @@ def pref_counts(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -
 # ------------------------------------------------------------------ pair counts across groups
 
 
-def pair_counts(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -> DataFrame:
+def pair_counts(
+    run: DataFrame, prefs: DataFrame, max_docs: int | None = None, closure: DataFrame | None = None, pos: DataFrame | None = None
+) -> DataFrame:
     """(run_id, qid, x, y, n_xy, n_yx, rx, ry, px, py) for topics with several judgment groups.
 
     ``n_xy`` = number of groups preferring x to y.  Pairs are materialised only
@@ -267,10 +274,10 @@ def pair_counts(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -
     nsub = p.groupBy("qid", "jg").agg(F.countDistinct("jsg").alias("nsub"))
     single = p.join(nsub.where(F.col("nsub") == 1).select("qid", "jg"), ["qid", "jg"], "left_semi")
     e1 = pref_edges(single, only_multi=False)
-    e2 = pref_closure(pref_edges(p, only_multi=True))
+    e2 = pref_closure(pref_edges(p, only_multi=True)) if closure is None else closure.join(multi_jg.select("qid"), "qid", "left_semi")
     edges = e1.unionByName(e2)
     cnt = edges.groupBy("qid", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    pos = pref_positions(run, prefs, max_docs)
+    pos = pref_positions(run, prefs, max_docs) if pos is None else pos
     # orient each unordered pair with x = the earlier position
     pa = pos.select("run_id", "qid", F.col("docno").alias("a"), F.col("pos").alias("pa"), F.col("ret").alias("ra"))
     pb = pos.select("run_id", "qid", F.col("docno").alias("b"), F.col("pos").alias("pb"), F.col("ret").alias("rb"))
@@ -302,7 +309,9 @@ def pref_measures(run: DataFrame, prefs: DataFrame, max_docs: int | None = None,
     from ranklens.functions import catalog as C
 
     wanted = [m.name for m in C.expand(measures or "all_prefs") if m.name in C.PREF_MEASURES]
-    c = pref_counts(run, prefs, max_docs)
+    closure = pref_closure(pref_edges(prefs, only_multi=True))  # computed once, shared
+    pos = pref_positions(run, prefs, max_docs)
+    c = pref_counts(run, prefs, max_docs, closure, pos)
     poss = F.col("poss_ret") + F.col("poss_imp") + F.col("poss_notoccur")
     ful = F.col("ful_ret") + F.col("ful_imp")
     R, N = F.col("num_rel"), F.col("num_nonrel")
@@ -352,7 +361,7 @@ def pref_measures(run: DataFrame, prefs: DataFrame, max_docs: int | None = None,
     keep = [m for m in wanted if m in vals]
     out = t.select("run_id", "qid", "njg", F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), vals[m].alias("value")) for m in keep])))
     if pair_names:
-        pc = pair_counts(run, prefs, max_docs)
+        pc = pair_counts(run, prefs, max_docs, closure, pos)
         share = F.col("n_xy") / (F.col("n_xy") + F.col("n_yx"))
         pm = pc.groupBy("run_id", "qid").agg(
             F.sum(F.when(F.col("rx"), share).otherwise(0.0)).alias("s"),
