@@ -61,14 +61,16 @@ def summarize(
     a topic without results counting 0 (log(1e-5) for geometric means).
     """
     kinds = _kind_map(measure_names)
-    per_run = scores.groupBy("run_id").agg(F.countDistinct("qid").alias("_nq"))
+    agg = scores.groupBy("run_id", "measure").agg(F.sum("value").alias("_s"), F.count(F.lit(1)).alias("_c"))
     if complete:
         if judged_topics is None:
             raise ValueError("complete averaging needs the judged topics")
-        nj = judged_topics.agg(F.countDistinct("qid").alias("_nj"))
-        per_run = per_run.crossJoin(nj).select("run_id", F.col("_nj").alias("_nq"))  # one row x one row
-    agg = scores.groupBy("run_id", "measure").agg(F.sum("value").alias("_s"), F.count(F.lit(1)).alias("_c"))
-    agg = agg.join(per_run, "run_id")
+        # a scalar subquery: the number of judged topics, no join
+        nq_col = judged_topics.agg(F.countDistinct("qid")).scalar()
+    else:
+        # every topic of a run has exactly one row per measure
+        nq_col = F.col("_c")
+    agg = agg.withColumn("_nq", nq_col.cast("long"))
     kind = F.element_at(kinds, F.col("measure"))
     nq = F.col("_nq").cast("double")
     geo_fix = (F.col("_nq") - F.col("_c")).cast("double") * math.log(C.MIN_GEO_MEAN)
@@ -80,7 +82,9 @@ def summarize(
     out = agg.where(F.coalesce(kind, F.lit(C.MEAN)) != C.TOPIC_ONLY).select(
         "run_id", F.lit("all").alias("qid"), "measure", val.cast("double").alias("value")
     )
-    numq = per_run.select("run_id", F.lit("all").alias("qid"), F.lit(num_q_name).alias("measure"), F.col("_nq").cast("double").alias("value"))
+    numq = agg.groupBy("run_id").agg(F.max("_nq").cast("double").alias("value")).select(
+        "run_id", F.lit("all").alias("qid"), F.lit(num_q_name).alias("measure"), "value"
+    )
     return out.unionByName(numq)
 
 
