@@ -110,10 +110,13 @@ def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys
 
 
 def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int, keys=_W_RUN) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bucketed = "bucket" in ranked.columns
+    wkeys = [*keys, "bucket"] if bucketed else list(keys)
+    w = Window.partitionBy(*wkeys).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rel = F.col("rel")
     df = ranked.select(
         *keys,
+        *(["bucket"] if bucketed else []),
         "rank",
         "rel",
         *[c for c in ranked.columns if c in ("R", "N", "P", "idcg_full", "ideal_gain_sum", "bounds") or c.startswith("idcg_cut_")],
@@ -134,6 +137,16 @@ def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int, keys=_W_RUN
         cols["cum_gain"] = F.sum("gain").over(w)
     for k, v in cols.items():
         df = df.withColumn(k, v)
+    if bucketed:
+        # running sums restart in every score bucket: add the totals of the earlier buckets
+        from ranklens.operators.ranked import bucket_offsets
+
+        src = {"cum_rel": "is_rel", "cum_jnr": "jnr", "cum_unj": "unj", "cum_dcg": "dcg_term", "cum_gain": "gain"}
+        used = [src[k] for k in cols]
+        df = df.join(bucket_offsets(df, keys, "bucket", used), [*keys, "bucket"])
+        for k in cols:
+            df = df.withColumn(k, F.col(k) + F.col(f"_off_{src[k]}"))
+        df = df.drop("_off_n", *[f"_off_{c}" for c in used])
     return df
 
 

@@ -45,8 +45,42 @@ def topic_join(run: DataFrame, qrels: DataFrame) -> DataFrame:
     return run.join(qrels.select("qid").distinct(), "qid", "left_semi")
 
 
-def add_rank(run: DataFrame, keys=("run_id", "qid"), docno_desc: bool = True) -> DataFrame:
-    return run.withColumn("rank", F.row_number().over(rank_window(keys, docno_desc)).cast("long"))
+# A topic with more rows than SPLIT_ROWS is ranked in SPLIT_BUCKETS score ranges
+# (boundaries from an approximate percentile of its scores), so no task ever
+# sorts a whole hot topic: rank = rows in higher buckets + row number inside
+# the bucket.  Equal scores always share a bucket, so ties keep their order.
+SPLIT_ROWS = 5_000_000
+SPLIT_BUCKETS = 256
+
+
+def bucket_offsets(df: DataFrame, keys, bucket: str = "bucket", weight_cols=()) -> DataFrame:
+    """Rows (and sums of ``weight_cols``) in all earlier buckets of the same list: (keys, bucket, _off_*)."""
+    keys = list(keys)
+    t = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_t_n"), *[F.sum(c).alias(f"_t_{c}") for c in weight_cols])
+    w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return t.select(
+        *keys, bucket,
+        F.coalesce(F.sum("_t_n").over(w), F.lit(0)).alias("_off_n"),
+        *[F.coalesce(F.sum(f"_t_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in weight_cols],
+    )
+
+
+def add_rank(run: DataFrame, keys=("run_id", "qid"), docno_desc: bool = True, split_rows: int | None = None) -> DataFrame:
+    """rank by score desc (docno tie-break); with ``split_rows``, hot lists are ranked in score buckets."""
+    if not split_rows:
+        return run.withColumn("rank", F.row_number().over(rank_window(keys, docno_desc)).cast("long"))
+    keys = list(keys)
+    sizes = run.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = run.join(sizes.where(F.col("_n") > split_rows).select(*keys), keys, "left_semi")
+    pct = [i / SPLIT_BUCKETS for i in range(1, SPLIT_BUCKETS)]
+    bounds = hot.groupBy(*keys).agg(F.percentile_approx("sim", pct, 10000).alias("_b"))
+    r = run.join(bounds, keys, "left")
+    r = r.withColumn("bucket", F.coalesce(F.size(F.filter("_b", lambda b: b > F.col("sim"))), F.lit(0)).cast("int")).drop("_b")
+    tie = F.col("docno").desc() if docno_desc else F.col("docno").asc()
+    w = Window.partitionBy(*keys, "bucket").orderBy(F.col("sim").desc(), tie)
+    r = r.withColumn("_in", F.row_number().over(w))
+    r = r.join(bucket_offsets(r, keys), [*keys, "bucket"])
+    return r.withColumn("rank", (F.col("_off_n") + F.col("_in")).cast("long")).drop("_in", "_off_n")
 
 
 def max_docs(ranked: DataFrame, m: int | None) -> DataFrame:
@@ -63,8 +97,14 @@ def attach_relevance(ranked: DataFrame, qrels: DataFrame, keys=("qid", "docno"))
 
 def judged_only(ranked: DataFrame, keys=("run_id", "qid")) -> DataFrame:
     """Drop unjudged documents and close up the ranks."""
-    w = Window.partitionBy(*keys).orderBy("rank")
-    return ranked.where(F.col("rel") >= 0).withColumn("rank", F.row_number().over(w).cast("long"))
+    kept = ranked.where(F.col("rel") >= 0)
+    if "bucket" not in ranked.columns:
+        w = Window.partitionBy(*keys).orderBy("rank")
+        return kept.withColumn("rank", F.row_number().over(w).cast("long"))
+    w = Window.partitionBy(*keys, "bucket").orderBy("rank")
+    kept = kept.withColumn("_in", F.row_number().over(w))
+    kept = kept.join(bucket_offsets(kept, keys), [*keys, "bucket"])
+    return kept.withColumn("rank", (F.col("_off_n") + F.col("_in")).cast("long")).drop("_in", "_off_n")
 
 
 def build_ranked(
@@ -72,10 +112,11 @@ def build_ranked(
     qrels: DataFrame,
     max_docs_: int | None = None,
     judged_only_: bool = False,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """``ranked(run_id, qid, docno, sim, rank, rel)`` for every judged topic of the run."""
     r = topic_join(normalize_run(run), qrels)
-    r = max_docs(add_rank(r), max_docs_)
+    r = max_docs(add_rank(r, split_rows=split_rows), max_docs_)
     r = attach_relevance(r, qrels)
     if judged_only_:
         r = judged_only(r)
@@ -87,10 +128,11 @@ def build_ranked_jg(
     qrels_jg: DataFrame,
     max_docs_: int | None = None,
     judged_only_: bool = False,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """The ranked list repeated for each judgment group of its topic."""
     groups = qrels_jg.select("qid", "jg").distinct()
-    r = max_docs(add_rank(topic_join(normalize_run(run), qrels_jg)), max_docs_)
+    r = max_docs(add_rank(topic_join(normalize_run(run), qrels_jg), split_rows=split_rows), max_docs_)
     r = r.join(groups, "qid")  # one copy per (topic, group): bounded by the number of assessors
     r = attach_relevance(r, qrels_jg, keys=("qid", "jg", "docno"))
     if judged_only_:

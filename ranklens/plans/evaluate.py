@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ranklens.functions import catalog as C
 from ranklens.operators import measures as M
 from ranklens.operators import summary as S
-from ranklens.operators.ranked import build_ranked
+from ranklens.operators.ranked import SPLIT_ROWS, build_ranked
 
 
 def evaluate(
@@ -27,13 +27,14 @@ def evaluate(
     per_topic: bool = True,
     zref: DataFrame | None = None,
     num_docs_in_coll: int = 0,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Scores ``(run_id, qid, measure, value double)``; summary rows have qid ``'all'``.
 
     String measures (``runid``, ``relstring``) are left to :func:`evaluate_text`.
     """
     ms = C.expand(measures)
-    ranked = build_ranked(run, qrels, max_docs, judged_only)
+    ranked = build_ranked(run, qrels, max_docs, judged_only, split_rows)
     scores = M.per_topic(ranked, qrels, ms, relevance_level, num_docs_in_coll)
     names = [n for m in ms for n in m.names()]
     if zref is not None:
@@ -72,12 +73,13 @@ def evaluate_jg(
     judged_only: bool = False,
     complete: bool = False,
     per_topic: bool = True,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Judgment-group measures (``map_avgjg``, ``P_avgjg``, ``Rprec_mult_avgjg``)."""
     from ranklens.operators.ranked import build_ranked_jg
 
     ms = [m for m in C.expand(measures) if m.name in C.JG_MEASURES]
-    ranked = build_ranked_jg(run, qrels_jg, max_docs, judged_only)
+    ranked = build_ranked_jg(run, qrels_jg, max_docs, judged_only, split_rows)
     scores = M.per_topic_jg(ranked, qrels_jg, ms, relevance_level)
     names = [n for m in ms for n in m.names()]
     judged = qrels_jg.select("qid").distinct() if complete else None
