@@ -92,3 +92,52 @@ def topic_rows(scores: DataFrame, measure_names: list[str]) -> DataFrame:
     """Per-topic rows as printed: geometric-mean measures have no per-topic value."""
     kinds = _kind_map(measure_names)
     return scores.where(F.coalesce(F.element_at(kinds, F.col("measure")), F.lit(C.MEAN)) != C.GEO)
+
+
+def with_summary(
+    scores: DataFrame,
+    measure_names: list[str],
+    judged_topics: DataFrame | None = None,
+    complete: bool = False,
+    num_q_name: str = "num_q",
+    per_topic: bool = True,
+) -> DataFrame:
+    """Per-topic rows and summary rows from **one** aggregation (a rollup).
+
+    ``rollup(run_id, measure, qid)`` yields the topic level, the per-measure
+    summary level and the per-run level in a single pass over the scores, so
+    the plan that computes the per-topic scores runs once (a union of topic
+    rows and a separately aggregated summary would compute it twice).
+    """
+    kinds = _kind_map(measure_names)
+    r = scores.rollup("run_id", "measure", "qid").agg(
+        F.sum("value").alias("_s"),
+        F.count(F.lit(1)).alias("_c"),
+        F.countDistinct("qid").alias("_nqd"),
+        F.grouping_id().alias("_g"),
+    )
+    kind = F.coalesce(F.element_at(kinds, F.col("measure")), F.lit(C.MEAN))
+    if complete:
+        if judged_topics is None:
+            raise ValueError("complete averaging needs the judged topics")
+        nq_all = judged_topics.agg(F.countDistinct("qid")).scalar().cast("long")
+        nq_measure, nq_run = nq_all, nq_all
+    else:
+        nq_measure, nq_run = F.col("_c"), F.col("_nqd")
+    nq = nq_measure.cast("double")
+    geo_fix = (nq_measure - F.col("_c")).cast("double") * math.log(C.MIN_GEO_MEAN)
+    summary_val = (
+        F.when(kind == C.SUM, F.col("_s"))
+        .when(kind == C.GEO, F.when(nq > 0, F.exp((F.col("_s") + geo_fix) / nq)).otherwise(0.0))
+        .otherwise(F.when(nq > 0, F.col("_s") / nq).otherwise(0.0))
+    )
+    topic = (F.col("_g") == 0) & (kind != C.GEO)
+    summ = (F.col("_g") == 1) & (kind != C.TOPIC_ONLY)
+    runrow = F.col("_g") == 3
+    keep = (topic | summ | runrow) if per_topic else (summ | runrow)
+    return r.where(keep).select(
+        "run_id",
+        F.when(F.col("_g") == 0, F.col("qid")).otherwise(F.lit("all")).alias("qid"),
+        F.when(runrow, F.lit(num_q_name)).otherwise(F.col("measure")).alias("measure"),
+        F.when(F.col("_g") == 0, F.col("_s")).when(runrow, nq_run.cast("double")).otherwise(summary_val).cast("double").alias("value"),
+    )

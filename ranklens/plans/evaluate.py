@@ -41,10 +41,7 @@ def evaluate(
         scores = S.zscore(scores, zref)
         names = ["Z" + n for n in names]
     judged = qrels.select("qid").distinct() if complete else None
-    summary = S.summarize(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q")
-    if not per_topic:
-        return summary
-    return S.topic_rows(scores, names).unionByName(summary)
+    return S.with_summary(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q", per_topic)
 
 
 def evaluate_text(run: DataFrame, qrels: DataFrame, measures=None, max_docs=None, judged_only=False) -> DataFrame:
@@ -83,8 +80,7 @@ def evaluate_jg(
     scores = M.per_topic_jg(ranked, qrels_jg, ms, relevance_level)
     names = [n for m in ms for n in m.names()]
     judged = qrels_jg.select("qid").distinct() if complete else None
-    summary = S.summarize(scores, names, judged, complete)
-    return scores.unionByName(summary) if per_topic else summary
+    return S.with_summary(scores, names, judged, complete, per_topic=per_topic)
 
 
 def evaluate_prefs(
@@ -102,5 +98,4 @@ def evaluate_prefs(
     scores = pref_measures(run, prefs, max_docs, ms)
     names = [n for m in ms for n in m.names()]
     judged = prefs.select("qid").distinct() if complete else None
-    summary = S.summarize(scores, names, judged, complete)
-    return scores.unionByName(summary) if per_topic else summary
+    return S.with_summary(scores, names, judged, complete, per_topic=per_topic)
