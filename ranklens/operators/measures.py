@@ -36,26 +36,43 @@ def gain_column(rel: Column, gains: dict | None) -> Column:
     return default if e is None else e.otherwise(default)
 
 
+IDEAL_SUB_BUCKETS = 16
+
+
 def ideal_positions(qrels: DataFrame, gains: dict | None = None, qkeys=("qid",)) -> DataFrame:
     """Ideal ranking per topic: judged documents with positive gain, best first.
 
     Columns: qid, pos, igain, cum_idcg, cum_cost (running sum of max(gain, 1)),
     is_boundary (last position of a block of equal gain).
+
+    Inside a block of equal gain the order of documents does not change any
+    value at any position, so each block is split into hash sub-buckets of
+    its documents: positions are bucket offsets plus a row number inside the
+    (topic, gain, sub-bucket) window — no task holds a whole topic.
     """
+    from ranklens.operators.ranked import bucket_offsets
+
     qkeys = list(qkeys)
     q = qrels.where(F.col("rel") >= 0).select(*qkeys, "docno", gain_column(F.col("rel"), gains).alias("igain"))
     q = q.where(F.col("igain") > 0)
-    w = Window.partitionBy(*qkeys).orderBy(F.col("igain").desc(), F.col("docno"))
-    wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = F.row_number().over(w)
-    q = q.withColumn("pos", pos)
+    q = q.withColumn("bucket", F.struct((-F.col("igain")).alias("g"), F.pmod(F.xxhash64("docno"), F.lit(IDEAL_SUB_BUCKETS)).alias("h")))
+    w_in = Window.partitionBy(*qkeys, "bucket").orderBy("docno")
+    q = q.withColumn("_in", F.row_number().over(w_in))
+    q = q.join(bucket_offsets(q, qkeys), [*qkeys, "bucket"])
+    q = q.withColumn("pos", F.col("_off_n") + F.col("_in"))
+    q = q.withColumn("_t_idcg", F.col("igain") / F.log2(F.col("pos") + 1)).withColumn("_t_cost", F.greatest(F.col("igain"), F.lit(1.0)))
+    wc = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    q = q.withColumn("_c_idcg", F.sum("_t_idcg").over(wc)).withColumn("_c_cost", F.sum("_t_cost").over(wc))
+    q = q.drop("_off_n").join(bucket_offsets(q, qkeys, "bucket", ["_t_idcg", "_t_cost"]), [*qkeys, "bucket"])
+    level_end = q.groupBy(*qkeys, "igain").agg(F.max("pos").alias("_end"))
+    q = q.join(level_end, [*qkeys, "igain"])
     return q.select(
         *qkeys,
         "pos",
         "igain",
-        F.sum(F.col("igain") / F.log2(F.col("pos") + 1)).over(wc).alias("cum_idcg"),
-        F.sum(F.greatest(F.col("igain"), F.lit(1.0))).over(wc).alias("cum_cost"),
-        F.coalesce(F.lead("igain").over(w) != F.col("igain"), F.lit(True)).alias("is_boundary"),
+        (F.col("_off__t_idcg") + F.col("_c_idcg")).alias("cum_idcg"),
+        (F.col("_off__t_cost") + F.col("_c_cost")).alias("cum_cost"),
+        (F.col("pos") == F.col("_end")).alias("is_boundary"),
     )
 
 
