@@ -20,3 +20,15 @@ def test_report_lines_match_recorded_summary(spark):
 def test_run_lines_layout(spark):
     hits = spark.createDataFrame([("q1", "d1", "bm25", 1.5, 1)], "qid string, docno string, method string, score double, rank long")
     assert run_lines(hits, team="t1").collect()[0]["value"] == "q1 Q0 d1 1 1.500000 t1-bm25"
+
+
+def test_report_lines_match_recorded_per_topic(spark):
+    run = read_run(spark, fixture("results.test"))
+    qrels = read_qrels(spark, fixture("qrels.test"))
+    scores = evaluate(run, qrels, "all_trec")
+    text = evaluate_text(run, qrels, ["runid", "relstring"])
+    got = {r["value"] for r in report_lines(scores, text).collect()}
+    with open(fixture("out.test.aq")) as fh:
+        want = {line.rstrip("\n") for line in fh if line.strip()}
+    assert want - got == set(), sorted(want - got)[:5]
+    assert got - want == set(), sorted(got - want)[:5]
