@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, quality
+from ranklens.llm import bpe, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
 
 
+def held_out() -> Column:
+    """Rows whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Scores of ``docs`` by the model that the tables of ``sf_dir`` train."""
+    weights = toxicity.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), usable=~held_out())
+    return toxicity.score(docs, weights, keep=keep)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxic_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 _OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -38,7 +54,7 @@ m AS (
   SELECT k, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
          len(regexp_extract_all(text, '[A-Z]')) AS n_upper,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM w),
 g AS (SELECT k, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
       FROM (SELECT k, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
@@ -59,4 +75,5 @@ FROM y
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op3_bpe": (op3_bpe, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
+    "op7_toxicity": (op7_toxicity, None),
 }
