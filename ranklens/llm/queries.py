@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, quality, toxicity
+from ranklens.llm import bpe, quality, substrings, toxicity
+
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def ready(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if it isn't installed there."""
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,6 +59,25 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
+
+
+_OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r),
+k AS (SELECT d.doc_id, p.i, d.ws[p.i] AS w
+      FROM d, LATERAL (SELECT unnest(range(1, len(d.ws) + 1)) AS i) p
+      WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = d.doc_id AND c.i = p.i)),
+t AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(t.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 _OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -75,5 +106,6 @@ FROM y
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op3_bpe": (op3_bpe, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
+    "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
     "op7_toxicity": (op7_toxicity, None),
 }
