@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, quality, substrings, toxicity
+from ranklens.llm import bpe, jaccard, quality, substrings, toxicity
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,6 +33,10 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.component_ids(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
@@ -104,6 +108,7 @@ FROM y
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_jaccard_join": (op1_jaccard_join, None),
     "op3_bpe": (op3_bpe, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
