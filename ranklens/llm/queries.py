@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, jaccard, quality, substrings, toxicity
+from ranklens.llm import bpe, jaccard, lines, quality, substrings, toxicity
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -63,6 +63,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
 
@@ -111,6 +115,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_jaccard_join": (op1_jaccard_join, None),
     "op3_bpe": (op3_bpe, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
+    "op9_line_dedup": (op9_line_dedup, None),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
     "op7_toxicity": (op7_toxicity, None),
 }

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklens.llm.fmindex import FMIndex
-from ranklens.llm.wordhash import Texts, _power, mix, ngrams, signed, text_slices
+from ranklens.llm.wordhash import Texts, mix, ngrams, text_slices
 
 GRAM = 4
 #: Bytes of text per shard, and windows per segment at most.
@@ -97,9 +97,7 @@ def _route(part: pa.RecordBatch, window: int, shards: int) -> pa.RecordBatch:
     th = part.column("th").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
     own = (start - t.word_off[rows]).astype(np.int64)
     size = count + window - 1
-    power, inverse = _power(len(h) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[: len(h)])])
-    content = mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
+    content = t.sequences(start, start + size)
     order = np.lexsort((own, th, ids, content))
     again = np.zeros(len(order), bool)
     again[order[1:]] = content[order[1:]] == content[order[:-1]]

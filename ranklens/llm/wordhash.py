@@ -70,7 +70,7 @@ def _offsets(col: pa.Array) -> np.ndarray:
 class Texts:
     """Spans of the texts of one column (null texts count as empty)."""
 
-    def __init__(self, col: pa.Array | pa.ChunkedArray, separators: np.ndarray = WHITE, lower: bool = False):
+    def __init__(self, col: pa.Array | pa.ChunkedArray, separators: np.ndarray = WHITE, lower: bool = False, folded: np.ndarray = LOWER):
         if isinstance(col, pa.ChunkedArray):
             col = col.combine_chunks()
         col = col.fill_null("").cast(pa.string())
@@ -80,7 +80,7 @@ class Texts:
         self.raw = whole[off[0] : off[-1]]
         self.off = off - off[0]
         self.rows = len(col)
-        b = LOWER[self.raw] if lower else self.raw
+        b = folded[self.raw] if lower else self.raw
         pw, self._inv = _power(len(b) + 1)
         self._sum = np.zeros(len(b) + 1, np.uint64)
         np.cumsum((b.astype(np.uint64) + np.uint64(1)) * pw[: len(b)], out=self._sum[1:])
@@ -104,6 +104,13 @@ class Texts:
         h = (self._sum[end] - self._sum[start]) * self._inv[start]
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def sequences(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of runs of words, first to last (exclusive), whatever stands between the words."""
+        h = self.words()
+        pw, inv = _power(len(h) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * pw[: len(h)])])
+        return mix((total[last] - total[first]) * inv[first] + (last - first).astype(np.uint64))
+
     def words(self) -> np.ndarray:
         return self.hash(self.start, self.end)
 
