@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, jaccard, lines, quality, substrings, toxicity
+from ranklens.llm import bpe, html, jaccard, lines, quality, substrings, toxicity
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -41,6 +41,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents")), 2)
     base = F.col("failure_bits").bitwiseAND(F.lit(quality.policy_mask(1)).cast("long")) != 0
@@ -114,6 +118,7 @@ FROM y
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_jaccard_join": (op1_jaccard_join, None),
     "op3_bpe": (op3_bpe, None),
+    "op5_html_extraction": (op5_html_extraction, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
