@@ -45,7 +45,6 @@ _WRAPPERS = frozenset("div section header figure details fieldset span address".
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("html body article main section div ul ol dl table td th blockquote aside nav header footer form".split())
 _PARTS = re.compile(r"[^a-z0-9]+")
-_SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
 class _Node:
@@ -69,7 +68,7 @@ class _Page(HTMLParser):
 
     def _flush(self) -> None:
         if self.pieces:
-            text = _SPACE.sub(" ", "".join(self.pieces)).strip(" ")
+            text = " ".join("".join(self.pieces).split())
             self.pieces = []
             if text:
                 top = self.stack[-1]

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklens.llm.components import link_blocks
@@ -123,6 +123,26 @@ def prefix_size(size: np.ndarray, percent: int) -> np.ndarray:
 
 def component_ids(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id): the smallest id reachable by links of ``100 * |A & B| >= percent * |A | B|``."""
+    found = linked_rows(docs, n, percent, id_col, text_col)
+    least = found.where("size > 0").groupBy("component").agg(F.min("id").alias("component_id"))
+    out = found.where("size > 0").join(least, "component").select("id", "size", "component_id")
+    out = out.unionByName(found.where("size = 0").select("id", "size", F.col("id").alias("component_id")))
+    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, with one row of each component: the smallest by (id, hash of the text); texts without words all stay."""
+    found = linked_rows(docs, n, percent, id_col, text_col).withColumn("at", F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "th"))
+    first = found.where("size > 0").groupBy("component").agg(F.min("at").alias("at")).select("at.id", "at.th", F.lit(True).alias("once"))
+    empty = found.where("size = 0").select("at.id", "at.th", F.lit(False).alias("once")).distinct()
+    stays = first.unionByName(empty).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("once").alias("__once"))
+    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.col(text_col))}).join(stays, ["__id", "__th"])
+    again = F.row_number().over(Window.partitionBy("__id", "__th").orderBy("__once"))  # a row given twice stays once
+    return keyed.withColumn("__n", again).where("not __once or __n = 1").select(docs.columns)
+
+
+def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, size, component): every row with its text's hash, its set's size and a number for its component."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
     counted = written(src.mapInArrow(_counted("long", n), "id long, th long, size long, fp long, block int, counts binary"), "sets")
@@ -149,17 +169,11 @@ def component_ids(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     texts = written(texts.join(wanted, ["doc", "th"]).select("id", "size", "text").mapInArrow(_second_order(n), "id long, size long, text string, low array<int>"), "candidates")
     linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size",), f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
 
-    found = rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = found.where("size > 0").groupBy("component").agg(F.min("id").alias("component_id"))
-    out = found.where("size > 0").join(least, "component").select("id", "size", "component_id")
-    out = out.unionByName(found.where("size = 0").select("id", "size", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+    return rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("id", "th", "size", F.coalesce("component", "fp").alias("component"))
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
     """The rows whose token stands in the prefixes of two different sets: one shuffle, and copies fold into one row."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("key")
     return tokens.withColumn("lo", F.min("id").over(w)).withColumn("hi", F.max("id").over(w)).where("lo <> hi").select("key", "id").distinct()
 

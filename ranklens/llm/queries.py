@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, html, jaccard, lines, quality, substrings, toxicity
+from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, quality, substrings, toxicity, urlfilter
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -37,10 +37,23 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_ids(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+#: The rules of the URL query.
+RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), RULES)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", "n_windows", "n_slots")
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(_table(spark, sf_dir, "pages"))
 
@@ -67,6 +80,28 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def _op8_sql() -> str:
+    given = ", ".join("('" + "', '".join([n, p]) + f"', {k})" for n, p, k in licenses.template_bigrams(licenses.TEMPLATES))
+    return f"""
+WITH t(license, bigram, n_template) AS (VALUES {given}),
+d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, text, CAST(i - 1 AS INTEGER) AS line, ls[i] AS x
+      FROM (SELECT doc_id, text, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM d))
+      UNION ALL SELECT doc_id, text, -1, text FROM d WHERE contains(text, chr(10))),
+w AS (SELECT doc_id, text, line, regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS ws FROM l),
+b AS (SELECT DISTINCT doc_id, text, line, ws[i] || ' ' || ws[i + 1] AS bigram
+      FROM (SELECT doc_id, text, line, ws, unnest(range(1, len(ws))) AS i FROM w)),
+n AS (SELECT doc_id, text, line, count(*) AS n_text FROM b GROUP BY ALL),
+c AS (SELECT doc_id, text, line, license, n_template, count(*) AS n_common FROM b JOIN t USING (bigram) GROUP BY ALL)
+SELECT doc_id, line, license, n_common, CAST(2 * n_common AS DOUBLE) / (n_text + n_template) AS dice
+FROM c JOIN n USING (doc_id, text, line) WHERE CAST(2 * n_common AS DOUBLE) / (n_text + n_template) >= 0.8
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_counts(_table(spark, sf_dir, "documents"))
 
@@ -117,9 +152,12 @@ FROM y
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_jaccard_join": (op1_jaccard_join, None),
+    "op2_url_filter": (op2_url_filter, None),
     "op3_bpe": (op3_bpe, None),
+    "op4_decontamination": (op4_decontamination, None),
     "op5_html_extraction": (op5_html_extraction, None),
     "op6_quality_rules": (op6_quality_rules, _OP6_SQL),
+    "op8_license_scan": (op8_license_scan, _op8_sql()),
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
     "op7_toxicity": (op7_toxicity, None),
