@@ -5,6 +5,9 @@ only reach the similarity when they share a token among the first
 ``n - ceil(t * n) + 1`` of each, under every global order of the tokens.  Order
 one puts tokens in frequent buckets of a corpus-wide count sketch last, so its
 prefixes hold rare tokens; documents that share one of them are candidates.
+Of two sets, the one whose prefix ends first in the order has each prefix token
+that is in no other prefix for itself alone, which bounds the common tokens by
+the number of its shared ones.
 Order two is a second hash: of the tokens below a fixed quantile of it, a set
 may miss at most as many in the other set as the similarity allows at all.
 Only pairs that pass both are verified, on their whole texts.
@@ -154,20 +157,24 @@ def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: st
         for batch in batches:
             for part in text_slices(batch, "text"):
                 g, row, off = sets(part.column("text"), n)
-                order = np.lexsort((g, kind[(g & np.uint64(COUNTERS - 1)).astype(np.int64)], row))
-                place = np.arange(len(g)) - off[row]
-                first = place < prefix_size(np.diff(off), percent)[row]
+                order, first = _prefixes(g, row, off, kind, percent)
                 fp = fingerprints(g, off)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(g[order][first])), pa.array(signed(fp[row[first]]))], ["key", "id"])
 
     tokens = src.select("text").mapInArrow(prefixes, "key long, id long")
-    shared = _shared(tokens)
+    shared = written(_shared(tokens), "shared")
     nodes = rows.where("size > 0").groupBy(F.col("fp").alias("id")).agg(F.min(F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("doc"), "th")).alias("at"), F.first("size").alias("size"))
-    blocks = written(_by_size(shared.join(nodes.select("id", "size"), "id"), percent), "blocks")
-    wanted = blocks.select("id").distinct().join(nodes, "id").select("id", "size", "at.doc", "at.th")
+    wanted = written(shared.groupBy("id").agg(F.count(F.lit(1)).alias("known")).join(nodes, "id").select("id", "size", "known", "at.doc", "at.th"), "wanted")
     texts = src.select(F.coalesce("id", F.lit(-(1 << 63))).alias("doc"), "th", "text")
-    texts = written(texts.join(wanted, ["doc", "th"]).select("id", "size", "text").mapInArrow(_second_order(n), "id long, size long, text string, low array<int>"), "candidates")
-    linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size",), f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
+    texts = texts.join(wanted, ["doc", "th"]).dropDuplicates(["doc", "th"])
+    texts = written(texts.select("id", "size", "known", "text").mapInArrow(_orders(n, percent, classes), "id long, size long, known long, last long, text string, low array<int>"), "candidates")
+    # what a set can have in common with one whose prefix ends later
+    cap = F.ceil(F.col("size") * percent / 100 - 1e-9) - 1 + F.col("known")
+    sized = shared.join(texts.select("id", "size", "last", cap.cast("long").alias("cap")), "id")
+    overlap = f"((({percent}) * (a_size + b_size) + {99 + percent}) div {100 + percent})"
+    fits = f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size) and if(a_last <= b_last, a_cap, b_cap) >= {overlap}"
+    blocks = written(_by_size(sized, percent), "blocks")
+    linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size", "last", "cap"), fits)
 
     return rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("id", "th", "size", F.coalesce("component", "fp").alias("component"))
 
@@ -181,19 +188,33 @@ def _shared(tokens: DataFrame) -> DataFrame:
 def _by_size(shared: DataFrame, percent: int) -> DataFrame:
     """Blocks split by size: linked sizes lie in one class of sizes or two neighbouring ones."""
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent) * (1 + 1e-9)))
-    return shared.withColumn("class", F.explode(F.array(step, step + 1))).select(F.xxhash64("key", "class").alias("key"), "id", "size").distinct()
+    return shared.withColumn("class", F.explode(F.array(step, step + 1))).select(F.xxhash64("key", "class").alias("key"), "id", "size", "last", "cap")
 
 
-def _second_order(n: int):
+def _prefixes(g: np.ndarray, row: np.ndarray, off: np.ndarray, kind: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order one of every row's tokens, which of the ordered tokens are in the prefix)."""
+    order = np.lexsort((g, kind[(g & np.uint64(COUNTERS - 1)).astype(np.int64)], row))
+    place = np.arange(len(g)) - off[row]
+    return order, place < prefix_size(np.diff(off), percent)[row]
+
+
+def _orders(n: int, percent: int, classes):
+    """Adds the place in order one where the prefix ends, and the tokens under order two's quantile."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = classes.value
         for batch in batches:
             for part in text_slices(batch, "text"):
-                g, row, _ = sets(part.column("text"), n)
+                g, row, off = sets(part.column("text"), n)
+                order, first = _prefixes(g, row, off, kind, percent)
+                end = g[order][off[:-1] + prefix_size(np.diff(off), percent) - 1]
+                last = (kind[(end & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (end >> np.uint64(8))
                 other = mix(g ^ _ORDER_TWO)
                 low = other < np.uint64((1 << 64) // SECOND)
                 values = (other[low] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-                off = np.searchsorted(row[low], np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("size"), part.column("text"), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values))], ["id", "size", "text", "low"])
+                cuts = np.searchsorted(row[low], np.arange(part.num_rows + 1))
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "size", "known")), pa.array(signed(last)), part.column("text"), lists], ["id", "size", "known", "last", "text", "low"])
 
     return run
 
@@ -207,7 +228,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     def least(side: str) -> Column:
         return F.size(f"{side}_low") - (F.col(f"{side}_size") - overlap)
 
-    both = both.where(F.size(F.array_intersect("a_low", "b_low")) >= F.greatest(least("a"), least("b"))).select("a", "b").distinct()
+    both = both.where(F.size(F.array_intersect("a_low", "b_low")) >= F.greatest(least("a"), least("b"))).select("a", "b")
+    both = written(both, "pairs")
     text = texts.select("id", "text")
     joined = both.join(text.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a").join(text.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
 
