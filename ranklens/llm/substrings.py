@@ -39,7 +39,7 @@ GRAM = 4
 SHARD_BYTES = 2 << 20
 SEGMENT_WINDOWS = 128
 _NULL_ID = -(1 << 63)
-_FIELDS = (("id", "<i8"), ("th", "<i8"), ("start", "<i4"), ("windows", "<i4"), ("gram", "<u4"), ("multi", "u1"))
+_FIELDS = (("id", "<i8"), ("th", "<i4"), ("start", "<i4"), ("windows", "<i4"), ("gram", "<u4"), ("multi", "u1"))
 
 
 def segments(words: np.ndarray, row: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +74,7 @@ def segments(words: np.ndarray, row: np.ndarray, window: int) -> tuple[np.ndarra
 
 def _pack(cols: dict[str, np.ndarray], text: bytes) -> bytes:
     head = np.array([len(cols["id"])], "<i8").tobytes()
-    return zstandard.compress(head + b"".join(np.ascontiguousarray(cols[k], t).tobytes() for k, t in _FIELDS) + text, 3)
+    return zstandard.compress(head + b"".join(np.ascontiguousarray(cols[k], t).tobytes() for k, t in _FIELDS) + text, 9)
 
 
 def _unpack(blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
@@ -104,7 +104,7 @@ def _route(part: pa.RecordBatch, window: int, shards: int) -> pa.RecordBatch:
     shard = (mix(gram) % np.uint64(shards)).astype(np.int32)
     out: dict[str, list] = {k: [] for k in ("shard", "id", "th", "start", "windows", "blob")}
     one = np.flatnonzero(~again)
-    one = one[np.argsort(shard[one], kind="stable")]
+    one = one[np.lexsort((own[one], ids[one], shard[one]))]  # in order, blobs get smaller
     cuts = np.flatnonzero(np.diff(shard[one])) + 1
     raw, first, last = t.raw.tobytes(), t.start, t.end
     for group in np.split(one, cuts) if len(one) else []:
@@ -170,7 +170,7 @@ def _key(id_col: str) -> Column:
 
 def repeated_windows(docs: DataFrame, window: int = 20, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, start, windows): runs of windows (first word, number) that occur earlier; th is the text's hash."""
-    src = docs.select(_key(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(_key(id_col).alias("id"), F.hash(F.col(text_col)).cast("long").alias("th"), F.col(text_col).cast("string").alias("text"))
     if shards is None:
         total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -196,7 +196,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, shards: int | None = None,
     """
     found = repeated_windows(docs, window, shards, id_col, text_col)
     runs = found.groupBy("id", "th").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("counts"))
-    src = docs.select(F.col(id_col).alias("given"), _key(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.col(id_col).alias("given"), _key(id_col).alias("id"), F.hash(F.col(text_col)).cast("long").alias("th"), F.col(text_col).cast("string").alias("text"))
     joined = src.join(runs, ["id", "th"], "left").select("given", "text", "starts", "counts")
     last = "kept_sha256" if digests else "kept"
 
