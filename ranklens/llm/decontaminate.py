@@ -28,17 +28,17 @@ BROADCAST_BYTES = 64 << 20
 _WINDOW_BYTES = 64
 _NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002"
 #: Fixed values.
-NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million"
 UNITS = "mm cm m km in ft yd mi miles meters metres kilometers kilometres feet inches mg g kg lb lbs oz ton tons grams kilograms pounds ml l liters litres gallons s sec min h hr hours minutes seconds days weeks months years mph kmh kw w v a hz usd eur dollars euros cents percent degrees"
 
 
 def _plain(text: Column) -> Column:
     """The text without words of punctuation alone, so that raw and canonical words stand at the same places."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, f"[{_NAME}-{_UNIT}]", ""), r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)", " "))
+    t = F.translate(text, _NAME + _NUMBER + _UNIT, "")
+    return F.btrim(F.regexp_replace(t, r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)", " "), F.lit(" \t\n\r\f\x0b"))
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\s+"))
 
 
 def raw_words(text: Column) -> Column:
@@ -47,10 +47,9 @@ def raw_words(text: Column) -> Column:
 
 def canonical_words(text: Column) -> Column:
     """The canonical words; word i stands for word i of ``raw_words``."""
-    t = F.regexp_replace(_plain(text), r"(?<=[\p{L}\p{N},;][ \t])\p{Lu}\p{Ll}+", _NAME)
+    t = F.regexp_replace(_plain(text), r"(?=\p{Lu})(?<=[\p{L}\p{N},;][ \t])\p{Lu}\p{Ll}+", _NAME)
     t = F.regexp_replace(t, r"\p{N}[\p{N}.,]*(?<=\p{N})", _NUMBER)
-    t = F.regexp_replace(t, r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(NUMBER_WORDS.split()) + r")(?![\p{L}\p{N}])", _NUMBER)
-    t = F.regexp_replace(t, f"(?i){_NUMBER}([ \\t]?)(?:" + "|".join(sorted(UNITS.split(), key=len, reverse=True)) + r")(?![\p{L}\p{N}])", f"{_NUMBER}$1{_UNIT}")
+    t = F.regexp_replace(t, f"{_NUMBER}([ \\t]?)(?i:" + "|".join(sorted(UNITS.split(), key=len, reverse=True)) + r")(?![\p{L}\p{N}])", f"{_NUMBER}$1{_UNIT}")
     return _words(F.lower(F.regexp_replace(t, f"[^\\p{{L}}\\p{{N}}{_NAME}-{_UNIT}\\s]+", "")))
 
 
