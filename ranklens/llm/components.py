@@ -7,7 +7,9 @@ round is written to the shared folder.
 ``link_blocks`` finds the components of the links between members of common
 blocks.  First each member is compared with its block's smallest member only; a
 block whose members are then all connected needs nothing more, so a block of n
-near copies costs n comparisons.  In the other blocks, members of different
+near copies costs n comparisons.  In the other blocks, members outside the
+largest component are compared with a few random members of it, which connects
+most of what a single centre misses, and at last members of different
 components are compared, those outside the block's largest component with all.
 No pair of different components that shares a block goes uncompared, so the
 components are those of all links.
@@ -23,6 +25,10 @@ from pyspark.sql import functions as F
 from ranklens.llm.shared import written
 
 
+#: Members of a block's largest component that the others are compared with before all are.
+CENTRES = 4
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -65,14 +71,25 @@ def link_blocks(blocks: DataFrame, verify: Callable[[DataFrame], DataFrame], car
     keyed = Window.partitionBy("key")
     low = F.min(F.struct(*cols)).over(keyed)
     star = blocks.withColumn("low", low).where("low.id <> id").select(*(F.col(f"low.{c}").alias("a" if c == "id" else f"a_{c}") for c in cols), *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
-    first = written(verify(star.where(fits).distinct()).select("a", "b"), "links")
-    known = components(first)
-    held = blocks.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = held.withColumn("mixed", F.min("component").over(keyed) != F.max("component").over(keyed)).where("mixed").drop("mixed")
-    held = held.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key", "component")))
-    held = written(held.withColumn("main", F.max(F.struct("members", "component")).over(keyed)["component"]), "mixed")
+    links = written(verify(star.where(fits).distinct()).select("a", "b"), "links")
+    held = _mixed(blocks, components(links))
+    main = F.when(F.col("component") == F.col("main"), F.struct(F.xxhash64("id", "salt"), *cols))
+    centre = held.withColumn("salt", F.explode(F.array(*map(F.lit, range(CENTRES))))).withColumn("centre", F.min(main).over(Window.partitionBy("key", "salt")))
+    again = centre.where("component <> main").select(*(F.col(f"centre.{c}").alias("a" if c == "id" else f"a_{c}") for c in cols), *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
+    links = written(links.unionByName(verify(again.where(fits).distinct()).select("a", "b")), "links")
+    known = components(links)
+    held = written(_mixed(blocks, known), "mixed")
     left = held.where("component <> main").select("key", F.col("component").alias("a_component"), *(F.col(c).alias("a" if c == "id" else f"a_{c}") for c in cols))
     right = held.select("key", F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
     cross = left.join(right, "key").where("a_component <> b_component and (b_component = main or a < b)").where(fits).drop("key", "main", "a_component", "b_component")
-    more = verify(cross.distinct()).select("a", "b")
-    return components(first.unionByName(more))
+    more = written(verify(cross.distinct()).select("a", "b"), "links")
+    return known if more.isEmpty() else components(links.unionByName(more))
+
+
+def _mixed(blocks: DataFrame, known: DataFrame) -> DataFrame:
+    """The blocks with members of several components, with every member's component and the block's largest (main)."""
+    keyed = Window.partitionBy("key")
+    held = blocks.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    held = held.withColumn("mixed", F.min("component").over(keyed) != F.max("component").over(keyed)).where("mixed").drop("mixed")
+    held = held.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key", "component")))
+    return held.withColumn("main", F.max(F.struct("members", "component")).over(keyed)["component"])
