@@ -172,9 +172,9 @@ def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: st
     cap = F.ceil(F.col("size") * percent / 100 - 1e-9) - 1 + F.col("known")
     sized = shared.join(texts.select("id", "size", "last", cap.cast("long").alias("cap")), "id")
     overlap = f"((({percent}) * (a_size + b_size) + {99 + percent}) div {100 + percent})"
-    fits = f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size) and if(a_last <= b_last, a_cap, b_cap) >= {overlap}"
+    fits = f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size) and if(a_last <= b_last, a_cap, b_cap) >= {overlap} and a_at = greatest(a_own, b_own)"
     blocks = written(_by_size(sized, percent), "blocks")
-    linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size", "last", "cap"), fits)
+    linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size", "last", "cap", "own", "at"), fits)
 
     return rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("id", "th", "size", F.coalesce("component", "fp").alias("component"))
 
@@ -188,7 +188,7 @@ def _shared(tokens: DataFrame) -> DataFrame:
 def _by_size(shared: DataFrame, percent: int) -> DataFrame:
     """Blocks split by size: linked sizes lie in one class of sizes or two neighbouring ones."""
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent) * (1 + 1e-9)))
-    return shared.withColumn("class", F.explode(F.array(step, step + 1))).select(F.xxhash64("key", "class").alias("key"), "id", "size", "last", "cap")
+    return shared.withColumn("own", step).withColumn("at", F.explode(F.array(F.col("own"), F.col("own") + 1))).select(F.xxhash64("key", "at").alias("key"), "id", "size", "last", "cap", "own", "at")
 
 
 def _prefixes(g: np.ndarray, row: np.ndarray, off: np.ndarray, kind: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
