@@ -4,20 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; an error if the session has none."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-    return d.rstrip("/")
+from ranklens.session import checkpoint_dir
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written once as Parquet to the shared folder and read back: lineage ends here."""
     spark = df.sparkSession
-    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
