@@ -206,12 +206,16 @@ def expand(requests) -> list[Measure]:
     if isinstance(requests, str):
         requests = [requests]
     out: dict[str, Measure] = {}
+    explicit: dict[str, str] = {}
     for req in requests:
         if isinstance(req, str) and req in GROUPS:
             for n in GROUPS[req]:
                 out.setdefault(n, parse_measure(n))
         else:
             m = parse_measure(req)
+            if m.name in explicit:  # a second request adds its parameters
+                m = parse_measure(f"{explicit[m.name]},{req.split('.', 1)[1]}") if "." in req and "." in explicit[m.name] else out[m.name]
+            explicit[m.name] = f"{m.name}.{m.raw}" if m.raw else m.name
             out[m.name] = m
     return list(out.values())
 

@@ -13,16 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ranklens.session import checkpoint_dir
 
-def section_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
+
+def section_paths(nodes: DataFrame) -> DataFrame:
     """(page_id, node_id, path_ids array, headings array, depth) for every section."""
     sec = nodes.where(F.col("kind") == "section").select("page_id", "node_id", "parent_id", "heading", "heading_id", "ord")
     cur = sec.where(F.col("parent_id").isNull()).select(
         "page_id", "node_id", F.array("heading_id").alias("path_ids"), F.array("heading").alias("headings"),
         F.array("ord").alias("ords"), F.lit(1).alias("depth"),
     )
-    out = cur
-    for _ in range(max_depth):
+    checkpoint_dir(nodes.sparkSession)
+    out = cur = cur.checkpoint()
+    depth, total = 1, sec.count()
+    while True:
         nxt = sec.alias("s").join(cur.alias("c"), (F.col("s.parent_id") == F.col("c.node_id")) & (F.col("s.page_id") == F.col("c.page_id"))).select(
             F.col("s.page_id").alias("page_id"),
             F.col("s.node_id").alias("node_id"),
@@ -31,8 +35,12 @@ def section_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
             F.concat(F.col("c.ords"), F.array(F.col("s.ord"))).alias("ords"),
             (F.col("c.depth") + 1).alias("depth"),
         )
-        if nxt.limit(1).count() == 0:
+        nxt = nxt.checkpoint()  # each level's join runs once
+        if nxt.isEmpty():
             break
+        depth += 1
+        if depth > total:
+            raise ValueError("sections form a cycle")
         out = out.unionByName(nxt)
         cur = nxt
     return out

@@ -103,7 +103,7 @@ def pref_edges(prefs: DataFrame, only_multi: bool = True) -> DataFrame:
     return a.join(b, ["qid", "jg", "jsg"]).where(F.col("la") > F.col("lb")).select("qid", "jg", "a", "b").distinct()
 
 
-def pref_closure(edges: DataFrame, max_rounds: int = 256) -> DataFrame:
+def pref_closure(edges: DataFrame) -> DataFrame:
     """Transitive closure of the edges within each (qid, jg), semi-naive.
 
     Round k joins only the edges found in round k-1 with the base edges and
@@ -119,7 +119,7 @@ def pref_closure(edges: DataFrame, max_rounds: int = 256) -> DataFrame:
     step = base.select("qid", "jg", F.col("a").alias("m"), F.col("b").alias("b2"))
     found = base
     delta = base
-    for _ in range(max_rounds):
+    while True:
         d = delta.select("qid", "jg", "a", F.col("b").alias("m"))
         nxt = d.join(step, ["qid", "jg", "m"]).select("qid", "jg", "a", F.col("b2").alias("b")).distinct()
         nxt = nxt.join(found, ["qid", "jg", "a", "b"], "left_anti").checkpoint()

@@ -15,10 +15,16 @@ _WS = r"\s+"
 
 def _fields(spark: SparkSession, path: str, sep: str = _WS) -> DataFrame:
     t = spark.read.text(path)
-    t = t.select(F.split(F.trim(F.col("value")), sep).alias("f"), F.monotonically_increasing_id().alias("line_no"))
+    t = t.select(F.split(F.regexp_replace(F.col("value"), r"^\s+|\s+$", ""), sep).alias("f"), F.monotonically_increasing_id().alias("line_no"))
     return t.where(F.size("f") > 0).where(F.col("f")[0] != "")
 
 
+def _at_least(n: int):
+    """Lines with fewer than n fields are malformed: reading them is an error, never a silent drop."""
+    bad = F.raise_error(F.concat(F.lit(f"malformed line, fewer than {n} fields: "), F.array_join("f", " "))).cast("array<string>")
+    return lambda lines: lines.withColumn("f", F.when(F.size("f") < n, bad).otherwise(F.col("f")))
+
+
 def read_run(spark: SparkSession, path: str) -> DataFrame:
     """``qid iter docno rank sim run_id`` -> run(run_id, qid, docno, sim float).
 
@@ -26,7 +32,7 @@ def read_run(spark: SparkSession, path: str) -> DataFrame:
     reference); iter is ignored.
     """
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 6).select(
+    return f.transform(_at_least(6)).select(
         F.col("f")[5].alias("run_id"),
         F.col("f")[0].alias("qid"),
         F.col("f")[2].alias("docno"),
@@ -38,7 +44,7 @@ def read_run(spark: SparkSession, path: str) -> DataFrame:
 def read_qrels(spark: SparkSession, path: str) -> DataFrame:
     """``qid iter docno rel`` -> qrels(qid, docno, rel int)."""
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 4).select(
+    return f.transform(_at_least(4)).select(
         F.col("f")[0].alias("qid"), F.col("f")[2].alias("docno"), F.col("f")[3].cast("int").alias("rel")
     )
 
@@ -46,7 +52,7 @@ def read_qrels(spark: SparkSession, path: str) -> DataFrame:
 def read_qrels_jg(spark: SparkSession, path: str) -> DataFrame:
     """``qid jg docno rel`` -> qrels_jg(qid, jg, docno, rel int)."""
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 4).select(
+    return f.transform(_at_least(4)).select(
         F.col("f")[0].alias("qid"),
         F.col("f")[1].alias("jg"),
         F.col("f")[2].alias("docno"),
@@ -57,7 +63,7 @@ def read_qrels_jg(spark: SparkSession, path: str) -> DataFrame:
 def read_prefs(spark: SparkSession, path: str) -> DataFrame:
     """``qid jg jsg docno rel_level`` -> prefs(qid, jg, jsg, docno, rel_level float)."""
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 5).select(
+    return f.transform(_at_least(5)).select(
         F.col("f")[0].alias("qid"),
         F.col("f")[1].alias("jg"),
         F.col("f")[2].alias("jsg"),
@@ -74,7 +80,7 @@ def qrels_as_prefs(qrels_jg: DataFrame) -> DataFrame:
 def read_qrels_prefs(spark: SparkSession, path: str) -> DataFrame:
     """``qid jg docno rel_level`` read as preferences with sub-group ``'0'``."""
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 4).select(
+    return f.transform(_at_least(4)).select(
         F.col("f")[0].alias("qid"),
         F.col("f")[1].alias("jg"),
         F.lit("0").alias("jsg"),
@@ -86,7 +92,7 @@ def read_qrels_prefs(spark: SparkSession, path: str) -> DataFrame:
 def read_zref(spark: SparkSession, path: str) -> DataFrame:
     """``qid measure mean stddev`` -> zref(qid, measure, mean double, stddev double)."""
     f = _fields(spark, path)
-    return f.where(F.size("f") >= 4).select(
+    return f.transform(_at_least(4)).select(
         F.col("f")[0].alias("qid"),
         F.col("f")[1].alias("measure"),
         F.col("f")[2].cast("double").alias("mean"),
@@ -104,7 +110,7 @@ def qrels_lookup(spark: SparkSession, path: str) -> DataFrame:
         F.split(F.col("value"), " ").alias("f"),
         F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line")).alias("line_no"),
     )
-    t = t.where(F.size("f") >= 4)
+    t = t.transform(_at_least(4))
     return t.groupBy(F.col("f")[0].alias("qid"), F.col("f")[2].alias("docno")).agg(
         F.max_by(F.col("f")[3].cast("int"), F.col("line_no")).alias("rel")
     )
@@ -132,7 +138,7 @@ def parse_ltr(lines: DataFrame, col: str = "value") -> DataFrame:
     body = F.trim(F.split(F.col(col), "#", 2)[0])
     comment = F.trim(F.split(F.col(col), "#", 2)[1])
     toks = F.split(body, _WS)
-    feats = F.filter(F.slice(toks, 3, 1 << 20), lambda t: t.contains(":"))
+    feats = F.filter(F.slice(toks, F.lit(3), F.size(toks)), lambda t: t.contains(":"))
     fmap = F.map_from_entries(
         F.transform(
             feats,
