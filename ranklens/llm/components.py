@@ -5,7 +5,7 @@ until no edge changes; each step is a grouped minimum and a join, and every
 round is written to the shared folder.
 
 ``link_blocks`` finds the components of the links between members of common
-blocks.  First each member is compared with its block's smallest member only; a
+blocks.  First each member is compared with its block's first member only; a
 block whose members are then all connected needs nothing more, so a block of n
 near copies costs n comparisons.  In the other blocks, members outside the
 largest component are compared with a few random members of it, which connects
@@ -59,30 +59,36 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
 
 
-def link_blocks(blocks: DataFrame, verify: Callable[[DataFrame], DataFrame], carry: tuple[str, ...] = (), fits: str = "true") -> DataFrame:
+def link_blocks(blocks: DataFrame, verify: Callable[[DataFrame], DataFrame], carry: tuple[str, ...] = (), fits: str = "true", first: str = "id", sides: tuple[str, ...] = ()) -> DataFrame:
     """(id, component) of the ids that a verified link joins with another.
 
-    ``blocks``: (key, id, carried columns).  ``verify`` takes pairs
-    (a, b, carried columns with the prefixes a_ and b_) and returns the linked
-    (a, b).  ``fits``: an SQL condition on a pair's carried columns that every
-    link meets.
+    ``blocks``: (key, id, carried columns).  ``fits``: an SQL condition on a
+    pair's carried columns, with the prefixes a_ and b_, that every link meets
+    in at least one of its blocks.  ``verify`` takes pairs (a, b, and the
+    carried columns ``sides`` with these prefixes), each once, and returns the
+    linked (a, b).  ``first``: the column whose least value marks the first
+    member of a block.
     """
     cols = ["id", *carry]
     keyed = Window.partitionBy("key")
-    low = F.min(F.struct(*cols)).over(keyed)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        return verify(pairs.where(fits).select("a", "b", *(f"{s}_{c}" for c in sides for s in "ab")).distinct())
+
+    low = F.min(F.struct(F.col(first).alias("_first"), *cols)).over(keyed)
     star = blocks.withColumn("low", low).where("low.id <> id").select(*(F.col(f"low.{c}").alias("a" if c == "id" else f"a_{c}") for c in cols), *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
-    links = written(verify(star.where(fits).distinct()).select("a", "b"), "links")
+    links = written(compared(star).select("a", "b"), "links")
     held = _mixed(blocks, components(links))
     main = F.when(F.col("component") == F.col("main"), F.struct(F.xxhash64("id", "salt"), *cols))
     centre = held.withColumn("salt", F.explode(F.array(*map(F.lit, range(CENTRES))))).withColumn("centre", F.min(main).over(Window.partitionBy("key", "salt")))
     again = centre.where("component <> main").select(*(F.col(f"centre.{c}").alias("a" if c == "id" else f"a_{c}") for c in cols), *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
-    links = written(links.unionByName(verify(again.where(fits).distinct()).select("a", "b")), "links")
+    links = written(links.unionByName(compared(again).select("a", "b")), "links")
     known = components(links)
     held = written(_mixed(blocks, known), "mixed")
     left = held.where("component <> main").select("key", F.col("component").alias("a_component"), *(F.col(c).alias("a" if c == "id" else f"a_{c}") for c in cols))
     right = held.select("key", F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" if c == "id" else f"b_{c}") for c in cols))
-    cross = left.join(right, "key").where("a_component <> b_component and (b_component = main or a < b)").where(fits).drop("key", "main", "a_component", "b_component")
-    more = written(verify(cross.distinct()).select("a", "b"), "links")
+    cross = left.join(right, "key").where("a_component <> b_component and (b_component = main or a < b)")
+    more = written(compared(cross).select("a", "b"), "links")
     return known if more.isEmpty() else components(links.unionByName(more))
 
 

@@ -5,16 +5,16 @@ only reach the similarity when they share a token among the first
 ``n - ceil(t * n) + 1`` of each, under every global order of the tokens.  Order
 one puts tokens in frequent buckets of a corpus-wide count sketch last, so its
 prefixes hold rare tokens; documents that share one of them are candidates.
-Of two sets, the one whose prefix ends first in the order has each prefix token
-that is in no other prefix for itself alone, which bounds the common tokens by
-the number of its shared ones.
+A shared token counts only where the two sets can be similar enough with it as
+their first common one: each set's tokens before it are then not in the other.
 Order two is a second hash: of the tokens below a fixed quantile of it, a set
 may miss at most as many in the other set as the similarity allows at all.
 Only pairs that pass both are verified, on their whole texts.
 
 Equal sets are one node, however many documents have them, and near copies are
-linked through their block's smallest member (``components.link_blocks``), so a
-group of copies never makes all pairs.  The sketch has a fixed number of
+linked through the member of their block with the fewest rarer tokens
+(``components.link_blocks``), which is the one with the fewest changes of its
+own, so a group of copies never makes all pairs.  The sketch has a fixed number of
 counters; it decides the order, never the result.
 
 Null, empty and blank texts have no set: size 0, linked with nothing, their own
@@ -159,22 +159,21 @@ def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: st
                 g, row, off = sets(part.column("text"), n)
                 order, first = _prefixes(g, row, off, kind, percent)
                 fp = fingerprints(g, off)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(g[order][first])), pa.array(signed(fp[row[first]]))], ["key", "id"])
+                size, place = np.diff(off), np.arange(len(g)) - off[row]
+                cols = [pa.array(signed(g[order][first])), pa.array(signed(fp[row[first]])), pa.array(size[row[first]].astype(np.int32)), pa.array(place[first].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "id", "size", "place"])
 
-    tokens = src.select("text").mapInArrow(prefixes, "key long, id long")
+    tokens = src.select("text").mapInArrow(prefixes, "key long, id long, size int, place int")
     shared = written(_shared(tokens), "shared")
     nodes = rows.where("size > 0").groupBy(F.col("fp").alias("id")).agg(F.min(F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("doc"), "th")).alias("at"), F.first("size").alias("size"))
-    wanted = written(shared.groupBy("id").agg(F.count(F.lit(1)).alias("known")).join(nodes, "id").select("id", "size", "known", "at.doc", "at.th"), "wanted")
+    wanted = shared.select("id").distinct().join(nodes, "id").select("id", "size", "at.doc", "at.th")
     texts = src.select(F.coalesce("id", F.lit(-(1 << 63))).alias("doc"), "th", "text")
     texts = texts.join(wanted, ["doc", "th"]).dropDuplicates(["doc", "th"])
-    texts = written(texts.select("id", "size", "known", "text").mapInArrow(_orders(n, percent, classes), "id long, size long, known long, last long, text string, low array<int>"), "candidates")
-    # what a set can have in common with one whose prefix ends later
-    cap = F.ceil(F.col("size") * percent / 100 - 1e-9) - 1 + F.col("known")
-    sized = shared.join(texts.select("id", "size", "last", cap.cast("long").alias("cap")), "id")
-    overlap = f"((({percent}) * (a_size + b_size) + {99 + percent}) div {100 + percent})"
-    fits = f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size) and if(a_last <= b_last, a_cap, b_cap) >= {overlap} and a_at = greatest(a_own, b_own)"
-    blocks = written(_by_size(sized, percent), "blocks")
-    linked = link_blocks(blocks, lambda pairs: _verified(pairs, texts, n, percent), ("size", "last", "cap", "own", "at"), fits)
+    texts = written(texts.select("id", "size", "text").mapInArrow(_second_order(n), "id long, size long, text string, low array<int>"), "candidates")
+    overlap = f"(({percent}L * (a_size + b_size) + {99 + percent}) div {100 + percent})"
+    # with this token as their first common one, at most the tokens from it on are common
+    fits = f"100L * least(a_size, b_size) >= {percent}L * greatest(a_size, b_size) and least(a_size - a_place, b_size - b_place) >= {overlap} and a_at = greatest(a_own, b_own)"
+    linked = link_blocks(_by_size(shared, percent), lambda pairs: _verified(pairs, texts, n, percent), ("size", "place", "own", "at"), fits, first="place", sides=("size",))
 
     return rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("id", "th", "size", F.coalesce("component", "fp").alias("component"))
 
@@ -182,13 +181,13 @@ def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: st
 def _shared(tokens: DataFrame) -> DataFrame:
     """The rows whose token stands in the prefixes of two different sets: one shuffle, and copies fold into one row."""
     w = Window.partitionBy("key")
-    return tokens.withColumn("lo", F.min("id").over(w)).withColumn("hi", F.max("id").over(w)).where("lo <> hi").select("key", "id").distinct()
+    return tokens.withColumn("lo", F.min("id").over(w)).withColumn("hi", F.max("id").over(w)).where("lo <> hi").drop("lo", "hi").distinct()
 
 
 def _by_size(shared: DataFrame, percent: int) -> DataFrame:
     """Blocks split by size: linked sizes lie in one class of sizes or two neighbouring ones."""
-    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent) * (1 + 1e-9)))
-    return shared.withColumn("own", step).withColumn("at", F.explode(F.array(F.col("own"), F.col("own") + 1))).select(F.xxhash64("key", "at").alias("key"), "id", "size", "last", "cap", "own", "at")
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent) * (1 + 1e-9))).cast("int")
+    return shared.withColumn("own", step).withColumn("at", F.explode(F.array(F.col("own"), F.col("own") + 1))).select(F.xxhash64("key", "at").alias("key"), "id", "size", "place", "own", "at")
 
 
 def _prefixes(g: np.ndarray, row: np.ndarray, off: np.ndarray, kind: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,23 +197,19 @@ def _prefixes(g: np.ndarray, row: np.ndarray, off: np.ndarray, kind: np.ndarray,
     return order, place < prefix_size(np.diff(off), percent)[row]
 
 
-def _orders(n: int, percent: int, classes):
-    """Adds the place in order one where the prefix ends, and the tokens under order two's quantile."""
+def _second_order(n: int):
+    """Adds the tokens under order two's quantile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = classes.value
         for batch in batches:
             for part in text_slices(batch, "text"):
-                g, row, off = sets(part.column("text"), n)
-                order, first = _prefixes(g, row, off, kind, percent)
-                end = g[order][off[:-1] + prefix_size(np.diff(off), percent) - 1]
-                last = (kind[(end & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (end >> np.uint64(8))
+                g, row, _ = sets(part.column("text"), n)
                 other = mix(g ^ _ORDER_TWO)
                 low = other < np.uint64((1 << 64) // SECOND)
                 values = (other[low] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
                 cuts = np.searchsorted(row[low], np.arange(part.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "size", "known")), pa.array(signed(last)), part.column("text"), lists], ["id", "size", "known", "last", "text", "low"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "size", "text")), lists], ["id", "size", "text", "low"])
 
     return run
 

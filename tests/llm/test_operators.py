@@ -71,6 +71,28 @@ def test_jaccard_components(docs, n, percent):
     assert sorted(r.doc_id for r in left.collect()) == sorted(keep)
 
 
+def test_jaccard_links_of_a_large_group_of_near_copies(spark):
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(3000 + d, f"other text {d} of few words") for d in range(50)]
+    for d in range(400):
+        w = list(base)
+        for _ in range(r.choice([1, 1, 2, 3, 4, 6])):  # from three changes on, a copy is linked only with its like
+            at = r.randrange(len(w))
+            w[at : at + 1] = r.choice([[], [w[at], f"x{r.randrange(40)}"], [f"x{r.randrange(3000)}"]])
+        rows.append((d, " ".join(w)))
+    queries.ready(spark)
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split(" ") for _, t in rows)]
+    u = Union()
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows[:i]):
+            if 100 * (common := len(sets[i] & sets[j])) >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                u.join(a, b)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.component_ids(df, 4, 85)
+    assert sorted(map(tuple, got.collect())) == sorted((d, len(s), u.find(d)) for (d, _), s in zip(rows, sets))
+
+
 def test_substrings_equal_brute_force(docs):
     rows, df = docs
     for window in (20, 7):
