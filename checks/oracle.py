@@ -434,23 +434,24 @@ m AS (SELECT q.qid, q.term, q.qtf, p.docno, p.tf, p.dlen, p.ulen, p.uvoc, ts.df,
       FROM qt q JOIN postd p ON q.term = p.term JOIN ts ON ts.term = q.term CROSS JOIN cs)"""
 
 TERM_SCORE = {
-    "bnn_bnn": ("CASE WHEN tf > 0 THEN 1.0 ELSE 0.0 END", "sum"),
+    "bnn_bnn": ("qtf * CASE WHEN tf > 0 THEN 1.0 ELSE 0.0 END", "sum"),
     "lnc_ltn": ("(1.0 + log10(tf)) * (1.0 + log10(qtf)) * log10(CAST(num_docs AS DOUBLE) / greatest(df, 1))", "sum_norm"),
-    "lm_laplace": ("(tf + 1.0 / ulen) / (ulen + uvoc)", "sum"),
-    "lm_jm": ("0.9 * tf / dlen + (1.0 - 0.9) * CAST(ctf AS DOUBLE) / sum_tf", "product"),
-    "lm_dirichlet": ("(tf + 1000.0) / (ctf + 1000.0)", "sum"),
-    "raw_tf": ("CAST(tf AS DOUBLE)", "sum"),
+    "lm_laplace": ("qtf * (tf + 1.0 / ulen) / (ulen + uvoc)", "sum"),
+    "lm_jm": ("pow(0.9 * tf / dlen + (1.0 - 0.9) * CAST(ctf AS DOUBLE) / sum_tf, qtf)", "product"),
+    "lm_dirichlet": ("qtf * (tf + 1000.0) / (ctf + 1000.0)", "sum"),
+    "raw_tf": ("CAST(qtf * tf AS DOUBLE)", "sum"),
     "bm25": ("qtf * ln(1.0 + (num_docs - df + 0.5) / (df + 0.5)) * tf * (1.2 + 1.0) / "
              "(tf + 1.2 * (1.0 - 0.75 + 0.75 * dlen / avg_dlen))", "sum"),
 }
-PER_TERM_TOP = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
+PER_TERM_TOP = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm")
+LIST_KEY = {"lm_laplace": "tf + 1.0 / ulen"}
 
 
 def hits_cte(method: str, k: int = 10) -> str:
     s, combine = TERM_SCORE[method]
     mm = method
     if method in PER_TERM_TOP:
-        cand = f"""tt_{mm} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, term ORDER BY s DESC, docno) AS rn
+        cand = f"""tt_{mm} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, term ORDER BY {LIST_KEY.get(method, "s")} DESC, docno) AS rn
                          FROM sc_{mm}) z WHERE rn <= 10)"""
     else:
         cand = f"tt_{mm} AS (SELECT * FROM sc_{mm})"

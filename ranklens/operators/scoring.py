@@ -2,10 +2,10 @@
 
 All scorers share one plan prefix — the equi-join of (broadcast, size-checked)
 query terms with the postings on ``term`` — and differ only in column
-expressions.  The five feature scorers follow the candidate rule of the
-reference: every query term contributes its own top-``n`` documents and a
-document is scored only from the term lists it entered.  ``score_raw_tf`` and
-``score_default`` (BM25) score the whole bag of terms at once.
+expressions.  In the methods of ``TERM_LISTS`` every query term contributes its
+own top-``n`` documents and a document is scored only from the term lists it
+entered; the others score the whole bag of terms at once.  A term that a query
+repeats counts once per occurrence.
 
 Top-k uses ``row_number() <= k`` directly above the window, which Catalyst
 turns into a window group limit (partial top-k before the shuffle), so a very
@@ -28,6 +28,7 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 METHODS = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
+TERM_LISTS = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm")
 
 
 def match(topics_terms: DataFrame, post: DataFrame, bounded: bool | None = None) -> DataFrame:
@@ -57,9 +58,9 @@ def _with_stats(qt: DataFrame, post: DataFrame, corpus_stats: DataFrame) -> Data
     return m.join(F.broadcast(ts) if bounded else ts, "term").crossJoin(F.broadcast(cs))
 
 
-def term_topk(scored: DataFrame, n: int = TERM_TOP_N) -> DataFrame:
+def term_topk(scored: DataFrame, n: int = TERM_TOP_N, by: str = "s") -> DataFrame:
     """Keep the best ``n`` documents of every (query, term) list; ties by docno."""
-    w = Window.partitionBy("qid", "term").orderBy(F.col("s").desc(), F.col("docno"))
+    w = Window.partitionBy("qid", "term").orderBy(F.col(by).desc(), F.col("docno"))
     return scored.withColumn("_tr", F.row_number().over(w)).where(F.col("_tr") <= n).drop("_tr")
 
 
@@ -78,7 +79,7 @@ def topk_per_query(scores: DataFrame, k: int = TOP_K, method: str | None = None)
 
 
 def _term_scores(method: str, mode: str = "literal", background: bool = False) -> tuple[Column, str]:
-    """Per (term, doc) score column and how term scores combine per document."""
+    """Per (term, doc) score column of one occurrence of the term and how scores combine per document."""
     tf = F.col("tf").cast("double")
     if method == "bnn_bnn":
         return F.when(F.col("tf") > 0, F.lit(1.0)).otherwise(F.lit(0.0)), "sum"
@@ -103,10 +104,24 @@ def _term_scores(method: str, mode: str = "literal", background: bool = False) -
         n, df = F.col("num_docs").cast("double"), F.col("df").cast("double")
         idf = F.log(1.0 + (n - df + 0.5) / (df + 0.5))
         norm = BM25_K1 * (1.0 - BM25_B + BM25_B * F.col("dlen") / F.col("avg_dlen"))
-        return F.col("qtf") * idf * tf * (BM25_K1 + 1.0) / (tf + norm), "sum"
+        return idf * tf * (BM25_K1 + 1.0) / (tf + norm), "sum"
     raise ValueError(f"unknown method {method}")
 
 
+def _list_key(method: str, s: Column) -> Column:
+    """What a term's list is ordered by: Laplace divides by the document's length only after the cut."""
+    if method == "lm_laplace":
+        return F.col("tf").cast("double") + 1.0 / F.col("ulen").cast("double")
+    return s
+
+
+def _repeated(method: str, s: Column, combine: str) -> Column:
+    """The score of all occurrences of the term in the query (lnc.ltn weighs them itself)."""
+    if combine == "product":
+        return F.pow(s, F.col("qtf").cast("double"))
+    return s if combine == "sum_norm" else F.col("qtf") * s
+
+
 def score(
     method: str,
     topics: DataFrame,
@@ -135,14 +150,16 @@ def score(
     m = _with_stats(qt, post, stats)
     if custom is not None:
         s, combine = custom, "sum"
+        key = s
         method = method or "custom"
     else:
-        s, combine = _term_scores(method, mode)
-    m = m.withColumn("s", s.cast("double"))
+        one, combine = _term_scores(method, mode)
+        s, key = _repeated(method, one, combine), _list_key(method, one)
+    m = m.withColumns({"s": s.cast("double"), "_key": key.cast("double")})
     if per_term_top is None:
-        per_term_top = method in METHODS
+        per_term_top = method in TERM_LISTS
     if per_term_top:
-        m = term_topk(m, n)
+        m = term_topk(m, n, "_key")
     if combine == "product":
         agg = F.pow(F.lit(10.0), F.sum(F.log10("s")))
     else:
@@ -177,14 +194,15 @@ def score_many(
     kinds = {}
     structs = []
     for meth in methods:
-        s, combine = _term_scores(meth)
+        one, combine = _term_scores(meth)
         kinds[meth] = combine
-        structs.append(F.struct(F.lit(meth).alias("method"), s.cast("double").alias("s")))
+        s, key = _repeated(meth, one, combine), _list_key(meth, one)
+        structs.append(F.struct(F.lit(meth).alias("method"), s.cast("double").alias("s"), key.cast("double").alias("_key")))
     st = m.select("qid", "term", "docno", F.inline(F.array(*structs)))
-    per_term = [mm for mm in methods if mm in METHODS]
+    per_term = [mm for mm in methods if mm in TERM_LISTS]
     if per_term:
         # a plain `row_number() <= n` filter becomes a window group limit (partial top-n per task)
-        w = Window.partitionBy("method", "qid", "term").orderBy(F.col("s").desc(), F.col("docno"))
+        w = Window.partitionBy("method", "qid", "term").orderBy(F.col("_key").desc(), F.col("docno"))
         top = st.where(F.col("method").isin(*per_term)).withColumn("_rn", F.row_number().over(w))
         top = top.where(F.col("_rn") <= n).drop("_rn")
         rest = [mm for mm in methods if mm not in per_term]
