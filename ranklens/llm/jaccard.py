@@ -109,15 +109,16 @@ def _summed(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _classes(counted: DataFrame) -> np.ndarray:
-    """Frequency class of every counter (0: up to twice the mean): at most COUNTERS bytes reach the driver."""
+    """Frequency class of every counter (0: within its usual spread): only the summed counters reach the driver."""
     blocks = counted.where("block is not null").select("block", "counts")
     for salt in ("rand(7) * 64", "0"):  # sums of sums, so no partition reads every task's counters
         blocks = blocks.repartition(COUNTERS // BLOCK, "block", F.expr(f"cast({salt} as int)")).mapInPandas(_summed, "block int, counts binary")
     counts = np.zeros(COUNTERS, np.int64)
     for r in blocks.collect():
         counts[r.block * BLOCK : (r.block + 1) * BLOCK] += np.frombuffer(r.counts, "<i8")
-    mean = max(1.0, counts.mean())
-    return np.clip(np.floor(np.log2(np.maximum(counts / mean, 1))), 0, 60).astype(np.uint8)
+    usual = float(np.median(counts))  # what other tokens add to every counter, give or take its square root
+    above = (counts - usual) / (np.sqrt(usual) + 1)
+    return np.clip(np.floor(2 * np.log2(np.maximum(above, 1))), 0, 120).astype(np.uint8)
 
 
 def prefix_size(size: np.ndarray, percent: int) -> np.ndarray:
