@@ -58,10 +58,15 @@ def template_bigrams(templates: dict[str, str]) -> list[tuple[str, str, int]]:
     return out
 
 
-def _bigrams(text: Column) -> Column:
+def _words(text: Column) -> Column:
+    """What isn't a letter or digit goes before the lower-casing, so that A-Z alone are lower-cased."""
+    return F.split(F.trim(F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " "))), " ")
+
+
+def _bigrams(words: str) -> Column:
     """Hashes of the distinct word pairs."""
-    words = F.split(F.trim(F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " ")), " ")
-    return F.array_distinct(F.transform(F.slice(F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.size(words)).alias("b")), F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda p: F.xxhash64(p["a"], p["b"])))
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.xxhash64(a, b))
+    return F.array_distinct(F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))))
 
 
 def _given(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
@@ -86,7 +91,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     lines = src.select("id", "th", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
     whole = src.where(F.instr("text", "\n") > 0).select("id", "th", F.lit(-1).alias("line"), "text")
     # a word has a letter and stands apart, so fewer characters than this hold too few pairs
-    units = lines.unionByName(whole).where(F.length("text") >= 2 * least + 1).select("id", "th", "line", _bigrams(F.col("text")).alias("bigrams"))
+    # the one-element arrays keep words and pairs columns of their own: otherwise the plan holds their expressions several times
+    units = lines.unionByName(whole).where(F.length("text") >= 2 * least + 1).select("id", "th", "line", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    units = units.where(F.size("words") > least).select("id", "th", "line", F.explode(F.array(_bigrams("words"))).alias("bigrams"))
     units = units.withColumn("n_text", F.size("bigrams")).where((F.col("n_text") >= least) & (F.col("n_text") <= most))
     pairs = units.select("id", "th", "line", "n_text", F.explode("bigrams").alias("bigram"))
     pairs = pairs.join(F.broadcast(_given(docs.sparkSession, templates, threshold)), "bigram").where("n_text >= least and n_text <= most")
