@@ -31,14 +31,19 @@ _NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002"
 UNITS = "mm cm m km in ft yd mi miles meters metres kilometers kilometres feet inches mg g kg lb lbs oz ton tons grams kilograms pounds ml l liters litres gallons s sec min h hr hours minutes seconds days weeks months years mph kmh kw w v a hz usd eur dollars euros cents percent degrees"
 
 
+def _unmarked(text: Column) -> Column:
+    """The text without the placeholders' own characters."""
+    return F.when(F.contains(text, F.lit(_NAME)) | F.contains(text, F.lit(_NUMBER)) | F.contains(text, F.lit(_UNIT)), F.translate(text, _NAME + _NUMBER + _UNIT, "")).otherwise(text)
+
+
 def _plain(text: Column) -> Column:
     """The text without words of punctuation alone, so that raw and canonical words stand at the same places."""
-    t = F.translate(text, _NAME + _NUMBER + _UNIT, "")
-    return F.btrim(F.regexp_replace(t, r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)", " "), F.lit(" \t\n\r\f\x0b"))
+    return F.regexp_replace(_unmarked(text), r"(?=[^\p{L}\p{N}\s])(?<!\S)[^\p{L}\p{N}\s]+(?!\S)", " ")
 
 
 def _words(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\s+"))
+    # a text that begins or ends with white space has an empty word there
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def raw_words(text: Column) -> Column:
@@ -47,16 +52,18 @@ def raw_words(text: Column) -> Column:
 
 def canonical_words(text: Column) -> Column:
     """The canonical words; word i stands for word i of ``raw_words``."""
-    t = F.regexp_replace(_plain(text), r"(?=\p{Lu})(?<=[\p{L}\p{N},;][ \t])\p{Lu}\p{Ll}+", _NAME)
+    # words of punctuation alone go with the last replacement: their letters and digits are none
+    t = F.regexp_replace(_unmarked(text), r"(?=\p{Lu})(?<=[\p{L}\p{N}][ \t]|\S[,;][ \t])\p{Lu}\p{Ll}+", _NAME)
     t = F.regexp_replace(t, r"\p{N}[\p{N}.,]*(?<=\p{N})", _NUMBER)
     t = F.regexp_replace(t, f"{_NUMBER}([ \\t]?)(?i:" + "|".join(sorted(UNITS.split(), key=len, reverse=True)) + r")(?![\p{L}\p{N}])", f"{_NUMBER}$1{_UNIT}")
-    return _words(F.lower(F.regexp_replace(t, f"[^\\p{{L}}\\p{{N}}{_NAME}-{_UNIT}\\s]+", "")))
+    return _words(F.lower(F.regexp_replace(t, f"[^a-zA-Z0-9\\s\\p{{L}}\\p{{N}}{_NAME}-{_UNIT}]+", "")))
 
 
 def _windows(words: str, size: int) -> Column:
-    """(pos, hash) of every window of this size."""
+    """(size, doc_pos, key) of every window of this size."""
     n = F.size(words) - size
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, size))))
+    places = F.when(n >= 0, F.sequence(F.lit(0), F.greatest(n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.alias("doc_pos"), F.xxhash64(F.slice(words, i + 1, size)).alias("key")))
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = 8, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -67,14 +74,10 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 8, least: int = 5,
     wins = written(given.select("item", "ith", "size", F.posexplode(own).alias("pos", "key")), "item-windows")
     sizes = [r.size_ for r in wins.select(F.col("size").alias("size_")).distinct().collect()]  # at most window - least + 1 numbers
     side = F.broadcast(wins) if wins.count() * _WINDOW_BYTES <= BROADCAST_BYTES else wins
-    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), canonical_words(F.col(text_col).cast("string")).alias("words"))
-    found = None
-    for size in sorted(sizes):
-        keyed = src.select("id", "th", F.posexplode(_windows("words", size)).alias("doc_pos", "key")).withColumn("size", F.lit(size))
-        hit = keyed.join(side, ["key", "size"])
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:
-        found = src.select("id", "th", F.lit(0).alias("doc_pos"), F.lit(0).cast("long").alias("key")).where("false").withColumn("size", F.lit(0)).join(wins, ["key", "size"])
+    # the one-element array keeps the words a column of their own: otherwise the plan holds their expression several times
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.explode(F.array(canonical_words(F.col(text_col).cast("string")))).alias("words"))
+    keyed = src.select("id", "th", F.explode(F.concat(F.array().cast("array<struct<size:int,doc_pos:int,key:bigint>>"), *(_windows("words", size) for size in sorted(sizes)))).alias("w"))
+    found = keyed.select("id", "th", "w.*").join(side, ["key", "size"])
     return found.select("id", "th", "item", "ith", "pos", "doc_pos", "size").distinct()
 
 
