@@ -134,6 +134,39 @@ def test_nearly_equal_lines_are_linked(spark):
     assert got == {1: [], 2: [1], 3: []}
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_lines_of_every_similarity_equal_brute_force(spark):
+    r = random.Random(9)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(r.choice([2, 6, 8]))) for _ in range(400)]
+    texts = []
+    for size in (4, 5, 8, 9, 10, 15, 20, 34, 50):
+        for similarity in (0.75, 0.80, 0.85, 0.90, 0.95):
+            base = [r.choice(vocab[:40] if r.random() < 0.3 else vocab) for _ in range(size)]
+            near = list(base)
+            for _ in range(round(size * (1 - similarity))):
+                at = r.randrange(len(near))
+                near[at : at + 1] = r.choice([[], [near[at], r.choice(vocab)], [r.choice(vocab)], [r.choice(vocab)]])
+            texts += [base, near]
+    r.shuffle(texts)
+    u, edges = Union(), 0
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            if word_distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
+                u.join(i, j)
+                edges += 1
+    queries.ready(spark)
+    got = lines.line_counts(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4))
+    assert edges > 30 and {x.doc_id for x in got.collect() if x.n_removed} == {i for i in range(len(texts)) if u.find(i) != i}
+
+
 def test_template_windows_and_slots(spark):
     items = spark.createDataFrame([(7, "Alice has 12 apples, and Bob buys 5 kg of pears for 12 dollars every week in Paris."), (8, "tiny one"), (9, None)], "item_id long, text string")
     rows = [
