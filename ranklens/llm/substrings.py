@@ -10,7 +10,8 @@ give, for every window, the interval of its occurrences and the earliest one.
 The number of shards follows the text's size, so a shard stays small.
 Segments that occur several times in one slice of a task's input travel once;
 the later ones are known to be removed already, so a hot passage costs a shard
-about one segment per slice of the input.
+about one segment per slice of the input.  Equal segments at one place of one
+document are one: no copy of them is the earlier one.
 
 A document is an (id, text) pair: rows that repeat both are one document given
 twice and get the same result; different texts under one id are ordered by a
@@ -101,6 +102,8 @@ def _route(part: pa.RecordBatch, window: int, shards: int) -> pa.RecordBatch:
     order = np.lexsort((own, th, ids, content))
     again = np.zeros(len(order), bool)
     again[order[1:]] = content[order[1:]] == content[order[:-1]]
+    twice = np.zeros(len(order), bool)  # the same segment of a row given twice
+    twice[order[1:]] = again[order[1:]] & (ids[order[1:]] == ids[order[:-1]]) & (th[order[1:]] == th[order[:-1]]) & (own[order[1:]] == own[order[:-1]])
     shard = (mix(gram) % np.uint64(shards)).astype(np.int32)
     out: dict[str, list] = {k: [] for k in ("shard", "id", "th", "start", "windows", "blob")}
     one = np.flatnonzero(~again)
@@ -112,7 +115,7 @@ def _route(part: pa.RecordBatch, window: int, shards: int) -> pa.RecordBatch:
         cols = {"id": ids[group], "th": th[group], "start": own[group], "windows": count[group], "gram": mix(gram[group]) >> np.uint64(32), "multi": multi[group]}
         for k, v in (("shard", int(shard[group[0]])), ("id", 0), ("th", 0), ("start", 0), ("windows", 0), ("blob", _pack(cols, text))):
             out[k].append(v)
-    known = np.flatnonzero(again)
+    known = np.flatnonzero(again & ~twice)
     plain = {"shard": shard[known], "id": ids[known], "th": th[known], "start": own[known], "windows": count[known]}
     kinds = {"shard": pa.int32(), "id": pa.int64(), "th": pa.int64(), "start": pa.int32(), "windows": pa.int32(), "blob": pa.binary()}
     arrays = [pa.concat_arrays([pa.array(out[k], kinds[k]), pa.nulls(len(known), kinds[k]) if k == "blob" else pa.array(plain[k], kinds[k])]) for k in kinds]
@@ -129,7 +132,7 @@ def _shard(blobs: list[bytes], window: int) -> pd.DataFrame:
     empty = pd.DataFrame({"id": np.zeros(0, np.int64), "th": np.zeros(0, np.int64), "start": np.zeros(0, np.int32), "windows": np.zeros(0, np.int32)})
     if not len(keep):
         return empty
-    keep = keep[np.lexsort((col["start"][keep], col["th"][keep], col["id"][keep]))]
+    keep = _once(keep, col, texts)
     ids, th, start, count = (col[k][keep] for k in ("id", "th", "start", "windows"))
     t = Texts(texts.take(pa.array(keep)).cast(pa.string()))
     vocab, symbol = np.unique(t.words(), return_inverse=True)
@@ -152,6 +155,20 @@ def _shard(blobs: list[bytes], window: int) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[seg], "th": th[seg], "start": (start[seg] + pos - first[seg]).astype(np.int32), "windows": np.diff(np.append(begin, len(at))).astype(np.int32)})
 
 
+def _once(keep: np.ndarray, col: dict[str, np.ndarray], texts: pa.Array) -> np.ndarray:
+    """The segments in (id, th, start) order; those that equal another in place and words are a row given twice and go."""
+    keep = keep[np.lexsort((col["start"][keep], col["th"][keep], col["id"][keep]))]
+    same = np.ones(max(len(keep) - 1, 0), bool)
+    for k in ("id", "th", "start"):
+        same &= col[k][keep[1:]] == col[k][keep[:-1]]
+    stays, seen = np.ones(len(keep), bool), set()
+    for i in np.flatnonzero(np.append(same, False) | np.append(False, same)).tolist():
+        at = (*(int(col[k][keep[i]]) for k in ("id", "th", "start")), texts[int(keep[i])].as_py())
+        stays[i] = at not in seen
+        seen.add(at)
+    return keep[stays]
+
+
 def _split(parts: list[tuple[dict[str, np.ndarray], bytes]], sizes: np.ndarray) -> list[bytes]:
     """The segments' bytes; they are cut by their numbers of words, since white space inside may be line ends."""
     out, at = [], 0

@@ -113,6 +113,17 @@ def test_substrings_equal_brute_force(docs):
         assert sorted(map(tuple, substrings.remove_repeats(df, window, digests=True).collect())) == sorted(want)
 
 
+def test_substrings_of_rows_given_twice_stay(spark):
+    r = random.Random(2)
+    text = [" ".join(f"w{r.randrange(900)}" for _ in range(60)) for _ in range(4)]
+    rows = [(1, text[0]), (1, text[0]), (2, text[1] + " " + text[2]), (3, text[3] + " " + text[1])] * 2
+    queries.ready(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(1, 60, 0, text[0]), (1, 60, 0, text[0]), (2, 120, 0, text[1] + " " + text[2]), (3, 120, 60, text[3])] * 2)
+    for parts in (1, 5):  # the copies in one slice and in several
+        assert sorted(map(tuple, substrings.remove_repeats(df.repartition(parts)).collect())) == want
+
+
 def test_equal_lines_go_and_others_stay(docs):
     _, df = docs
     out = {r.doc_id: r for r in lines.line_counts(df).collect()}
