@@ -5,8 +5,10 @@ subdomain whose path starts with the rule's path; the longest rule wins and
 gives the verdict.  Other pages get their host's verdict: trust is a
 personalised PageRank from the hosts with an allow rule along the links between
 hosts, distrust one from the hosts that are blocked as a whole against the
-links.  Both are measured in multiples of an even share; a host is blocked when
-its distrust exceeds its trust by more than ``margin``.
+links.  Hosts that are only linked to, without a page of their own, are
+hosts of the graph and seeds as well.  Both are measured in multiples of an even
+share of all hosts; a host is blocked when its distrust exceeds its trust by
+more than ``margin``.
 
 Links are the absolute and scheme-relative ``href``s of the pages' html.  The
 iteration stops at a change below ``tolerance``, which damping guarantees.
@@ -53,9 +55,10 @@ def _rules(rules: Sequence[tuple[str, str]]) -> Column:
     return F.array(*parts)
 
 
-def hosts_with_rules(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """(host, rules): every host of the pages with the rules of its domains, longest first."""
-    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+def hosts_with_rules(pages: DataFrame, edges: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """(host, rules): every host of the pages and of the links with the rules of its domains, longest first."""
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''")
+    hosts = hosts.unionByName(edges.select(F.col("src").alias("host"))).unionByName(edges.select(F.col("dst").alias("host"))).distinct()
     if not rules:
         return hosts.withColumn("rules", F.lit(None).cast("array<struct<len:int,rule:string,path:string,verdict:string>>"))
     given = pages.sparkSession.range(1).select(F.explode(_rules(rules)).alias("r")).select("r.*")
@@ -102,9 +105,9 @@ def _seeds(hosts: DataFrame, wanted: Column) -> DataFrame:
 
 
 def host_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]], margin: float = 0.1, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
-    """(host, rules, trust, distrust, blocked) of every host of the pages."""
-    hosts = written(hosts_with_rules(pages, rules), "hosts")
+    """(host, rules, trust, distrust, blocked) of every host of the pages and of their links."""
     edges = written(host_edges(pages), "edges")
+    hosts = written(hosts_with_rules(pages, edges, rules), "hosts")
     root = F.filter("rules", lambda r: F.lit("/").startswith(r["path"]))
     blocked = F.coalesce(F.get(root, F.lit(0))["verdict"] == "block", F.lit(False))
     allowed = F.coalesce(F.exists("rules", lambda r: r["verdict"] == "allow"), F.lit(False)) & ~blocked

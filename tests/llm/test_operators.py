@@ -209,6 +209,16 @@ def test_url_rules_and_host_graph(spark):
     assert v["good.com"].trust > 1 and v["c.com"].distrust > 1 and not v["b.com"].distrust
 
 
+def test_hosts_without_pages_are_seeds(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://portal.com/", '<a href="http://spam.net/a"><a href="http://junk.net/">'), (2, "http://list.com/", '<a href="http://x.org/">'), (3, "http://x.com/", "")],
+        "page_id long, url string, html string",
+    )
+    assert {r.page_id: r.verdict for r in urlfilter.judge(pages, queries.RULES).collect()} == {1: "block", 2: "allow", 3: "allow"}
+    v = {r.host: r for r in urlfilter.host_verdicts(pages, queries.RULES).collect()}
+    assert v["portal.com"].distrust > 0.1 and v["spam.net"].distrust > 1 and v["x.org"].trust > 1 and not v["list.com"].distrust
+
+
 def test_licence_lines(spark):
     rows = [(1, "x\nLicensed under the Apache License, Version 2.0.\ny"), (2, "licensed UNDER the apache license version 2 0"), (3, "Apache"), (4, None), (5, "")]
     got = {(r.doc_id, r.line, r.license, round(r.dice, 3)) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
