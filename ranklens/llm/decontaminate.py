@@ -6,9 +6,11 @@ words are lower-cased and lose their punctuation.  Windows of ``window``
 canonical words of documents and benchmark items are hash-joined, so a question
 with other numbers or names is found as well.  Where matched windows of one
 alignment hold placeholders, their slots must agree: an item's value always
-stands against the same value of the document.  Windows with slots of an
-alignment that contradicts itself don't count.  A document is contaminated by
-an item when at least ``share`` of the item's windows are found in it.
+stands against the same value of the document, whatever punctuation stands around it.
+Where it stands against several, the most frequent one holds (then the item's
+own, then the first), and windows with a slot of another don't count.  A
+document is contaminated by an item when at least ``share`` of the item's
+windows are found in it, or consecutive ones over at least ``run`` words.
 
 Items shorter than a window are matched in whole; items under ``least`` words
 are never matched.  Null and empty texts have no windows.  A document is an
@@ -18,7 +20,7 @@ id are told apart by their texts.  Only ids and texts are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklens.llm.shared import written
@@ -59,6 +61,11 @@ def canonical_words(text: Column) -> Column:
     return _words(F.lower(F.regexp_replace(t, f"[^a-zA-Z0-9\\s\\p{{L}}\\p{{N}}{_NAME}-{_UNIT}]+", "")))
 
 
+def _value(word: Column) -> Column:
+    """A slot's value: lower-cased, without the punctuation around it."""
+    return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+
+
 def _windows(words: str, size: int) -> Column:
     """(size, doc_pos, key) of every window of this size."""
     n = F.size(words) - size
@@ -81,7 +88,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 8, least: int = 5,
     return found.select("id", "th", "item", "ith", "pos", "doc_pos", "size").distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", run: int = 13) -> DataFrame:
     """(id, th, item, n_matched, n_windows, n_slots): contaminated documents with the items they hold; th is the text's hash."""
     keys = ["id", "th", "item", "ith"]
     given = items.select(F.col(item_col).alias("item"), F.xxhash64("text").alias("ith"), canonical_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw")).distinct()
@@ -89,27 +96,34 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: floa
     hits = matches(docs, items, window, least, id_col, text_col, item_col)
     hits = written(hits, "hits")
     totals = totals.select(F.col("item").alias("i"), F.col("ith").alias("it"), "n_windows")
-    per = hits.groupBy(*keys).agg(F.count_distinct("pos").alias("n")).join(totals, F.col("item").eqNullSafe(F.col("i")) & (F.col("ith") == F.col("it"))).where(F.col("n") >= share * F.col("n_windows"))
+    per = hits.groupBy(*keys).agg(F.count_distinct("pos").alias("n"), F.max("size").alias("s")).join(totals, F.col("item").eqNullSafe(F.col("i")) & (F.col("ith") == F.col("it")))
+    per = per.where((F.col("n") >= share * F.col("n_windows")) | (F.col("n") + F.col("s") - 1 >= run))
     per = per.select(F.col("id").alias("pi"), F.col("th").alias("pt"), F.col("item").alias("pm"), F.col("ith").alias("pn"), "n_windows")
     near = hits.join(per, F.col("id").eqNullSafe(F.col("pi")) & (F.col("th") == F.col("pt")) & F.col("item").eqNullSafe(F.col("pm")) & (F.col("ith") == F.col("pn"))).drop("pi", "pt", "pm", "pn")
     slot = F.filter(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get(F.col("words"), F.col("pos") + k).rlike(f"[{_NAME}-{_UNIT}]"))
     items_ = given.select(F.col("item").alias("i"), F.col("ith").alias("it"), "words", "raw")
     slots = near.join(items_, (F.col("item").eqNullSafe(F.col("i"))) & (F.col("ith").eqNullSafe(F.col("it")))).withColumn("slots", slot)
-    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), (F.col("doc_pos") + k).alias("doc_at"), F.lower(F.get(F.col("raw"), F.col("pos") + k)).alias("value"))).alias("slots")), "slots")
+    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", "size", F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), (F.col("doc_pos") + k).alias("doc_at"), _value(F.get(F.col("raw"), F.col("pos") + k)).alias("value"))).alias("slots")), "slots")
     pairs = slots.select("id", "th", "item", "ith", (F.col("doc_pos") - F.col("pos")).alias("off"), F.explode("slots").alias("s")).distinct()
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
     needed = pairs.groupBy("id", "th").agg(F.collect_set("s.doc_at").alias("ats"))
     values = texts.join(needed, F.col("i").eqNullSafe(F.col("id")) & F.col("t").eqNullSafe(F.col("th"))).select("id", "th", "ats", raw_words(F.col("text")).alias("raw"))
-    values = values.select("id", "th", F.explode("ats").alias("doc_at"), "raw").select("id", "th", "doc_at", F.lower(F.get("raw", F.col("doc_at"))).alias("doc_value")).distinct()
-    flat = pairs.select("id", "th", "item", "ith", "off", F.col("s.doc_at").alias("doc_at"), F.col("s.value").alias("value"))
+    values = values.select("id", "th", F.explode("ats").alias("doc_at"), "raw").select("id", "th", "doc_at", _value(F.get("raw", F.col("doc_at"))).alias("doc_value")).distinct()
+    flat = pairs.select("id", "th", "item", "ith", "off", F.col("s.at").alias("at"), F.col("s.doc_at").alias("doc_at"), F.col("s.value").alias("value"))
     v = values.select(F.col("id").alias("vi"), F.col("th").alias("vt"), F.col("doc_at").alias("va"), "doc_value")
     held = flat.join(v, F.col("id").eqNullSafe(F.col("vi")) & (F.col("th") == F.col("vt")) & (F.col("doc_at") == F.col("va")))
-    clash = held.groupBy("id", "th", "item", "ith", "off", "value").agg(F.count_distinct("doc_value").alias("n")).where("n > 1").select("id", "th", "item", "ith", "off").distinct()
-    c = clash.select(F.col("id").alias("ci"), F.col("th").alias("ct"), F.col("item").alias("cm"), F.col("ith").alias("cn"), F.col("off").alias("co"))
+    votes = held.groupBy(*keys, "off", "value", "doc_value").agg(F.struct(F.count(F.lit(1)), F.max(F.col("doc_value") == F.col("value")), -F.min("at"), "doc_value").alias("vote"), F.collect_list("at").alias("ats"))
+    against = votes.withColumn("best", F.max("vote").over(Window.partitionBy(*keys, "off", "value"))).where(F.col("vote") != F.col("best"))
+    clash = against.groupBy(*keys, "off").agg(F.flatten(F.collect_list("ats")).alias("wrong"))
+    c = clash.select(F.col("id").alias("ci"), F.col("th").alias("ct"), F.col("item").alias("cm"), F.col("ith").alias("cn"), F.col("off").alias("co"), "wrong")
     slotted = slots.withColumn("off", F.col("doc_pos") - F.col("pos")).join(c, F.col("id").eqNullSafe(F.col("ci")) & F.col("th").eqNullSafe(F.col("ct")) & F.col("item").eqNullSafe(F.col("cm")) & F.col("ith").eqNullSafe(F.col("cn")) & (F.col("off") == F.col("co")), "left")
-    good = slotted.where(F.col("co").isNull() | (F.size("slots") == 0))
-    out = good.groupBy(*keys, "n_windows").agg(F.count_distinct("pos").alias("n_matched"), F.max(F.size("slots")).cast("long").alias("n_slots"))
-    return out.where(F.col("n_matched") >= share * F.col("n_windows")).select("id", "th", "item", "n_matched", F.col("n_windows").cast("long").alias("n_windows"), "n_slots")
+    good = slotted.where(F.col("wrong").isNull() | ~F.exists("slots", lambda x: F.array_contains("wrong", x["at"])))
+    # windows that follow each other in one alignment have one number
+    good = good.withColumn("island", F.col("pos") - F.row_number().over(Window.partitionBy(*keys, "off").orderBy("pos")))
+    good = good.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy(*keys, "off", "island")) + F.col("size") - 1)
+    out = good.groupBy(*keys, "n_windows").agg(F.count_distinct("pos").alias("n_matched"), F.max(F.size("slots")).cast("long").alias("n_slots"), F.max("run").alias("longest"))
+    out = out.where((F.col("n_matched") >= share * F.col("n_windows")) | (F.col("longest") >= run))
+    return out.select("id", "th", "item", "n_matched", F.col("n_windows").cast("long").alias("n_windows"), "n_slots")
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -194,6 +194,24 @@ def test_template_windows_and_slots(spark):
     assert decontaminate.contaminated(df, items.where("false")).count() == 0
 
 
+def test_slot_values_lose_punctuation_and_only_wrong_slots_count_against(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("bcdfghklm") for _ in range(7))
+    w = [word() for _ in range(55)]
+    short = "the shop sells 12 apples to every visitor who pays the man at the door 12 dollars before noon on any day of the long week"
+    items = spark.createDataFrame([(1, " ".join(w)), (2, short)], "item_id long, text string")
+    rows = [
+        (1, "so " + " ".join(w[10:37]) + " end"),  # 20 of 48 windows, 27 words in a row
+        (2, " ".join(w[10:22])),  # 12 words in a row
+        (3, short.replace("12 dollars", "(12) dollars")),
+        (4, short.replace("12 apples", "9, apples").replace("12 dollars", "9 dollars")),
+        (5, short.replace("12 dollars", "13 dollars")),
+        (6, " ".join(short.split()[:10]).replace("12", "7") + " and " + " ".join(short.split()[10:20])),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(x.id, x.item) for x in decontaminate.contaminated(df, items).collect()} == {(1, 1), (3, 2), (4, 2), (5, 2)}
+
+
 def test_url_rules_and_host_graph(spark):
     pages = spark.createDataFrame(
         [(1, "http://a.net/en/x", '<a href="http://b.com/q">'), (2, "https://T.Example.NET/en/x?q#f", None), (3, "http://c.com/de/y", "<a href='//a.net/'>"), (4, "http://c.example.com/de/y", ""),
