@@ -4,7 +4,9 @@ A text becomes a sequence of canonical words: numbers, names (capitalised words
 inside a sentence) and units after numbers turn into typed placeholders, other
 words are lower-cased and lose their punctuation.  Windows of ``window``
 canonical words of documents and benchmark items are hash-joined, so a question
-with other numbers or names is found as well.  Where matched windows of one
+with other numbers or names is found as well; so are windows of the plain
+lower-cased words, which case and white space don't change and whose slots are
+equal anyway, and an item's window counts that is found in either form.  Where matched windows of one
 alignment hold placeholders, their slots must agree: an item's value always
 stands against the same value of the document, whatever punctuation stands around it.
 Where it stands against several, the most frequent one holds (then the item's
@@ -61,31 +63,44 @@ def canonical_words(text: Column) -> Column:
     return _words(F.lower(F.regexp_replace(t, f"[^a-zA-Z0-9\\s\\p{{L}}\\p{{N}}{_NAME}-{_UNIT}]+", "")))
 
 
+def plain_words(text: Column) -> Column:
+    """The lower-cased words without punctuation, at the places of ``raw_words``."""
+    return _words(F.lower(F.regexp_replace(_unmarked(text), r"[^a-zA-Z0-9\s\p{L}\p{N}]+", "")))
+
+
 def _value(word: Column) -> Column:
     """A slot's value: lower-cased, without the punctuation around it."""
     return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
-def _windows(words: str, size: int) -> Column:
+def _key(words: Column | str, at: Column, size: Column | int, plain: bool) -> Column:
+    part = F.slice(words, at + 1, size)
+    return F.xxhash64(part, F.lit(1)) if plain else F.xxhash64(part)
+
+
+def _windows(words: str, size: int, plain: bool) -> Column:
     """(size, doc_pos, key) of every window of this size."""
     n = F.size(words) - size
     places = F.when(n >= 0, F.sequence(F.lit(0), F.greatest(n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.alias("doc_pos"), F.xxhash64(F.slice(words, i + 1, size)).alias("key")))
+    return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.alias("doc_pos"), _key(words, i, size, plain).alias("key")))
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = 8, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(id, th, item, ith, pos, doc_pos, size): windows of documents that equal one of an item."""
-    given = items.select(F.col(item_col).alias("item"), F.xxhash64("text").alias("ith"), canonical_words(F.col("text")).alias("words")).distinct().where(F.size("words") >= least)
+    """(id, th, item, ith, pos, doc_pos, size, plain): windows of documents that equal one of an item, in plain form or only in the canonical one."""
+    given = items.select(F.col(item_col).alias("item"), F.xxhash64("text").alias("ith"), canonical_words(F.col("text")).alias("words"), plain_words(F.col("text")).alias("plain")).distinct().where(F.size("words") >= least)
     given = given.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    own = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("size")), lambda i: F.xxhash64(F.slice("words", i + 1, F.col("size"))))
-    wins = written(given.select("item", "ith", "size", F.posexplode(own).alias("pos", "key")), "item-windows")
+    own = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("size")), lambda i: F.array(F.struct(F.lit(False).alias("plain"), _key("words", i, F.col("size"), False).alias("key")), F.struct(F.lit(True).alias("plain"), _key("plain", i, F.col("size"), True).alias("key"))))
+    wins = given.select("item", "ith", "size", F.posexplode(own).alias("pos", "both"))
+    wins = written(wins.select("item", "ith", "size", "pos", F.explode("both").alias("w")).select("item", "ith", "size", "pos", "w.*"), "item-windows")
     sizes = [r.size_ for r in wins.select(F.col("size").alias("size_")).distinct().collect()]  # at most window - least + 1 numbers
     side = F.broadcast(wins) if wins.count() * _WINDOW_BYTES <= BROADCAST_BYTES else wins
     # the one-element array keeps the words a column of their own: otherwise the plan holds their expression several times
-    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.explode(F.array(canonical_words(F.col(text_col).cast("string")))).alias("words"))
-    keyed = src.select("id", "th", F.explode(F.concat(F.array().cast("array<struct<size:int,doc_pos:int,key:bigint>>"), *(_windows("words", size) for size in sorted(sizes)))).alias("w"))
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.explode(F.array(F.struct(canonical_words(text).alias("words"), plain_words(text).alias("plain")))).alias("t")).select("id", "th", "t.*")
+    every = [_windows(words, size, words == "plain") for size in sorted(sizes) for words in ("words", "plain")]
+    keyed = src.select("id", "th", F.explode(F.concat(F.array().cast("array<struct<size:int,doc_pos:int,key:bigint>>"), *every)).alias("w"))
     found = keyed.select("id", "th", "w.*").join(side, ["key", "size"])
-    return found.select("id", "th", "item", "ith", "pos", "doc_pos", "size").distinct()
+    return found.groupBy("id", "th", "item", "ith", "pos", "doc_pos", "size").agg(F.max("plain").alias("plain"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", run: int = 13) -> DataFrame:
@@ -103,7 +118,7 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: floa
     slot = F.filter(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get(F.col("words"), F.col("pos") + k).rlike(f"[{_NAME}-{_UNIT}]"))
     items_ = given.select(F.col("item").alias("i"), F.col("ith").alias("it"), "words", "raw")
     slots = near.join(items_, (F.col("item").eqNullSafe(F.col("i"))) & (F.col("ith").eqNullSafe(F.col("it")))).withColumn("slots", slot)
-    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", "size", F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), (F.col("doc_pos") + k).alias("doc_at"), _value(F.get(F.col("raw"), F.col("pos") + k)).alias("value"))).alias("slots")), "slots")
+    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", "size", "plain", F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), (F.col("doc_pos") + k).alias("doc_at"), _value(F.get(F.col("raw"), F.col("pos") + k)).alias("value"))).alias("slots")), "slots")
     pairs = slots.select("id", "th", "item", "ith", (F.col("doc_pos") - F.col("pos")).alias("off"), F.explode("slots").alias("s")).distinct()
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
     needed = pairs.groupBy("id", "th").agg(F.collect_set("s.doc_at").alias("ats"))
@@ -117,7 +132,7 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: floa
     clash = against.groupBy(*keys, "off").agg(F.flatten(F.collect_list("ats")).alias("wrong"))
     c = clash.select(F.col("id").alias("ci"), F.col("th").alias("ct"), F.col("item").alias("cm"), F.col("ith").alias("cn"), F.col("off").alias("co"), "wrong")
     slotted = slots.withColumn("off", F.col("doc_pos") - F.col("pos")).join(c, F.col("id").eqNullSafe(F.col("ci")) & F.col("th").eqNullSafe(F.col("ct")) & F.col("item").eqNullSafe(F.col("cm")) & F.col("ith").eqNullSafe(F.col("cn")) & (F.col("off") == F.col("co")), "left")
-    good = slotted.where(F.col("wrong").isNull() | ~F.exists("slots", lambda x: F.array_contains("wrong", x["at"])))
+    good = slotted.where(F.col("plain") | F.col("wrong").isNull() | ~F.exists("slots", lambda x: F.array_contains("wrong", x["at"])))
     # windows that follow each other in one alignment have one number
     good = good.withColumn("island", F.col("pos") - F.row_number().over(Window.partitionBy(*keys, "off").orderBy("pos")))
     good = good.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy(*keys, "off", "island")) + F.col("size") - 1)

@@ -212,6 +212,14 @@ def test_slot_values_lose_punctuation_and_only_wrong_slots_count_against(spark):
     assert {(x.id, x.item) for x in decontaminate.contaminated(df, items).collect()} == {(1, 1), (3, 2), (4, 2), (5, 2)}
 
 
+def test_verbatim_copies_in_other_case_or_lines(spark):
+    text = "one day in Paris the young Anna met old Victor, near Lyon with Emma, and saw Berta from Rome"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    forms = [text, text.lower(), text.upper(), text.title(), text.replace(" ", "\n"), text.replace(" ", "  "), "nothing of one day in Paris"]
+    df = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    assert {(x.id, x.n_matched) for x in decontaminate.contaminated(df, items).collect()} == {(i, 12) for i in range(6)}
+
+
 def test_url_rules_and_host_graph(spark):
     pages = spark.createDataFrame(
         [(1, "http://a.net/en/x", '<a href="http://b.com/q">'), (2, "https://T.Example.NET/en/x?q#f", None), (3, "http://c.com/de/y", "<a href='//a.net/'>"), (4, "http://c.example.com/de/y", ""),
