@@ -5,7 +5,10 @@ on how many pages of its host each subtree stands; subtrees on many pages of a
 host are its template and are deleted.  What is left of the page's article
 (else of its main element, else of its body) is the main text, without elements
 that by tag, role or class are navigation, headers, footers, sidebars, notices,
-adverts, forms, scripts or comments.  Inside an article or main element plain
+adverts, forms, scripts or comments.  Class names never take away the article
+itself: where every article (else every main element) stands in elements that
+its class or id or theirs mark, the marks of the largest one and of the elements
+around it don't count.  Inside an article or main element plain
 prose (headings, paragraphs, lists, tables) is never taken for a template, and
 neither is a subtree with most of the article's text: pages may share passages.
 
@@ -48,18 +51,22 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "region", "hasher", "digest", "size")
+    __slots__ = ("tag", "parent", "skip", "region", "hasher", "digest", "size", "never", "marks", "weight")
 
-    def __init__(self, tag: str, parent: _Node | None, skip: bool, region: int, seed: str):
+    def __init__(self, tag: str, parent: _Node | None, skip: bool, region: int, seed: str, never: bool = False, marks: tuple[int, ...] = ()):
         self.tag, self.parent, self.skip, self.region = tag, parent, skip, region
         self.hasher, self.digest, self.size = xxhash.xxh3_64(seed), 0, 0
+        # skipped by tag or role; numbers of the marked elements among this and its parents; characters, skipped by marks or not
+        self.never, self.marks, self.weight = never, marks, 0
 
 
 class _Page(HTMLParser):
     """The page's elements with their hashes, and its blocks of text with the element that holds each."""
 
-    def __init__(self) -> None:
+    def __init__(self, unmarked: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.unmarked, self.number = unmarked, 0
+        self.mains: list[tuple[_Node, int]] = []
         self.stack = [_Node("", None, False, 0, "")]
         self.nodes: list[_Node] = []
         self.blocks: list[tuple[_Node, str]] = []
@@ -82,6 +89,7 @@ class _Page(HTMLParser):
         up = self.stack[-1]
         up.hasher.update(node.digest.to_bytes(8, "little"))
         up.size += node.size
+        up.weight += node.weight
         self.nodes.append(node)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -99,10 +107,13 @@ class _Page(HTMLParser):
         up, named = self.stack[-1], dict(attrs)
         marks = " ".join(str(named.get(k) or "") for k in ("class", "id")).lower()
         region = 2 if tag == "article" else 1 if tag == "main" or named.get("role") == "main" else 0
-        skip = up.skip or tag in _NEVER or tag == "header" and not up.region or (named.get("role") or "").lower() in _ROLES or "hidden" in named
-        if not skip and marks and tag not in ("html", "body"):
-            skip = not _CHROME.isdisjoint(_PARTS.split(marks))
-        node = _Node(tag, up, skip, max(region, up.region), f"{tag} {marks}")
+        own = tag in _NEVER or tag == "header" and not up.region or (named.get("role") or "").lower() in _ROLES or "hidden" in named
+        self.number += 1
+        marked = bool(marks) and tag not in ("html", "body") and self.number not in self.unmarked and not _CHROME.isdisjoint(_PARTS.split(marks))
+        skip = up.skip or own or marked
+        node = _Node(tag, up, skip, max(region, up.region), f"{tag} {marks}", up.never or own, (*up.marks, self.number) if marked else up.marks)
+        if region and not node.never:
+            self.mains.append((node, region))
         if not skip:
             self.regions.add(node.region)
         self.stack.append(node)
@@ -132,6 +143,8 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if not self.stack[-1].never:
+            self.stack[-1].weight += len(data)
         if not self.stack[-1].skip:
             self.pieces.append(data)
 
@@ -142,10 +155,28 @@ class _Page(HTMLParser):
             self._close()
 
 
+def _held(page: _Page) -> frozenset[int]:
+    """Numbers of the marked elements that are or hold the page's article (else its main element), if no other is free of marks."""
+    free = max((n.weight for n, _ in page.mains if not n.marks), default=0)
+    for kind in (2, 1):
+        nodes = [n for n, region in page.mains if region == kind]
+        if not all(n.marks for n in nodes):
+            break
+        best = max(nodes, key=lambda n: n.weight, default=None)
+        if best is not None and 2 * best.weight > free:  # else these are comments beside the main text
+            return frozenset(best.marks)
+    return frozenset()
+
+
 def parse(html: str) -> _Page:
     page = _Page()
     page.feed(html)
     page.finish()
+    held = _held(page)
+    if held:
+        page = _Page(held)
+        page.feed(html)
+        page.finish()
     return page
 
 
@@ -187,7 +218,7 @@ def host_of(url: Column) -> Column:
     return F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def templates(pages: DataFrame, share: float = 0.2, min_pages: int = 10) -> DataFrame:
+def templates(pages: DataFrame, share: float = 0.2, min_pages: int = 3) -> DataFrame:
     """(host, subtrees): per host the hashes of the subtrees on at least ``min_pages`` and ``share`` of its pages.
 
     ``pages`` has the columns url and html.
@@ -210,7 +241,7 @@ def templates(pages: DataFrame, share: float = 0.2, min_pages: int = 10) -> Data
     return per_host.select("host", F.transform(common, lambda x: x["subtree"]).alias("subtrees"))
 
 
-def main_text(pages: DataFrame, share: float = 0.2, min_pages: int = 10) -> DataFrame:
+def main_text(pages: DataFrame, share: float = 0.2, min_pages: int = 3) -> DataFrame:
     """(page_id, url, text, n_chars) of every page of (page_id, url, html)."""
     salted = templates(pages, share, min_pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     src = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))

@@ -260,6 +260,21 @@ def test_site_template_goes_and_shared_passages_stay(spark):
     assert got[3].text == "own text 3" and got[103].text == "t3\nshared passage" and got[200].text == "" and got[201].n_chars == 0
 
 
+def test_small_sites_have_templates_and_marks_never_take_the_article(spark):
+    pages = [(i, f"http://s.org/{i}", f"<div><p>Sign in here</p></div><p>own text {i}</p>") for i in range(4)]
+    pages += [
+        (10, "http://a.org/", '<div class="layout with-sidebar"><article><p>one</p></article><div class="sidebar">side</div></div>'),
+        (11, "http://b.org/", '<article class="post has-comments"><p>two</p><div class="comments">reply</div></article>'),
+        (12, "http://c.org/", '<main id="side-main"><p>three</p></main><div class="sidebar">side</div>'),
+        (13, "http://d.org/", '<main><p>four is the text of the page</p><div class="comments"><article class="comment">reply</article></div></main>'),
+        (14, "http://e.org/", '<article><p>five</p></article><div class="comments"><article>a longer reply</article></div>'),
+    ]
+    queries.ready(spark)
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == [f"own text {i}" for i in range(4)]
+    assert [got[i] for i in range(10, 15)] == ["one", "two", "three", "four is the text of the page", "five"]
+
+
 def test_quality_policies_and_ablations(docs):
     _, df = docs
     led = quality.ledger(df)
