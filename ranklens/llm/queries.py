@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, quality, substrings, toxicity, urlfilter
+from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, pieces, quality, substrings, toxicity, urlfilter
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,6 +33,13 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def piece_model() -> str:
+    """The public model file of the SentencePiece query."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_ids(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -110,6 +117,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), piece_model(), digests=True)
+
+
 _OP10_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 w AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
@@ -161,4 +172,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
     "op7_toxicity": (op7_toxicity, None),
+    "op12_sentencepiece": (op12_sentencepiece, None),
 }
