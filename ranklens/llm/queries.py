@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, pieces, quality, substrings, toxicity, urlfilter
-
+from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, pieces, prefixtrie, quality, substrings, toxicity, urlfilter
+from ranklens.llm.shared import written
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -117,6 +117,39 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = written(prefixtrie.sequences(prefixtrie.encoded_turns(_table(spark, sf_dir, "conversations"))), "conversations")
+    conv = F.col("conv_id")
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(found, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9, 8))
+
+
+#: crc32 of the bytes of ``w`` in DuckDB, which has no such function; ``tab``: ``_CRC_TABLE``.
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda x: list_reduce([x] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"
+
+
+def _crc32(w: str) -> str:
+    byte = f"list_transform(range(octet_length(encode({w}))), lambda i: ('0x' || hex(encode({w}))[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {byte}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_OP11_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce("role", '') AS r, coalesce("text", '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+u AS (SELECT conv_id, turn, sha256(length(r) || ':' || r || x) AS k, CAST(octet_length(encode(x)) AS BIGINT) AS b FROM t),
+s AS (SELECT conv_id, list({{'k': k, 'b': b}} ORDER BY turn NULLS FIRST, k) AS l FROM u GROUP BY conv_id),
+h AS (SELECT conv_id, l, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM s, {_CRC_TABLE}),
+q AS (SELECT h.conv_id, coalesce(s.l[1:h.h], []) || h.l[h.h + 1:] AS l FROM h LEFT JOIN s ON s.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, d, l[1:d] AS node, len(l) = d AS ending, CASE WHEN d = 0 THEN 0 ELSE l[d].b END AS b FROM (SELECT *, unnest(range(len(l) + 1)) AS d FROM q)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(b) AS own,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ending), '')) AS ends FROM p GROUP BY node, d),
+c AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM n LEFT JOIN c USING (node)),
+a AS (SELECT node[1:e] AS node, sum(own) AS saved, sum((n_children = 0)::INT) AS leaves FROM (SELECT *, unnest(range(d + 1)) AS e FROM m) GROUP BY 1)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+       CAST(a.leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, m.ends AS ends_sha256
+FROM m JOIN a USING (node) LEFT JOIN m o ON m.d > 0 AND o.node = m.node[1:m.d - 1]
+"""
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), piece_model(), digests=True)
 
@@ -172,5 +205,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_substring_dedup": (op10_substring_dedup, _OP10_SQL),
     "op7_toxicity": (op7_toxicity, None),
+    "op11_prefix_trie": (op11_prefix_trie, _OP11_SQL),
     "op12_sentencepiece": (op12_sentencepiece, None),
 }
