@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, pieces, prefixtrie, quality, substrings, toxicity, urlfilter
+from ranklens.llm import bpe, decontaminate, html, jaccard, licenses, lines, pieces, prefixtrie, quality, spelling, substrings, toxicity, urlfilter
 from ranklens.llm.shared import written
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -154,6 +154,29 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), piece_model(), digests=True)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents")))
+
+
+_OP13_SQL = f"""
+WITH RECURSIVE g AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all("text", '[A-Za-zÀ-ÿ]+')) AS run FROM documents WHERE "text" IS NOT NULL),
+r AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n FROM g GROUP BY ALL),
+k AS (SELECT id, w, n, id || ':' || w AS keyed FROM r WHERE length(w) >= 5),
+c AS (SELECT w, n, {_crc32("keyed")} AS h FROM k, {_CRC_TABLE}),
+d AS (SELECT CASE WHEN h % 97 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM c),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+x AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT DISTINCT x.word, x.n, v.word AS near, v.n AS near_n FROM x JOIN v ON v.word = x.rest),
+p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION ALL FROM e UNION ALL SELECT near, near_n, word, n FROM e),
+t AS (SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM p QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+f AS (SELECT word, n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM t),
+z AS (SELECT word, word AS root FROM v UNION ALL SELECT z.word, f.form FROM z JOIN f ON f.word = z.root AND f.form IS NOT NULL)
+SELECT v.word, f.form, z.root, v.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM v LEFT JOIN f USING (word) JOIN z ON z.word = v.word AND NOT EXISTS (SELECT 1 FROM f WHERE f.word = z.root AND f.form IS NOT NULL)
+"""
+
+
 _OP10_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 w AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
@@ -207,4 +230,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_toxicity": (op7_toxicity, None),
     "op11_prefix_trie": (op11_prefix_trie, _OP11_SQL),
     "op12_sentencepiece": (op12_sentencepiece, None),
+    "op13_spelling_variants": (op13_spelling_variants, _OP13_SQL),
 }
