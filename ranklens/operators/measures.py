@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklens.functions import catalog as C
+from ranklens.functions.exact import exact_sum
 from ranklens.operators.ranked import REL_NONPOOL, REL_UNJUDGED
 
 _W_RUN = ("run_id", "qid")
@@ -93,6 +94,11 @@ def _gains_of(ms: list[C.Measure]) -> dict:
     return seen or {}
 
 
+def topic_curves(qrels: DataFrame, ms: list[C.Measure], qkeys=("qid",)) -> DataFrame | None:
+    """One row per topic with what its ideal ranking adds up to, if a requested measure needs it."""
+    return _with_curves(None, qrels, ms, list(qkeys))
+
+
 def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys=("qid",)) -> DataFrame:
     """One row per judged topic with every judgment-side quantity the measures need."""
     qkeys = list(qkeys)
@@ -100,6 +106,10 @@ def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys
         F.sum(F.when(F.col("rel") >= level, 1).otherwise(0)).cast("long").alias("R"),
         F.sum(F.when((F.col("rel") >= 0) & (F.col("rel") < level), 1).otherwise(0)).cast("long").alias("N"),
     )
+    return _with_curves(base, qrels, ms, qkeys)
+
+
+def _with_curves(base: DataFrame | None, qrels: DataFrame, ms: list[C.Measure], qkeys: list[str]) -> DataFrame | None:
     gain_family = _needs(ms, "ndcg", "ndcg_rel", "Rndcg", "G")
     cut = [m for m in ms if m.name == "ndcg_cut"]
     if gain_family:
@@ -108,18 +118,19 @@ def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys
             F.count(F.lit(1)).alias("P"),
             F.max("cum_idcg").alias("idcg_full"),
             F.sum("igain").alias("ideal_gain_sum"),
+            F.max("cum_cost").alias("icost_full"),
             F.sort_array(F.collect_list(F.when(F.col("is_boundary"), F.struct(F.col("pos"), F.col("cum_idcg"))))).alias(
                 "bounds"
             ),  # one entry per distinct positive gain: bounded by the number of levels
         )
-        base = base.join(agg, qkeys, "left")
+        base = agg if base is None else base.join(agg, qkeys, "left")
     if cut:
         lvl = ideal_positions(qrels, None, qkeys)
         ks = cut[0].params
         lagg = lvl.groupBy(*qkeys).agg(
             *[F.sum(F.when(F.col("pos") <= k, F.col("igain") / F.log2(F.col("pos") + 1))).alias(f"idcg_cut_{k}") for k in ks]
         )
-        base = base.join(lagg, qkeys, "left")
+        base = lagg if base is None else base.join(lagg, qkeys, "outer" if gain_family else "left")
     return base
 
 
@@ -127,51 +138,47 @@ def topic_judgments(qrels: DataFrame, ms: list[C.Measure], level: int = 1, qkeys
 
 
 def _row_columns(ranked: DataFrame, ms: list[C.Measure], level: int, keys=_W_RUN) -> DataFrame:
+    """Relevance, gains and running sums of every row; a scanned list has the sums of relevance already."""
+    scanned = "cum_rel" in ranked.columns
     bucketed = "bucket" in ranked.columns
     wkeys = [*keys, "bucket"] if bucketed else list(keys)
     w = Window.partitionBy(*wkeys).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rel = F.col("rel")
-    df = ranked.select(
-        *keys,
-        *(["bucket"] if bucketed else []),
-        "rank",
-        "rel",
-        *[c for c in ranked.columns if c in ("R", "N", "P", "idcg_full", "ideal_gain_sum", "bounds") or c.startswith("idcg_cut_")],
-    )
-    df = df.withColumn("is_rel", (rel >= level).cast("int"))
-    df = df.withColumn("jnr", ((rel >= 0) & (rel < level)).cast("int"))
-    df = df.withColumn("unj", (rel == REL_UNJUDGED).cast("int"))
-    cols = {
-        "cum_rel": F.sum("is_rel").over(w),
-        "cum_jnr": F.sum("jnr").over(w),
-        "cum_unj": F.sum("unj").over(w),
-    }
+    df = ranked
+    sums = {}
+    if not scanned:
+        df = df.withColumn("is_rel", (rel >= level).cast("int"))
+        df = df.withColumn("jnr", ((rel >= 0) & (rel < level)).cast("int"))
+        df = df.withColumn("unj", (rel == REL_UNJUDGED).cast("int"))
+        sums |= {"cum_rel": "is_rel", "cum_jnr": "jnr", "cum_unj": "unj"}
     if _needs(ms, "ndcg", "ndcg_rel", "Rndcg", "G"):
-        g = gain_column(rel, _gains_of(ms))
-        df = df.withColumn("gain", g)
+        df = df.withColumn("gain", gain_column(rel, _gains_of(ms)))
         df = df.withColumn("dcg_term", F.when(F.col("gain") != 0, F.col("gain") / F.log2(F.col("rank") + 1)).otherwise(0.0))
-        cols["cum_dcg"] = F.sum("dcg_term").over(w)
-        cols["cum_gain"] = F.sum("gain").over(w)
-    for k, v in cols.items():
-        df = df.withColumn(k, v)
+    if _needs(ms, "ndcg_rel", "Rndcg"):
+        sums["cum_dcg"] = "dcg_term"
+    if _needs(ms, "G"):
+        sums["cum_gain"] = "gain"
+    if not sums:
+        return df
+    df = df.withColumns({c: F.sum(src).over(w) for c, src in sums.items()})
     if bucketed:
-        # running sums restart in every score bucket: add the totals of the earlier buckets
+        # running sums restart in every range: add the totals of the earlier ranges
         from ranklens.operators.ranked import bucket_offsets
 
-        src = {"cum_rel": "is_rel", "cum_jnr": "jnr", "cum_unj": "unj", "cum_dcg": "dcg_term", "cum_gain": "gain"}
-        used = [src[k] for k in cols]
-        df = df.join(bucket_offsets(df, keys, "bucket", used), [*keys, "bucket"])
-        for k in cols:
-            df = df.withColumn(k, F.col(k) + F.col(f"_off_{src[k]}"))
-        df = df.drop("_off_n", *[f"_off_{c}" for c in used])
+        df = df.join(bucket_offsets(df, keys, "bucket", sums.values()), [*keys, "bucket"])
+        df = df.withColumns({c: F.col(c) + F.col(f"_off_{src}") for c, src in sums.items()})
     return df
 
 
 def _attach_ideal(rows: DataFrame, ideal: DataFrame, qkeys=("qid",)) -> DataFrame:
-    """Ideal curve value at position min(rank, P) for every ranked row."""
-    rows = rows.withColumn("ipos", F.least(F.col("rank"), F.coalesce(F.col("P"), F.lit(0))))
-    ide = ideal.select(*qkeys, F.col("pos").alias("ipos"), "cum_idcg", "cum_cost", "is_boundary")
-    return rows.join(ide, [*qkeys, "ipos"], "left")
+    """Ideal curve value at position min(rank, P) for every ranked row.
+
+    Rows are joined by their own rank, so those beyond the curve don't share
+    a key; they take its last value from the topic.
+    """
+    ide = ideal.select(*qkeys, F.col("pos").alias("rank"), "cum_idcg", "cum_cost", "is_boundary")
+    rows = rows.join(ide, [*qkeys, "rank"], "left")
+    return rows.withColumns({"cum_idcg": F.coalesce("cum_idcg", "idcg_full"), "cum_cost": F.coalesce("cum_cost", "icost_full")})
 
 
 def _k_of(mult: float) -> Column:
@@ -215,6 +222,12 @@ def _div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b).otherwise(F.lit(0.0))
 
 
+def list_measures(measures=None) -> list[C.Measure]:
+    """The requested numeric measures of ranked lists."""
+    ms = [m for m in C.expand(measures) if m.name not in ("runid", "num_q", "relstring")]
+    return [m for m in ms if m.name not in C.PREF_MEASURES and m.name not in C.JG_MEASURES]
+
+
 def per_topic(
     ranked: DataFrame,
     qrels: DataFrame,
@@ -231,11 +244,11 @@ def per_topic(
     logarithm used by the geometric summary.  ``relstring`` and ``runid`` are
     string measures, see :func:`relstring`.
     """
-    ms = [m for m in C.expand(measures) if m.name not in ("runid", "num_q", "relstring")]
-    ms = [m for m in ms if m.name not in C.PREF_MEASURES and m.name not in C.JG_MEASURES]
+    ms = list_measures(measures)
     keys, qkeys = list(keys), list(qkeys)
-    tj = topic_judgments(qrels, ms, level, qkeys)
-    rows = _row_columns(ranked.join(tj, qkeys), ms, level, keys)
+    if "R" not in ranked.columns:  # not scanned
+        ranked = ranked.join(topic_judgments(qrels, ms, level, qkeys), qkeys)
+    rows = _row_columns(ranked, ms, level, keys)
     if _needs(ms, "ndcg_rel", "Rndcg", "G"):
         rows = _attach_ideal(rows, ideal_positions(qrels, _gains_of(ms), qkeys), qkeys)
 
@@ -271,7 +284,7 @@ def per_topic(
             nunj = p.agg("_unj", F.sum("unj"))
             p.out(nm[0], n - npool - nunj - r)
         elif m.name in ("map", "gm_map"):
-            ap = _div(p.agg("_ap", F.sum(F.when(isrel, cum_rel / rank).otherwise(0.0))), Rd)
+            ap = _div(p.agg("_ap", exact_sum(F.when(isrel, cum_rel / rank).otherwise(0.0))), Rd)
             p.out(nm[0], ap if m.name == "map" else F.log(F.greatest(ap, F.lit(C.MIN_GEO_MEAN))))
         elif m.name == "Rprec":
             p.out(nm[0], _div(p.agg("_rprec", F.sum(F.when(isrel & (F.col("rank") <= F.col("R")), 1).otherwise(0))), Rd))
@@ -280,7 +293,7 @@ def per_topic(
             term = F.when(
                 nb > 0, 1.0 - F.least(nb, F.col("R").cast("double")) / F.least(F.col("N"), F.col("R")).cast("double")
             ).otherwise(1.0)
-            b = _div(p.agg("_bpref", F.sum(F.when(isrel, term).otherwise(0.0))), Rd)
+            b = _div(p.agg("_bpref", exact_sum(F.when(isrel, term).otherwise(0.0))), Rd)
             p.out(nm[0], b if m.name == "bpref" else F.log(F.greatest(b, F.lit(C.MIN_GEO_MEAN))))
         elif m.name == "recip_rank":
             first = p.agg("_first_rel", F.min(F.when(isrel, F.col("rank"))))
@@ -308,7 +321,7 @@ def per_topic(
                 p.out(name, F.when(rel_at(k) > 0, 1.0).otherwise(0.0))
         elif m.name == "map_cut":
             for k, name in zip(m.params, nm):
-                s = p.agg(f"_apcut_{k}", F.sum(F.when(isrel & (F.col("rank") <= k), cum_rel / rank).otherwise(0.0)))
+                s = p.agg(f"_apcut_{k}", exact_sum(F.when(isrel & (F.col("rank") <= k), cum_rel / rank).otherwise(0.0)))
                 p.out(name, _div(s, Rd))
         elif m.name == "Rprec_mult":
             for c, name in zip(m.params, nm):
@@ -324,47 +337,47 @@ def per_topic(
                 1.0 / rank
                 + ((rank - 1.0) / rank) * ((rb + nb + ub) / (rank - 1.0)) * ((rb + eps) / (rb + nb + 2 * eps))
             )
-            p.out(nm[0], _div(p.agg("_infap", F.sum(F.when(isrel, term).otherwise(0.0))), Rd))
+            p.out(nm[0], _div(p.agg("_infap", exact_sum(F.when(isrel, term).otherwise(0.0))), Rd))
         elif m.name == "utility":
             c0, c1, c2, c3 = m.params
             p.out(nm[0], c0 * r + c1 * (n - r) + c2 * (R - r) + c3 * (F.lit(num_docs_in_coll) + r - n - R))
         elif m.name == "binG":
-            s = p.agg("_bing", F.sum(F.when(isrel, 1.0 / F.log2(2.0 + rank - cum_rel)).otherwise(0.0)))
+            s = p.agg("_bing", exact_sum(F.when(isrel, 1.0 / F.log2(2.0 + rank - cum_rel)).otherwise(0.0)))
             p.out(nm[0], F.when(r > 0, _div(s, Rd)).otherwise(0.0))
         elif m.name == "G":
             P = F.coalesce(F.col("P"), F.lit(0))
             cost = F.coalesce(F.col("cum_cost"), F.lit(0.0)) + F.greatest(F.col("rank") - P, F.lit(0)).cast("double")
             s = p.agg(
-                "_g", F.sum(F.when(F.col("gain") != 0, F.col("gain") / F.log2(2.0 + cost - F.col("cum_gain"))).otherwise(0.0))
+                "_g", exact_sum(F.when(F.col("gain") != 0, F.col("gain") / F.log2(2.0 + cost - F.col("cum_gain"))).otherwise(0.0))
             )
             ideal = p.agg("_ideal_gain_sum", F.max(F.coalesce(F.col("ideal_gain_sum"), F.lit(0.0))))
             p.out(nm[0], F.when(ideal > 0, s / ideal).otherwise(0.0))
         elif m.name == "ndcg":
-            dcg = p.agg("_dcg", F.sum("dcg_term"))
+            dcg = p.agg("_dcg", exact_sum(F.col("dcg_term")))
             idcg = p.agg("_idcg", F.max(F.coalesce(F.col("idcg_full"), F.lit(0.0))))
             p.out(nm[0], F.when(idcg > 0, dcg / idcg).otherwise(0.0))
         elif m.name == "ndcg_cut":
             for k, name in zip(m.params, nm):
                 d = p.agg(
                     f"_dcgcut_{k}",
-                    F.sum(F.when((F.col("rank") <= k) & (F.col("rel") > 0), F.col("rel") / F.log2(rank + 1.0)).otherwise(0.0)),
+                    exact_sum(F.when((F.col("rank") <= k) & (F.col("rel") > 0), F.col("rel") / F.log2(rank + 1.0)).otherwise(0.0)),
                 )
                 i = p.agg(f"_idcgcut_{k}", F.max(F.coalesce(F.col(f"idcg_cut_{k}"), F.lit(0.0))))
                 p.out(name, F.when(i > 0, d / i).otherwise(d))
         elif m.name == "ndcg_rel":
-            dcg = p.agg("_dcg", F.sum("dcg_term"))
+            dcg = p.agg("_dcg", exact_sum(F.col("dcg_term")))
             idcg = p.agg("_idcg", F.max(F.coalesce(F.col("idcg_full"), F.lit(0.0))))
             P = p.agg("_npideal", F.max(F.coalesce(F.col("P"), F.lit(0))))
-            s_in = p.agg("_ndcgrel_in", F.sum(F.when(F.col("gain") > 0, F.col("cum_dcg") / F.col("cum_idcg")).otherwise(0.0)))
+            s_in = p.agg("_ndcgrel_in", exact_sum(F.when(F.col("gain") > 0, F.col("cum_dcg") / F.col("cum_idcg")).otherwise(0.0)))
             npos = p.agg("_npos_ret", F.sum(F.when(F.col("gain") > 0, 1).otherwise(0)))
             tot = s_in + F.when(idcg > 0, (P - npos).cast("double") * dcg / idcg).otherwise(0.0)
             p.out(nm[0], F.when(tot > 0, tot / P.cast("double")).otherwise(0.0))
         elif m.name == "Rndcg":
-            dcg = p.agg("_dcg", F.sum("dcg_term"))
+            dcg = p.agg("_dcg", exact_sum(F.col("dcg_term")))
             idcg = p.agg("_idcg", F.max(F.coalesce(F.col("idcg_full"), F.lit(0.0))))
             P = p.agg("_npideal", F.max(F.coalesce(F.col("P"), F.lit(0))))
             at_b = F.col("is_boundary") & (F.col("rank") <= F.coalesce(F.col("P"), F.lit(0)))
-            s_in = p.agg("_rndcg_in", F.sum(F.when(at_b, F.col("cum_dcg") / F.col("cum_idcg")).otherwise(0.0)))
+            s_in = p.agg("_rndcg_in", exact_sum(F.when(at_b, F.col("cum_dcg") / F.col("cum_idcg")).otherwise(0.0)))
             c_in = p.agg("_rndcg_cin", F.sum(F.when(at_b, 1).otherwise(0)))
             bounds = p.agg("_bounds", F.max("bounds"))
             outer = F.filter(F.coalesce(bounds, F.array()), lambda b: b["pos"] > n)

@@ -3,12 +3,11 @@
 The rank column of a run is never trusted: ranks come from the score (float32)
 descending, ties broken by docno descending for graded/per-user judgments.
 
-Partitioning: the run is shuffled once by ``qid`` (the semi join with the judged
-topics).  The window that ranks a topic, the left join with the judgments on
-``(qid, docno)`` and every later per-topic aggregate reuse that partitioning
-(``spark.sql.requireAllClusterKeysForCoPartition=false`` lets the join accept a
-partitioning on a prefix of its keys), so a whole evaluation costs one
-exchange of the run and one of the judgments.
+One plan for lists of any length: the run is joined with the judgments on
+(qid, docno), which spreads every topic; rows are dealt by (list, range of the
+order), see ``ordered``; ranks and running sums are windows inside a range plus
+the sums of the list's earlier ranges.  Whether a topic is judged, and what its
+judgments add up to, is joined to the ranges, one row each, not to the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklens.operators.ordered import prefix_sums, range_of
+
 # fixed values: relevance codes of retrieved documents without a usable judgment
 REL_NONPOOL = -1  # not in the judgments at all
 REL_UNJUDGED = -2  # in the pool, judged -1 in the input
@@ -24,15 +25,14 @@ RUN_COLS = ["run_id", "qid", "docno", "sim"]
 
 
 def normalize_run(run: DataFrame) -> DataFrame:
-    """Keep the run columns; scores are narrowed to float32 (ties depend on it)."""
-    cols = set(run.columns)
-    rid = F.col("run_id") if "run_id" in cols else F.lit("run")
-    return run.select(
-        rid.cast("string").alias("run_id"),
-        F.col("qid").cast("string").alias("qid"),
-        F.col("docno").cast("string").alias("docno"),
-        F.col("sim").cast("float").alias("sim"),
-    )
+    """Keep the run columns; scores are narrowed to float32 (ties depend on it), a run without id is 'run'."""
+    kinds = dict(run.dtypes)
+
+    def typed(c: str, kind: str):  # a column that has its type stays as it is, so equal subplans stay equal
+        return F.col(c) if kinds[c] == kind else F.col(c).cast(kind).alias(c)
+
+    rid = F.coalesce(F.col("run_id").cast("string"), F.lit("run")) if "run_id" in kinds else F.lit("run")
+    return run.select(rid.alias("run_id"), typed("qid", "string"), typed("docno", "string"), typed("sim", "float"))
 
 
 def rank_window(keys=("run_id", "qid"), docno_desc: bool = True) -> Window:
@@ -45,14 +45,6 @@ def topic_join(run: DataFrame, qrels: DataFrame) -> DataFrame:
     return run.join(qrels.select("qid").distinct(), "qid", "left_semi")
 
 
-# A topic with more rows than SPLIT_ROWS is ranked in SPLIT_BUCKETS score ranges
-# (boundaries from an approximate percentile of its scores), so no task ever
-# sorts a whole hot topic: rank = rows in higher buckets + row number inside
-# the bucket.  Equal scores always share a bucket, so ties keep their order.
-SPLIT_ROWS = 5_000_000
-SPLIT_BUCKETS = 256
-
-
 def bucket_offsets(df: DataFrame, keys, bucket: str = "bucket", weight_cols=()) -> DataFrame:
     """Rows (and sums of ``weight_cols``) in all earlier buckets of the same list: (keys, bucket, _off_*)."""
     keys = list(keys)
@@ -66,21 +58,12 @@ def bucket_offsets(df: DataFrame, keys, bucket: str = "bucket", weight_cols=())
 
 
 def add_rank(run: DataFrame, keys=("run_id", "qid"), docno_desc: bool = True, split_rows: int | None = None) -> DataFrame:
-    """rank by score desc (docno tie-break); with ``split_rows``, hot lists are ranked in score buckets."""
-    if not split_rows:
-        return run.withColumn("rank", F.row_number().over(rank_window(keys, docno_desc)).cast("long"))
+    """rank by score desc (docno tie-break) and the row's range (bucket); ``split_rows``: rows of a range, about."""
     keys = list(keys)
-    sizes = run.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = run.join(sizes.where(F.col("_n") > split_rows).select(*keys), keys, "left_semi")
-    pct = [i / SPLIT_BUCKETS for i in range(1, SPLIT_BUCKETS)]
-    bounds = hot.groupBy(*keys).agg(F.percentile_approx("sim", pct, 10000).alias("_b"))
-    r = run.join(bounds, keys, "left")
-    r = r.withColumn("bucket", F.coalesce(F.size(F.filter("_b", lambda b: b > F.col("sim"))), F.lit(0)).cast("int")).drop("_b")
-    tie = F.col("docno").desc() if docno_desc else F.col("docno").asc()
-    w = Window.partitionBy(*keys, "bucket").orderBy(F.col("sim").desc(), tie)
-    r = r.withColumn("_in", F.row_number().over(w))
-    r = r.join(bucket_offsets(r, keys), [*keys, "bucket"])
-    return r.withColumn("rank", (F.col("_off_n") + F.col("_in")).cast("long")).drop("_in", "_off_n")
+    r = run.withColumn("bucket", range_of(run, docno_desc, split_rows))
+    r = r.withColumn("_in", F.row_number().over(rank_window([*keys, "bucket"], docno_desc)))
+    heads = prefix_sums(r.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("_n")), keys, ["_n"]).drop("_n")
+    return r.join(heads, [*keys, "bucket"]).withColumn("rank", (F.col("off__n") + F.col("_in")).cast("long")).drop("_in", "off__n")
 
 
 def max_docs(ranked: DataFrame, m: int | None) -> DataFrame:
@@ -97,32 +80,74 @@ def attach_relevance(ranked: DataFrame, qrels: DataFrame, keys=("qid", "docno"))
 
 def judged_only(ranked: DataFrame, keys=("run_id", "qid")) -> DataFrame:
     """Drop unjudged documents and close up the ranks."""
+    keys = list(keys)
     kept = ranked.where(F.col("rel") >= 0)
-    if "bucket" not in ranked.columns:
-        w = Window.partitionBy(*keys).orderBy("rank")
-        return kept.withColumn("rank", F.row_number().over(w).cast("long"))
-    w = Window.partitionBy(*keys, "bucket").orderBy("rank")
-    kept = kept.withColumn("_in", F.row_number().over(w))
+    kept = kept.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, "bucket").orderBy("rank")))
     kept = kept.join(bucket_offsets(kept, keys), [*keys, "bucket"])
     return kept.withColumn("rank", (F.col("_off_n") + F.col("_in")).cast("long")).drop("_in", "_off_n")
 
 
-def build_ranked(
+#: Running sums of a scanned list: column of the row -> its running sum.
+SUMS = {"is_rel": "cum_rel", "jnr": "cum_jnr", "unj": "cum_unj", "jud": "cum_jud"}
+
+
+def scan_ranked(
     run: DataFrame,
     qrels: DataFrame,
+    level: int = 1,
     max_docs_: int | None = None,
     judged_only_: bool = False,
     split_rows: int | None = None,
+    topics: DataFrame | None = None,
 ) -> DataFrame:
-    """``ranked(run_id, qid, docno, sim, rank, rel)`` for every judged topic of the run."""
-    r = topic_join(normalize_run(run), qrels)
-    r = max_docs(add_rank(r, split_rows=split_rows), max_docs_)
-    r = attach_relevance(r, qrels)
-    if judged_only_:
-        r = judged_only(r)
+    """The ranked lists of all judged topics with running sums, in one scan of the order.
+
+    Columns: run_id, qid, docno, sim, rank, rel, bucket, the 0/1 columns of
+    ``SUMS`` and their running sums, R and N (judged relevant and nonrelevant
+    documents of the topic) and the columns of ``topics`` (one row a qid).
+    """
+    keys = ["run_id", "qid"]
+    r = normalize_run(run).where("qid is not null")
+    where = range_of(r, rows=split_rows)
+    rel = F.col("rel")
+    kinds = {"is_rel": rel >= level, "jnr": (rel >= 0) & (rel < level), "unj": rel == REL_UNJUDGED, "jud": rel >= 0}
+    r = attach_relevance(r, qrels).withColumns({"bucket": where, **{k: v.cast("int") for k, v in kinds.items()}})
+    # the topics' judgments take part in the sums as a range of their own, so they need no join
+    own = r.select(*keys, "bucket", F.lit(1).alias("cnt"), *SUMS, F.lit(0).alias("R"), F.lit(0).alias("N"))
+    zero = [F.lit(0).alias(c) for c in ("cnt", *SUMS)]
+    q = qrels.select(F.lit(None).cast("string").alias("run_id"), F.col("qid").cast("string").alias("qid"), F.lit(-1).alias("bucket"), *zero, kinds["is_rel"].cast("int").alias("R"), kinds["jnr"].cast("int").alias("N"))
+    sums = ["cnt", *SUMS]
+    heads = own.unionByName(q).groupBy(*keys, "bucket").agg(*(F.sum(c).alias(c) for c in (*sums, "R", "N")))
+    # dealt by topic once: the lists of a topic and its judgments, one row a range
+    heads = heads.repartition("qid")
+    if topics is not None:
+        heads = heads.join(topics, "qid", "left")
+    topic = Window.partitionBy("qid")
+    heads = heads.withColumns({"R": F.sum("R").over(topic), "N": F.sum("N").over(topic), "judged": F.min("bucket").over(topic) < 0})
+    heads = prefix_sums(heads, keys, sums).where("judged and run_id is not null").drop("judged", *sums)
+    order = rank_window([*keys, "bucket"])
+    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumns({"rank": F.row_number().over(order), **{c: F.sum(k).over(inside) for k, c in SUMS.items()}})
+    r = r.join(heads, [*keys, "bucket"])
+    r = r.withColumns({"rank": (F.col("rank") + F.col("off_cnt")).cast("long"), **{c: F.col(c) + F.col(f"off_{k}") for k, c in SUMS.items()}})
+    r = max_docs(r.drop(*(f"off_{c}" for c in sums)), max_docs_)
+    if judged_only_:  # every judged document counts one, so their running sum is the closed-up rank
+        r = r.where("rel >= 0").withColumn("rank", F.col("cum_jud"))
     return r
 
 
+def build_ranked(
+    run: DataFrame,
+    qrels: DataFrame,
+    max_docs_: int | None = None,
+    judged_only_: bool = False,
+    split_rows: int | None = None,
+) -> DataFrame:
+    """``ranked(run_id, qid, docno, sim, rank, rel, bucket)`` for every judged topic of the run."""
+    r = scan_ranked(run, qrels, 1, max_docs_, judged_only_, split_rows)
+    return r.select(*RUN_COLS, "rank", "rel", "bucket")
+
+
 def build_ranked_jg(
     run: DataFrame,
     qrels_jg: DataFrame,
@@ -155,11 +180,6 @@ def topic_stats(ranked: DataFrame, qrels: DataFrame, level: int = 1) -> DataFram
     return r.join(j, "qid")
 
 
-def level_histogram(qrels: DataFrame) -> DataFrame:
-    """Count of judged documents per (topic, level)."""
-    return qrels.where(F.col("rel") >= 0).groupBy("qid", "rel").agg(F.count(F.lit(1)).alias("n"))
-
-
 def duplicates(df: DataFrame, keys=("qid", "docno")) -> DataFrame:
     """Rows whose key occurs more than once (validation of runs and judgments)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranklens.functions import catalog as C
+from ranklens.functions.exact import exact_sum
 
 
 def _kind(name: str) -> str:
@@ -101,6 +102,7 @@ def with_summary(
     complete: bool = False,
     num_q_name: str = "num_q",
     per_topic: bool = True,
+    counted: str | None = None,
 ) -> DataFrame:
     """Per-topic rows and summary rows from **one** aggregation (a rollup).
 
@@ -108,12 +110,14 @@ def with_summary(
     summary level and the per-run level in a single pass over the scores, so
     the plan that computes the per-topic scores runs once (a union of topic
     rows and a separately aggregated summary would compute it twice).
+    ``counted`` names a measure that every topic has one row of: its rows are
+    the topics, so the number of topics needs no distinct count.
     """
     kinds = _kind_map(measure_names)
     r = scores.rollup("run_id", "measure", "qid").agg(
-        F.sum("value").alias("_s"),
+        exact_sum(F.col("value"), finite=False).alias("_s"),
         F.count(F.lit(1)).alias("_c"),
-        F.countDistinct("qid").alias("_nqd"),
+        (F.count(F.when(F.col("measure") == counted, 1)) if counted else F.countDistinct("qid")).alias("_nqd"),
         F.grouping_id().alias("_g"),
     )
     kind = F.coalesce(F.element_at(kinds, F.col("measure")), F.lit(C.MEAN))

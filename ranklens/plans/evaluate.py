@@ -1,7 +1,7 @@
 """Evaluate runs against judgments: the whole evaluation as one Spark plan.
 
-``run -> ranked (1 shuffle by qid) -> one wide groupBy(run_id, qid) -> long
-rows -> summary (tiny second aggregation)``.  ``run_id`` is a key, so any
+``run -> ranked lists with running sums (one scan of the order, in ranges) ->
+one wide groupBy(run_id, qid) -> long rows -> summary (tiny second aggregation)``.  ``run_id`` is a key, so any
 number of runs is evaluated in the same job.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ranklens.functions import catalog as C
 from ranklens.operators import measures as M
 from ranklens.operators import summary as S
-from ranklens.operators.ranked import SPLIT_ROWS, build_ranked
+from ranklens.operators.ranked import build_ranked, scan_ranked
 
 
 def evaluate(
@@ -27,21 +27,24 @@ def evaluate(
     per_topic: bool = True,
     zref: DataFrame | None = None,
     num_docs_in_coll: int = 0,
-    split_rows: int | None = SPLIT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Scores ``(run_id, qid, measure, value double)``; summary rows have qid ``'all'``.
 
     String measures (``runid``, ``relstring``) are left to :func:`evaluate_text`.
     """
     ms = C.expand(measures)
-    ranked = build_ranked(run, qrels, max_docs, judged_only, split_rows)
+    curves = M.topic_curves(qrels, M.list_measures(ms))
+    ranked = scan_ranked(run, qrels, relevance_level, max_docs, judged_only, split_rows, curves)
     scores = M.per_topic(ranked, qrels, ms, relevance_level, num_docs_in_coll)
     names = [n for m in ms for n in m.names()]
+    counted = next((n for m in M.list_measures(ms) for n in m.names()), None)
     if zref is not None:
         scores = S.zscore(scores, zref)
         names = ["Z" + n for n in names]
+        counted = counted and "Z" + counted
     judged = qrels.select("qid").distinct() if complete else None
-    return S.with_summary(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q", per_topic)
+    return S.with_summary(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q", per_topic, counted)
 
 
 def evaluate_text(run: DataFrame, qrels: DataFrame, measures=None, max_docs=None, judged_only=False) -> DataFrame:
@@ -70,7 +73,7 @@ def evaluate_jg(
     judged_only: bool = False,
     complete: bool = False,
     per_topic: bool = True,
-    split_rows: int | None = SPLIT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Judgment-group measures (``map_avgjg``, ``P_avgjg``, ``Rprec_mult_avgjg``)."""
     from ranklens.operators.ranked import build_ranked_jg
@@ -80,7 +83,7 @@ def evaluate_jg(
     scores = M.per_topic_jg(ranked, qrels_jg, ms, relevance_level)
     names = [n for m in ms for n in m.names()]
     judged = qrels_jg.select("qid").distinct() if complete else None
-    return S.with_summary(scores, names, judged, complete, per_topic=per_topic)
+    return S.with_summary(scores, names, judged, complete, per_topic=per_topic, counted=names[0] if names else None)
 
 
 def evaluate_prefs(
@@ -98,4 +101,4 @@ def evaluate_prefs(
     scores = pref_measures(run, prefs, max_docs, ms)
     names = [n for m in ms for n in m.names()]
     judged = prefs.select("qid").distinct() if complete else None
-    return S.with_summary(scores, names, judged, complete, per_topic=per_topic)
+    return S.with_summary(scores, names, judged, complete, per_topic=per_topic, counted=names[0] if names else None)
