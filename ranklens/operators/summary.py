@@ -116,6 +116,7 @@ def with_summary(
     kinds = _kind_map(measure_names)
     r = scores.rollup("run_id", "measure", "qid").agg(
         exact_sum(F.col("value"), finite=False).alias("_s"),
+        F.max("value").alias("_v"),  # a topic's only row, as it is
         F.count(F.lit(1)).alias("_c"),
         (F.count(F.when(F.col("measure") == counted, 1)) if counted else F.countDistinct("qid")).alias("_nqd"),
         F.grouping_id().alias("_g"),
@@ -143,5 +144,5 @@ def with_summary(
         "run_id",
         F.when(F.col("_g") == 0, F.col("qid")).otherwise(F.lit("all")).alias("qid"),
         F.when(runrow, F.lit(num_q_name)).otherwise(F.col("measure")).alias("measure"),
-        F.when(F.col("_g") == 0, F.col("_s")).when(runrow, nq_run.cast("double")).otherwise(summary_val).cast("double").alias("value"),
+        F.when(F.col("_g") == 0, F.col("_v")).when(runrow, nq_run.cast("double")).otherwise(summary_val).cast("double").alias("value"),
     )
