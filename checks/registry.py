@@ -247,6 +247,7 @@ def q_measure_params(spark, sf):
 from ranklens.functions import text as TX  # noqa: E402
 from ranklens.operators import index as IX  # noqa: E402
 from ranklens.operators import scoring as SC  # noqa: E402
+from ranklens.session import scratch_path  # noqa: E402
 
 
 @register("tokenize_standard", f"WITH {O.TEXT_CTE} SELECT docno, std AS tokens FROM an")
@@ -301,6 +302,36 @@ def q_term_topk(spark, sf):
     return SC.term_topk(m, 10).select("qid", "term", "docno", "tf")
 
 
+def _stored_index(spark, sf):
+    """The corpus written as an index, small salts and blocks so that every branch runs, and read back."""
+    path = scratch_path(spark, "index")
+    IX.write_index(T.corpus(spark, sf), path, buckets=8, block=16, salt_postings=100)
+    return IX.read_index(spark, path, buckets=8)
+
+
+@register("postings_stored", f"WITH {O.TEXT_CTE} SELECT post.term, post.docno, post.tf, ds.dlen, ds.ulen, ds.uvoc FROM post JOIN ds USING (docno)")
+def q_postings_stored(spark, sf):
+    return _stored_index(spark, sf).postings()
+
+
+@register("term_topk_stored", REGISTRY["term_topk"][1])
+def q_term_topk_stored(spark, sf):
+    qt = IX.query_terms(T.topics(spark, sf))
+    best = _stored_index(spark, sf).top_postings(qt, "tf", 10)
+    return SC.term_topk(best.join(qt, "term").withColumn("s", F.col("tf")), 10).select("qid", "term", "docno", "tf")
+
+
+def _score_stored_query(method):
+    def q(spark, sf):
+        return _r6(SC.score(method, T.topics(spark, sf), index=_stored_index(spark, sf)), "score")
+
+    return q
+
+
+for _meth in ("lnc_ltn", "lm_jm", "bm25"):
+    register(f"score_stored_{_meth}", O.hits_sql(_meth))(_score_stored_query(_meth))
+
+
 def _score_query(method):
     def q(spark, sf):
         h = SC.score(method, T.topics(spark, sf), T.corpus(spark, sf))

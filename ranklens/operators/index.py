@@ -1,12 +1,21 @@
-"""Inverted index as tables: postings, document, term and collection statistics.
+"""Inverted index as tables: postings, document, term and collection statistics, and the stored index.
 
 ``postings(term, docno, tf, dlen, ulen, uvoc)`` carries each document's
 lengths next to every posting (the role of norms in an index), so scoring
-never joins the corpus-sized document table again.  The index is built with
-one exchange: ``explode`` + ``groupBy(docno, term)``, whose map-side partial
-aggregation already collapses a document's repeated terms.  ``write_index``
-stores it bucketed by term so query-time joins on ``term`` need no shuffle of
-the postings.
+never joins the corpus-sized document table again.
+
+``write_index`` stores postings as blocks.  A term's postings are dealt to
+salts (more of them for a frequent term, so no task holds a whole list), sorted
+by tf and length within each, and cut into blocks of ``BLOCK`` postings; a
+block is one row with its range of impacts, its counts and its postings.  Rows
+are ordered by a hash bucket of the term, a folder each, then by term, so
+reading a few terms prunes folders and row groups.  The list of the empty term
+holds every document once: document and collection statistics come from it, and
+the corpus is tokenised once.
+
+The best n postings of a term need only some blocks: a block with n postings or
+more proves that the n-th best impact is at least its smallest one, and blocks
+whose largest impact is below that are skipped unread.
 """
 
 from __future__ import annotations
@@ -16,6 +25,18 @@ from pyspark.sql import functions as F
 
 from ranklens.functions.text import query_tokens, tokenize_standard, tokenize_unigram
 
+#: Postings of a block, and of a salt of a frequent term, about.
+BLOCK, SALT_POSTINGS = 1024, 100_000
+#: The term whose list holds every document.
+ALL_DOCS = ""
+#: What a posting can weigh in a term's list, by method: each method's score grows with one of these.
+IMPACTS = {
+    "tf": lambda p: p["tf"].cast("double"),
+    "rate": lambda p: F.try_divide(p["tf"].cast("double"), p["dlen"].cast("double")),
+    "laplace": lambda p: p["tf"].cast("double") + F.try_divide(F.lit(1.0), p["ulen"].cast("double")),
+}
+_POSTING = ["docno", "tf", "dlen", "ulen", "uvoc"]
+
 # broadcast only below this many rows of the small side (checked by a count)
 BROADCAST_ROWS = 2_000_000
 
@@ -39,16 +60,126 @@ def doc_stats(corpus: DataFrame) -> DataFrame:
 
 
 def postings(corpus: DataFrame) -> DataFrame:
-    a = analyze(corpus)
-    ex = a.select("docno", "dlen", "ulen", "uvoc", F.explode("tokens").alias("term"))
+    return _postings(analyze(corpus))
+
+
+def _postings(analyzed: DataFrame, tokens: str = "tokens", terms: DataFrame | None = None) -> DataFrame:
+    ex = analyzed.select("docno", "dlen", "ulen", "uvoc", F.explode(tokens).alias("term"))
+    if terms is not None:
+        ex = ex.join(terms, "term", "left_semi")
     return ex.groupBy("term", "docno").agg(
         F.count(F.lit(1)).alias("tf"), F.max("dlen").alias("dlen"), F.max("ulen").alias("ulen"), F.max("uvoc").alias("uvoc")
     )
 
 
-def write_index(post: DataFrame, path: str, buckets: int = 64) -> None:
-    """Persist postings partitioned by a hash of the term (co-located term lookups)."""
-    (post.repartition(buckets, "term").write.mode("overwrite").parquet(path))
+def all_postings(corpus: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """Postings and the list of all documents (term ``ALL_DOCS``) from one pass over the corpus; optionally only ``terms``."""
+    a = analyze(corpus).withColumn("tokens", F.coalesce(F.array_append("tokens", F.lit(ALL_DOCS)), F.array(F.lit(ALL_DOCS))))
+    if terms is not None:
+        every = terms.sparkSession.createDataFrame([(ALL_DOCS,)], "term string")
+        terms = terms.select("term").unionByName(every).distinct()
+    return _postings(a, terms=terms)
+
+
+# ---------------------------------------------------------------- stored index
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+
+
+def index_blocks(post: DataFrame, buckets: int, block: int = BLOCK, salt_postings: int = SALT_POSTINGS) -> DataFrame:
+    """(bucket, term, salt, block, n, sum_tf, sum_dlen, n_dlen, max_<impact>, min_<impact>, postings) of postings."""
+    often = post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > salt_postings)
+    often = often.select("term", F.ceil(F.col("df") / salt_postings).cast("int").alias("salts"))
+    salted = post.join(often, "term", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("docno"), F.col("salts")).cast("int"), F.lit(0)))
+    one = F.struct((-F.col("tf")).alias("order"), *_POSTING[2:3], "docno", "tf", "ulen", "uvoc")
+    lists = salted.groupBy("term", "salt").agg(F.sort_array(F.collect_list(one)).alias("p"))  # a salt's postings
+    starts = F.sequence(F.lit(0), F.floor((F.size("p") - 1) / block).cast("int"))
+    cut = F.transform(starts, lambda k: F.slice("p", k * block + 1, F.lit(block)))
+    rows = lists.select("term", "salt", F.posexplode(cut).alias("block", "p"))
+    total = lambda c: F.aggregate("p", F.lit(0).cast("long"), lambda at, x: at + F.coalesce(x[c], F.lit(0)))
+    ranges = {}
+    for name, impact in IMPACTS.items():
+        values = F.transform("p", impact)
+        ranges |= {f"max_{name}": F.array_max(values), f"min_{name}": F.array_min(values)}
+    return rows.select(
+        _bucket(buckets).alias("bucket"), "term", "salt", "block", F.size("p").cast("long").alias("n"), total("tf").alias("sum_tf"), total("dlen").alias("sum_dlen"),
+        F.size(F.filter("p", lambda x: x["dlen"].isNotNull())).cast("long").alias("n_dlen"),
+        *(v.alias(k) for k, v in ranges.items()),
+        F.transform("p", lambda x: F.struct(*(x[c].alias(c) for c in _POSTING))).alias("postings"),
+    )
+
+
+def write_index(corpus: DataFrame, path: str, buckets: int = 64, block: int = BLOCK, salt_postings: int = SALT_POSTINGS) -> None:
+    """Tokenise the corpus once and store its postings as blocks under ``path``."""
+    from ranklens.session import checkpoint_dir
+
+    checkpoint_dir(corpus.sparkSession)
+    post = all_postings(corpus).checkpoint()
+    blocks = index_blocks(post, buckets, block, salt_postings)
+    blocks.repartitionByRange("bucket", "term", "salt", "block").sortWithinPartitions("bucket", "term", "salt", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+class Index:
+    """A stored index: every method reads the blocks it needs and no corpus."""
+
+    def __init__(self, spark, path: str, buckets: int = 64):
+        self.blocks = spark.read.parquet(path)
+        self.buckets = buckets
+
+    def heads(self, terms: DataFrame | None = None) -> DataFrame:
+        """The blocks without their postings; with ``terms`` only the folders and row groups of these are read."""
+        heads = self.blocks.drop("postings")
+        return heads if terms is None else heads.join(self._located(terms), ["bucket", "term"], "left_semi")
+
+    def _located(self, terms: DataFrame) -> DataFrame:
+        return terms.select("term").distinct().select(_bucket(self.buckets).alias("bucket"), "term")
+
+    def _opened(self, blocks: DataFrame) -> DataFrame:
+        return blocks.select("term", F.inline("postings")).select("term", *_POSTING)
+
+    def postings(self, terms: DataFrame | None = None) -> DataFrame:
+        """(term, docno, tf, dlen, ulen, uvoc), optionally only of ``terms``."""
+        kept = self.blocks.where(F.col("term") != ALL_DOCS)
+        return self._opened(kept if terms is None else kept.join(self._located(terms), ["bucket", "term"], "left_semi"))
+
+    def doc_stats(self) -> DataFrame:
+        here = self.blocks.where((F.col("term") == ALL_DOCS) & (F.col("bucket") == _bucket_of(ALL_DOCS, self.buckets)))
+        return self._opened(here).select("docno", "dlen", "ulen", "uvoc")
+
+    def term_stats(self, terms: DataFrame | None = None) -> DataFrame:
+        heads = self.heads(terms).where(F.col("term") != ALL_DOCS)
+        return heads.groupBy("term").agg(F.sum("n").alias("df"), F.sum("sum_tf").alias("ctf"))
+
+    def collection_stats(self) -> DataFrame:
+        here = self.blocks.where((F.col("term") == ALL_DOCS) & (F.col("bucket") == _bucket_of(ALL_DOCS, self.buckets)))
+        t = here.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("num_docs"), F.sum("sum_dlen").alias("sum_tf"), F.sum("n_dlen").alias("measured"))
+        return t.select("num_docs", "sum_tf", F.try_divide("sum_tf", "measured").alias("avg_dlen"))
+
+    def top_blocks(self, terms: DataFrame, impact: str, n: int) -> DataFrame:
+        """(bucket, term, salt, block) of the blocks that may hold one of the best ``n`` postings of their term.
+
+        ``n`` up to the block size lets blocks go; beyond it all are kept.  A term of every document separates none by its weight (its idf is 0), so it keeps all blocks.
+        """
+        heads = self.heads(terms).where(F.col("term") != ALL_DOCS)
+        sure = heads.groupBy("term").agg(F.max(F.when(F.col("n") >= n, F.col(f"min_{impact}"))).alias("least"), F.sum("n").alias("df"))
+        everywhere = F.col("df") >= self.collection_stats().select("num_docs").scalar()
+        sure = sure.select("term", F.when(~everywhere, F.col("least")).alias("least"))
+        reach = F.col("least").isNull() | (F.col(f"max_{impact}") >= F.col("least"))
+        return heads.join(sure, "term", "left").where(reach).select("bucket", "term", "salt", "block")
+
+    def top_postings(self, terms: DataFrame, impact: str, n: int) -> DataFrame:
+        """Postings of ``top_blocks``: all that can be among the best ``n`` of their term by this impact, ties included."""
+        return self._opened(self.blocks.join(self.top_blocks(terms, impact, n), ["bucket", "term", "salt", "block"], "left_semi"))
+
+
+def _bucket_of(term: str, buckets: int):
+    return F.pmod(F.xxhash64(F.lit(term)), F.lit(buckets)).cast("int")
+
+
+def read_index(spark, path: str, buckets: int = 64) -> Index:
+    return Index(spark, path, buckets)
 
 
 def term_stats(post: DataFrame, terms: DataFrame | None = None) -> DataFrame:

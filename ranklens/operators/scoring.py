@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklens.operators.index import BROADCAST_ROWS, checked_broadcast, collection_stats, doc_stats, query_terms
+from ranklens.functions.exact import exact_sum
+from ranklens.operators.index import ALL_DOCS, BROADCAST_ROWS, Index, all_postings, checked_broadcast, collection_stats, doc_stats, query_terms
 
 # fixed values: parameters of the ranking functions
 TERM_TOP_N = 10
@@ -29,6 +30,8 @@ BM25_B = 0.75
 
 METHODS = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm", "lm_dirichlet")
 TERM_LISTS = ("lnc_ltn", "bnn_bnn", "lm_laplace", "lm_jm")
+#: What the list of a term is ordered by, see ``index.IMPACTS``: all but one posting of equal impact may tie.
+LIST_IMPACT = {"lnc_ltn": "tf", "lm_laplace": "laplace", "lm_jm": "rate"}
 
 
 def match(topics_terms: DataFrame, post: DataFrame, bounded: bool | None = None) -> DataFrame:
@@ -58,20 +61,41 @@ def _with_stats(qt: DataFrame, post: DataFrame, corpus_stats: DataFrame) -> Data
     return m.join(F.broadcast(ts) if bounded else ts, "term").crossJoin(F.broadcast(cs))
 
 
+def _matched(qt: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Match rows with all statistics from one pass over the corpus: postings of query terms are kept, then reused."""
+    from ranklens.session import checkpoint_dir
+
+    checkpoint_dir(corpus.sparkSession)
+    kept = all_postings(corpus, qt).checkpoint()
+    post = kept.where(F.col("term") != ALL_DOCS)
+    return _joined(qt, post, post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf")), collection_stats(kept.where(F.col("term") == ALL_DOCS)))
+
+
+def _joined(qt: DataFrame, post: DataFrame, terms: DataFrame, collection: DataFrame) -> DataFrame:
+    rows = post.join(qt.select("qid", "term", "qtf").join(terms, "term"), "term")
+    return rows.crossJoin(F.broadcast(collection))  # one row
+
+
+def _stored(qt: DataFrame, index: Index, impact: str | None, n: int) -> DataFrame:
+    """Match rows from a stored index; with ``impact`` only those of blocks that can reach the best ``n`` of a term."""
+    post = index.top_postings(qt, impact, n) if impact else index.postings(qt)
+    return _joined(qt, post, index.term_stats(qt), index.collection_stats())
+
+
 def term_topk(scored: DataFrame, n: int = TERM_TOP_N, by: str = "s") -> DataFrame:
     """Keep the best ``n`` documents of every (query, term) list; ties by docno."""
     w = Window.partitionBy("qid", "term").orderBy(F.col(by).desc(), F.col("docno"))
     return scored.withColumn("_tr", F.row_number().over(w)).where(F.col("_tr") <= n).drop("_tr")
 
 
-# scores equal up to summation order (a sum of the same terms in another order can
-# differ in the last bit) count as ties: order on the score rounded to 9 decimals
-ORDER_DECIMALS = 9
+# scores are summed in fixed point, so a sum of the same terms in another order is the
+# same number: ties are ties, and ranks order on the score itself
+SCORE_BITS = 31
 
 
 def topk_per_query(scores: DataFrame, k: int = TOP_K, method: str | None = None) -> DataFrame:
     """Order by score desc (docno asc on ties), keep ``k``, rank from 1."""
-    w = Window.partitionBy("qid").orderBy(F.round("score", ORDER_DECIMALS).desc(), F.col("docno"))
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("docno"))
     out = scores.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
     if method is not None:
         out = out.withColumn("method", F.lit(method))
@@ -134,20 +158,24 @@ def score(
     raw_terms: bool = False,
     mode: str = "literal",
     custom: Column | None = None,
+    index: Index | None = None,
 ) -> DataFrame:
     """hits(qid, docno, method, score double, rank) — the top ``k`` documents per query.
 
+    Reads a stored ``index``, or tokenises ``corpus`` once, or takes ``post`` and ``stats``.
+
     ``custom`` replaces the per-term score with any Column expression over
     ``tf, qtf, dlen, ulen, uvoc, df, ctf, num_docs, sum_tf, avg_dlen`` (summed).
     """
-    from ranklens.operators.index import postings as build_postings
-
-    if post is None:
-        post = build_postings(corpus)
-    if stats is None:
-        stats = doc_stats(corpus)
     qt = query_terms(topics, raw_terms)
-    m = _with_stats(qt, post, stats)
+    if per_term_top is None:
+        per_term_top = method in TERM_LISTS
+    if index is not None:
+        m = _stored(qt, index, LIST_IMPACT.get(method) if per_term_top and custom is None else None, n)
+    elif post is None:
+        m = _matched(qt, corpus)
+    else:
+        m = _with_stats(qt, post, doc_stats(corpus) if stats is None else stats)
     if custom is not None:
         s, combine = custom, "sum"
         key = s
@@ -156,14 +184,12 @@ def score(
         one, combine = _term_scores(method, mode)
         s, key = _repeated(method, one, combine), _list_key(method, one)
     m = m.withColumns({"s": s.cast("double"), "_key": key.cast("double")})
-    if per_term_top is None:
-        per_term_top = method in TERM_LISTS
     if per_term_top:
         m = term_topk(m, n, "_key")
     if combine == "product":
-        agg = F.pow(F.lit(10.0), F.sum(F.log10("s")))
+        agg = F.pow(F.lit(10.0), exact_sum(F.log10("s"), SCORE_BITS))
     else:
-        agg = F.sum("s")
+        agg = exact_sum(F.col("s"), SCORE_BITS)
     scores = m.groupBy("qid", "docno").agg(agg.alias("score"))
     if combine == "sum_norm":
         norm = F.sqrt(F.sum(F.col("score") * F.col("score")).over(Window.partitionBy("qid")))
@@ -179,18 +205,19 @@ def score_many(
     n: int = TERM_TOP_N,
     post: DataFrame | None = None,
     stats: DataFrame | None = None,
+    index: Index | None = None,
 ) -> DataFrame:
-    """Several rankings from one shared plan.
+    """Several rankings from one shared plan: one pass over the corpus, or a stored index.
 
     The match rows are computed once and stacked per method (a fixed fan-out
     of ``len(methods)``), so every stage — per-term top-n, the per-document
     sum and the final top-k — is one window or one aggregate keyed by method.
     """
-    from ranklens.operators.index import postings as build_postings
-
-    post = build_postings(corpus) if post is None else post
-    stats = doc_stats(corpus) if stats is None else stats
-    m = _with_stats(query_terms(topics), post, stats)
+    qt = query_terms(topics)
+    if index is not None:
+        m = _stored(qt, index, None, n)
+    else:
+        m = _matched(qt, corpus) if post is None else _with_stats(qt, post, doc_stats(corpus) if stats is None else stats)
     kinds = {}
     structs = []
     for meth in methods:
@@ -209,7 +236,7 @@ def score_many(
         st = top if not rest else top.unionByName(st.where(F.col("method").isin(*rest)))
     prod = [mm for mm, c in kinds.items() if c == "product"]
     agg = st.groupBy("method", "qid", "docno").agg(
-        F.sum("s").alias("_sum"), F.sum(F.log10("s")).alias("_logsum")
+        exact_sum(F.col("s"), SCORE_BITS).alias("_sum"), exact_sum(F.log10("s"), SCORE_BITS).alias("_logsum")
     )
     score = F.when(F.col("method").isin(*prod), F.pow(F.lit(10.0), F.col("_logsum"))).otherwise(F.col("_sum")) if prod else F.col("_sum")
     agg = agg.withColumn("score", score)
@@ -217,11 +244,6 @@ def score_many(
     if norm_m:
         norm = F.sqrt(F.sum(F.col("score") * F.col("score")).over(Window.partitionBy("method", "qid")))
         agg = agg.withColumn("score", F.when(F.col("method").isin(*norm_m), F.col("score") / norm).otherwise(F.col("score")))
-    w2 = Window.partitionBy("method", "qid").orderBy(F.round("score", ORDER_DECIMALS).desc(), F.col("docno"))
+    w2 = Window.partitionBy("method", "qid").orderBy(F.col("score").desc(), F.col("docno"))
     out = agg.withColumn("rank", F.row_number().over(w2).cast("long")).where(F.col("rank") <= k)
     return out.select("qid", "docno", "method", "score", "rank")
-
-
-def score_all(topics: DataFrame, corpus: DataFrame, methods=METHODS, k: int = TOP_K) -> DataFrame:
-    """The five feature rankings in one plan."""
-    return score_many(topics, corpus, methods, k)
