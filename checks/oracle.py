@@ -510,6 +510,28 @@ SELECT CAST(l_orderkey AS VARCHAR) AS qid,
        max(l_linestatus) AS ls, max(l_returnflag) AS rf
 FROM lineitem GROUP BY 1, 2"""
 
+RAW_PREFS = """
+SELECT CAST(l_orderkey AS VARCHAR) AS qid, '0' AS jg, jsg, CAST(l_suppkey AS VARCHAR) AS docno, rel_level FROM (
+  SELECT l_orderkey, l_suppkey, 'quantity' AS jsg, CAST(floor(l_quantity / 10) AS FLOAT) AS rel_level FROM lineitem
+  UNION ALL SELECT l_orderkey, l_suppkey, 'tax', CAST(CASE WHEN l_tax >= 0.06 THEN 2 WHEN l_tax >= 0.03 THEN 1 ELSE 0 END AS FLOAT) FROM lineitem) z"""
+
+
+def pref_faults_sql(prefs_sql: str) -> str:
+    """The three faults by their definitions; cycles from the closure of all edges."""
+    same = "c.qid = k.qid AND c.jg = k.jg"
+    return f"""WITH RECURSIVE prefs AS ({prefs_sql}),
+e AS (SELECT DISTINCT a.qid, a.jg, a.docno AS a, b.docno AS b FROM prefs a JOIN prefs b USING (qid, jg, jsg) WHERE a.rel_level > b.rel_level),
+c AS (SELECT * FROM e UNION SELECT c.qid, c.jg, c.a, e.b FROM c JOIN e ON c.qid = e.qid AND c.jg = e.jg AND c.b = e.a),
+k AS (SELECT DISTINCT qid, jg, a AS docno FROM c WHERE a = b),
+below AS (SELECT DISTINCT c.qid, c.jg, c.b AS docno FROM c JOIN k ON {same} AND c.a = k.docno),
+above AS (SELECT DISTINCT c.qid, c.jg, c.a AS docno FROM c JOIN k ON {same} AND c.b = k.docno)
+SELECT qid, jg, docno, 'two levels in a sub-group' AS problem FROM prefs GROUP BY qid, jg, jsg, docno HAVING count(DISTINCT rel_level) > 1
+UNION ALL
+SELECT qid, jg, docno, 'zero and non-zero level in a group' FROM prefs GROUP BY qid, jg, docno HAVING min(rel_level) = 0 AND max(rel_level) > 0
+UNION ALL
+SELECT qid, jg, docno, 'in a cycle of preferences' FROM below JOIN above USING (qid, jg, docno)"""
+
+
 QRELS_PREFS = f"SELECT qid, '0' AS jg, '0' AS jsg, docno, CAST(rel AS FLOAT) AS rel_level FROM ({DEEP_QRELS}) q WHERE rel >= 0"
 
 

@@ -476,6 +476,11 @@ def q_validate_prefs(spark, sf):
     return PR.validate_prefs(T.multi_prefs(spark, sf))
 
 
+@register("validate_prefs_raw", O.pref_faults_sql(O.RAW_PREFS))
+def q_validate_prefs_raw(spark, sf):
+    return PR.validate_prefs(T.raw_prefs(spark, sf))
+
+
 _PC = ["poss_ret", "ful_ret", "poss_imp", "ful_imp", "poss_notoccur", "num_rel", "num_nonrel", "num_rel_ret", "num_nonrel_ret"]
 
 

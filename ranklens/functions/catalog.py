@@ -200,24 +200,34 @@ def parse_measure(req) -> Measure:
 
 
 def expand(requests) -> list[Measure]:
-    """Expand group names, parse parameters, keep first occurrence order."""
+    """Group names, parsed measures, first occurrence order.
+
+    Given parameters replace a measure's defaults, wherever it was named
+    before or is named again.  Cutoffs that are given several times, in any
+    notation, add up; other parameter sets stay apart, each a measure of its
+    own.  A repeated request is one.
+    """
     if requests is None:
         requests = ["official"]
-    if isinstance(requests, str):
+    if isinstance(requests, (str, tuple, Measure)):
         requests = [requests]
-    out: dict[str, Measure] = {}
-    explicit: dict[str, str] = {}
+    given: dict[str, list[Measure]] = {}
     for req in requests:
-        if isinstance(req, str) and req in GROUPS:
-            for n in GROUPS[req]:
-                out.setdefault(n, parse_measure(n))
-        else:
-            m = parse_measure(req)
-            if m.name in explicit:  # a second request adds its parameters
-                m = parse_measure(f"{explicit[m.name]},{req.split('.', 1)[1]}") if "." in req and "." in explicit[m.name] else out[m.name]
-            explicit[m.name] = f"{m.name}.{m.raw}" if m.raw else m.name
-            out[m.name] = m
-    return list(out.values())
+        for m in [parse_measure(n) for n in GROUPS[req]] if isinstance(req, str) and req in GROUPS else [parse_measure(req)]:
+            held = given.setdefault(m.name, [])
+            own = [x for x in held if not _default(x)]
+            if _default(m):
+                given[m.name] = own or [m]
+            elif SPEC[m.name][0] in (INT_CUTS, FLOAT_CUTS):
+                cuts = sorted({c for x in (*own, m) for c in x.params})
+                given[m.name] = [Measure(m.name, tuple(cuts), ",".join(f"{c:g}" for c in cuts))]
+            else:
+                given[m.name] = own if m in own else [*own, m]
+    return [m for held in given.values() for m in held]
+
+
+def _default(m: Measure) -> bool:
+    return m.raw is None and m.params == SPEC[m.name][1]
 
 
 def summary_kind(measure_name: str) -> str:
@@ -228,8 +238,3 @@ def summary_kind(measure_name: str) -> str:
         if measure_name.startswith(base + "_"):
             return SPEC[base][2]
     return MEAN
-
-
-def measure_catalog_rows() -> list[tuple[str, str, str]]:
-    """(measure, parameter kind, summary kind) rows, for a broadcast catalogue."""
-    return [(k, v[0], v[2]) for k, v in SPEC.items()]

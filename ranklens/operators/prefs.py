@@ -70,9 +70,8 @@ def validate_prefs(prefs: DataFrame) -> DataFrame:
     """Problems that make preferences inconsistent: (qid, jg, docno, problem).
 
     * a document with two levels in one sub-group;
-    * a document judged 0 in one sub-group and non-0 in another of its group.
-    Cycles can only come from the second kind or from closure; see
-    :func:`pref_cycles`.
+    * a document judged 0 in one sub-group and non-0 in another of its group;
+    * a document in a cycle of preferences (or between two), see :func:`cyclic_docs`.
     """
     two = (
         prefs.groupBy("qid", "jg", "jsg", "docno")
@@ -86,7 +85,37 @@ def validate_prefs(prefs: DataFrame) -> DataFrame:
         .where((F.col("lo") == 0) & (F.col("hi") > 0))
         .select("qid", "jg", "docno", F.lit("zero and non-zero level in a group").alias("problem"))
     )
-    return two.unionByName(zero)
+    cyclic = cyclic_docs(prefs).select("qid", "jg", "docno", F.lit("in a cycle of preferences").alias("problem"))
+    return two.unionByName(zero).unionByName(cyclic)
+
+
+def cyclic_docs(prefs: DataFrame) -> DataFrame:
+    """(qid, jg, docno) of documents on a cycle of preferences or on a way from one cycle to another.
+
+    The preference graph is peeled without making its edges: nothing is
+    preferred to a document that has the highest level left in every sub-group
+    where it is judged, and it is preferred to nothing if it has the lowest in
+    each.  Both kinds can't lie on a cycle and go; what stays when none goes is
+    the answer.  A round is two aggregations over the judgments left, and a
+    group of one sub-group, where no document has two levels, is never looked at.
+    """
+    from ranklens.session import checkpoint_dir
+
+    checkpoint_dir(prefs.sparkSession)
+    group, sub = ["qid", "jg"], ["qid", "jg", "jsg"]
+    rows = prefs.select(*sub, "docno", F.col("rel_level").cast("double").alias("level")).distinct()
+    judged = rows.groupBy(*group).agg(F.countDistinct("jsg").alias("n_sub"), F.count(F.lit(1)).alias("n"), F.countDistinct("docno").alias("n_docs"))
+    suspect = judged.where((F.col("n_sub") > 1) | (F.col("n") > F.col("n_docs"))).select(*group)
+    left = rows.join(suspect, group, "left_semi").checkpoint()
+    n = left.count()
+    while n:
+        ends = left.groupBy(*sub).agg(F.max("level").alias("hi"), F.min("level").alias("lo"))
+        docs = left.join(ends, sub).groupBy(*group, "docno").agg(F.min((F.col("level") == F.col("hi")).cast("int")).alias("top"), F.min((F.col("level") == F.col("lo")).cast("int")).alias("bottom"))
+        left = left.join(docs.where("top = 0 and bottom = 0").select(*group, "docno"), [*group, "docno"], "left_semi").checkpoint()
+        before, n = n, left.count()
+        if n == before:
+            break
+    return left.select(*group, "docno").distinct()
 
 
 # ------------------------------------------------------------------ edges and closure (several sub-groups)
@@ -130,12 +159,6 @@ def pref_closure(edges: DataFrame) -> DataFrame:
     return found
 
 
-def pref_cycles(closure: DataFrame) -> DataFrame:
-    """Pairs preferred both ways after closure (inconsistent judgments)."""
-    rev = closure.select("qid", "jg", F.col("b").alias("a"), F.col("a").alias("b"))
-    return closure.join(rev, ["qid", "jg", "a", "b"], "left_semi")
-
-
 # ------------------------------------------------------------------ counts per group
 
 

@@ -12,7 +12,7 @@ judgments add up to, is joined to the ranges, one row each, not to the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ranklens.operators.ordered import prefix_sums, range_of
@@ -99,12 +99,15 @@ def scan_ranked(
     judged_only_: bool = False,
     split_rows: int | None = None,
     topics: DataFrame | None = None,
+    faults: Observation | None = None,
 ) -> DataFrame:
     """The ranked lists of all judged topics with running sums, in one scan of the order.
 
     Columns: run_id, qid, docno, sim, rank, rel, bucket, the 0/1 columns of
     ``SUMS`` and their running sums, R and N (judged relevant and nonrelevant
     documents of the topic) and the columns of ``topics`` (one row a qid).
+    ``faults`` observes, among the rows of judged topics, documents that a list
+    or the judgments hold twice.
     """
     keys = ["run_id", "qid"]
     r = normalize_run(run).where("qid is not null")
@@ -112,8 +115,13 @@ def scan_ranked(
     rel = F.col("rel")
     kinds = {"is_rel": rel >= level, "jnr": (rel >= 0) & (rel < level), "unj": rel == REL_UNJUDGED, "jud": rel >= 0}
     r = attach_relevance(r, qrels).withColumns({"bucket": where, **{k: v.cast("int") for k, v in kinds.items()}})
+    own_rows = r
+    if faults is not None:  # dealt by (qid, docno) already
+        doc = Window.partitionBy("qid", "docno")
+        q_twice = qrels.select("qid", "docno").withColumn("in_qrels", F.count(F.lit(1)).over(doc)).distinct()
+        r = r.withColumn("in_list", F.count(F.lit(1)).over(Window.partitionBy("run_id", "qid", "docno"))).join(q_twice, ["qid", "docno"], "left")
     # the topics' judgments take part in the sums as a range of their own, so they need no join
-    own = r.select(*keys, "bucket", F.lit(1).alias("cnt"), *SUMS, F.lit(0).alias("R"), F.lit(0).alias("N"))
+    own = own_rows.select(*keys, "bucket", F.lit(1).alias("cnt"), *SUMS, F.lit(0).alias("R"), F.lit(0).alias("N"))
     zero = [F.lit(0).alias(c) for c in ("cnt", *SUMS)]
     q = qrels.select(F.lit(None).cast("string").alias("run_id"), F.col("qid").cast("string").alias("qid"), F.lit(-1).alias("bucket"), *zero, kinds["is_rel"].cast("int").alias("R"), kinds["jnr"].cast("int").alias("N"))
     sums = ["cnt", *SUMS]
@@ -129,6 +137,10 @@ def scan_ranked(
     inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumns({"rank": F.row_number().over(order), **{c: F.sum(k).over(inside) for k, c in SUMS.items()}})
     r = r.join(heads, [*keys, "bucket"])
+    if faults is not None:
+        judged_twice = F.col("in_qrels") > 1
+        counts = {"judged_twice": judged_twice, "ranked_twice": (F.col("in_list") > F.coalesce("in_qrels", F.lit(1)))}
+        r = r.observe(faults, *(F.count(F.when(v, 1)).alias(k) for k, v in counts.items())).drop("in_list", "in_qrels")
     r = r.withColumns({"rank": (F.col("rank") + F.col("off_cnt")).cast("long"), **{c: F.col(c) + F.col(f"off_{k}") for k, c in SUMS.items()}})
     r = max_docs(r.drop(*(f"off_{c}" for c in sums)), max_docs_)
     if judged_only_:  # every judged document counts one, so their running sum is the closed-up rank

@@ -7,13 +7,14 @@ number of runs is evaluated in the same job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ranklens.functions import catalog as C
 from ranklens.operators import measures as M
 from ranklens.operators import summary as S
 from ranklens.operators.ranked import build_ranked, scan_ranked
+from ranklens.session import checkpoint_dir
 
 
 def evaluate(
@@ -28,14 +29,19 @@ def evaluate(
     zref: DataFrame | None = None,
     num_docs_in_coll: int = 0,
     split_rows: int | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Scores ``(run_id, qid, measure, value double)``; summary rows have qid ``'all'``.
 
-    String measures (``runid``, ``relstring``) are left to :func:`evaluate_text`.
+    ``strict`` evaluates at once and raises ValueError when a run ranks a
+    document twice for a topic, the judgments hold a document twice, or run and
+    judgments have no topic in common; the rows that tell are counted while the
+    evaluation runs.  String measures (``runid``, ``relstring``) are left to :func:`evaluate_text`.
     """
     ms = C.expand(measures)
     curves = M.topic_curves(qrels, M.list_measures(ms))
-    ranked = scan_ranked(run, qrels, relevance_level, max_docs, judged_only, split_rows, curves)
+    faults = Observation() if strict else None
+    ranked = scan_ranked(run, qrels, relevance_level, max_docs, judged_only, split_rows, curves, faults)
     scores = M.per_topic(ranked, qrels, ms, relevance_level, num_docs_in_coll)
     names = [n for m in ms for n in m.names()]
     counted = next((n for m in M.list_measures(ms) for n in m.names()), None)
@@ -44,17 +50,30 @@ def evaluate(
         names = ["Z" + n for n in names]
         counted = counted and "Z" + counted
     judged = qrels.select("qid").distinct() if complete else None
-    return S.with_summary(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q", per_topic, counted)
+    out = S.with_summary(scores, names, judged, complete, "Znum_q" if zref is not None else "num_q", per_topic, counted)
+    return _checked(out, faults) if strict else out
+
+
+def _checked(scores: DataFrame, faults: Observation) -> DataFrame:
+    """The scores, evaluated and kept, unless the rows counted meanwhile show a fault."""
+    checkpoint_dir(scores.sparkSession)
+    scores = scores.checkpoint()
+    if scores.isEmpty():
+        raise ValueError("run and judgments have no topic in common")
+    seen = faults.get
+    if seen["judged_twice"]:
+        raise ValueError(f"judgments hold a document of a topic more than once ({seen['judged_twice']} retrieved documents)")
+    if seen["ranked_twice"]:
+        raise ValueError(f"a run ranks a document of a topic more than once ({seen['ranked_twice']} rows)")
+    return scores
 
 
 def evaluate_text(run: DataFrame, qrels: DataFrame, measures=None, max_docs=None, judged_only=False) -> DataFrame:
     """String measures: ``runid`` (summary row) and ``relstring`` (per topic)."""
-    ms = {m.name: m for m in C.expand(measures)}
+    ms = C.expand(measures)
     ranked = build_ranked(run, qrels, max_docs, judged_only)
-    parts = []
-    if "relstring" in ms:
-        parts.append(M.relstring(ranked, int(ms["relstring"].params), ms["relstring"].names()[0]))
-    if "runid" in ms:
+    parts = [M.relstring(ranked, int(m.params), m.names()[0]) for m in ms if m.name == "relstring"]
+    if any(m.name == "runid" for m in ms):
         parts.append(ranked.select("run_id").distinct().select("run_id", F.lit("all").alias("qid"), F.lit("runid").alias("measure"), F.col("run_id").alias("value")))
     if not parts:
         return ranked.sparkSession.createDataFrame([], "run_id string, qid string, measure string, value string")
@@ -93,10 +112,18 @@ def evaluate_prefs(
     max_docs: int | None = None,
     complete: bool = False,
     per_topic: bool = True,
+    strict: bool = False,
 ) -> DataFrame:
-    """Preference measures per topic and summarised (``prefs_num_*`` summed, the rest averaged)."""
-    from ranklens.operators.prefs import pref_measures
+    """Preference measures per topic and summarised (``prefs_num_*`` summed, the rest averaged).
+
+    ``strict`` raises ValueError on inconsistent preferences (``validate_prefs``) before evaluating.
+    """
+    from ranklens.operators.prefs import pref_measures, validate_prefs
 
+    if strict:
+        bad = validate_prefs(prefs).limit(1).collect()
+        if bad:
+            raise ValueError(f"inconsistent preferences: {bad[0].asDict()}")
     ms = [m for m in C.expand(measures) if m.name in C.PREF_MEASURES]
     scores = pref_measures(run, prefs, max_docs, ms)
     names = [n for m in ms for n in m.names()]

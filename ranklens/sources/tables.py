@@ -114,6 +114,15 @@ def multi_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preferences as their lines give them: sub-groups by quantity and by tax may contradict each other or themselves."""
+    li = table(spark, sf_dir, "lineitem")
+    tax_level = F.when(F.col("l_tax") >= 0.06, 2).when(F.col("l_tax") >= 0.03, 1).otherwise(0)
+    levels = {"quantity": F.floor(F.col("l_quantity") / 10), "tax": tax_level}
+    subs = F.array(*(F.struct(F.lit(k).alias("jsg"), v.cast("float").alias("rel_level")) for k, v in levels.items()))
+    return li.select(F.col("l_orderkey").cast("string").alias("qid"), F.lit("0").alias("jg"), F.col("l_suppkey").cast("string").alias("docno"), F.inline(subs))
+
+
 def qrels_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graded judgments read as preferences: assessor '0', one sub-group."""
     q = deep_qrels(spark, sf_dir).where(F.col("rel") >= 0)  # unjudged documents carry no preference
