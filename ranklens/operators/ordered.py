@@ -33,13 +33,16 @@ def _score_key(sim: float | None) -> tuple[int, float]:
     return (0, 0.0) if math.isnan(sim) else (1, -sim)
 
 
-def range_of(run: DataFrame, docno_desc: bool = True, rows: int | None = None) -> Column:
+def range_of(run: DataFrame, docno_desc: bool = True, rows: int | None = None, by: tuple[Column, ...] | None = None) -> Column:
     """The number of a row's range, for any DataFrame with run's columns run_id, qid, sim and docno.
 
     Counts and samples ``run`` at once.  ``rows``: rows of a range, about
-    (default: as many ranges as shuffle partitions).
+    (default: as many ranges as shuffle partitions).  ``by``: other columns in
+    the roles of these four, two strings, a number (descending) and a string.
     """
-    keys = run.select("run_id", "qid", F.col("sim").cast("double").alias("sim"), "docno")
+    run_id, qid, sim, docno = by or tuple(map(F.col, ("run_id", "qid", "sim", "docno")))
+    sim = sim.cast("double")
+    keys = run.select(run_id.alias("run_id"), qid.alias("qid"), sim.alias("sim"), docno.alias("docno"))
     n = keys.count()
     ranges = -(-n // rows) if rows else int(run.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n == 0 or ranges < 2:
@@ -56,9 +59,8 @@ def range_of(run: DataFrame, docno_desc: bool = True, rows: int | None = None) -
     if not listed:
         return F.lit(0)
     bounds = F.from_json(F.lit(json.dumps(listed)), _BOUNDS)
-    sim, docno = F.col("sim").cast("double"), F.col("docno")
     kind = F.when(sim.isNull(), 2).when(F.isnan(sim), 0).otherwise(1)
-    mine = F.struct(F.col("run_id"), F.col("qid"), kind.alias("kind"), F.when(kind == 1, -sim).otherwise(0.0).alias("s"))
+    mine = F.struct(run_id.alias("run_id"), qid.alias("qid"), kind.alias("kind"), F.when(kind == 1, -sim).otherwise(0.0).alias("s"))
 
     def reached(b: Column) -> Column:
         if docno_desc:  # nulls last

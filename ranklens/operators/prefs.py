@@ -12,10 +12,9 @@ preference x ≻ y is fulfilled when x is retrieved and comes before y.
 Two physical paths, chosen per group:
 
 * **one sub-group** (the common case, and every judgment file read as
-  preferences): counts come from per-level histograms and one running count
-  per (group, level threshold); no document pair is ever materialised.  A
-  document fans out once per distinct lower level of its group (bounded by
-  the number of relevance levels).
+  preferences): counts come from per-level histograms and from merge counting
+  inside ranges of positions and of levels; no document pair is ever
+  materialised, and rows stay linear however many levels there are.
 * **several sub-groups**: the preference relation is only defined through the
   closure, so its edges are materialised per group and closed by iterated
   joins (deduplicated every round, lineage cut by a checkpoint).  Groups of
@@ -28,10 +27,16 @@ need the per-pair count of groups agreeing; only those topics build pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklens.operators.ranked import normalize_run
+from ranklens.operators.ordered import prefix_sums, range_of
+from ranklens.operators.ranked import add_rank, normalize_run
 
 G = ["run_id", "qid", "jg"]
 
@@ -39,28 +44,43 @@ G = ["run_id", "qid", "jg"]
 # ------------------------------------------------------------------ positions
 
 
-def pref_positions(run: DataFrame, prefs: DataFrame, max_docs: int | None = None) -> DataFrame:
-    """(run_id, qid, docno, ret, pos): dense position of every judged document per topic."""
+def pref_positions(run: DataFrame, prefs: DataFrame, max_docs: int | None = None, split_rows: int | None = None) -> DataFrame:
+    """(run_id, qid, docno, ret, pos): dense position of every judged document per topic, kept as a table.
+
+    Both orders, that of the run and that of the judged documents, are dealt
+    in ranges (``ordered``), so a topic of any length is no single task.
+    """
+    from ranklens.session import checkpoint_dir
+
+    checkpoint_dir(prefs.sparkSession)
     r = normalize_run(run)
     judged = prefs.select("qid", "docno").distinct()
-    r = r.join(judged.select("qid").distinct(), "qid", "left_semi")
-    w = Window.partitionBy("run_id", "qid").orderBy(F.col("sim").desc(), F.col("docno"))
-    r = r.withColumn("rank", F.row_number().over(w))
+    r = r.join(judged.select("qid").distinct(), "qid", "left_semi").select("run_id", "qid", "docno", "sim")
+    r = add_rank(r, docno_desc=False, split_rows=split_rows)
     if max_docs is not None:
         r = r.where(F.col("rank") <= max_docs)
     runs_topics = r.select("run_id", "qid").distinct()
     docs = judged.join(runs_topics, "qid")  # judged documents of every (run, topic)
-    d = docs.join(r.select("run_id", "qid", "docno", "rank"), ["run_id", "qid", "docno"], "left")
-    d = d.withColumn("ret", F.col("rank").isNotNull())
-    wp = Window.partitionBy("run_id", "qid").orderBy(F.col("ret").desc(), F.col("rank"), F.col("docno"))
-    return d.withColumn("pos", (F.row_number().over(wp) - 1).cast("long")).drop("rank")
+    d = docs.join(r.select("run_id", "qid", "docno", "rank"), ["run_id", "qid", "docno"], "left").checkpoint()
+    # retrieved documents by rank, then the others (a null score is last) by docno
+    d = add_rank(d.select("run_id", "qid", "docno", F.col("rank").isNotNull().alias("ret"), (-F.col("rank")).cast("double").alias("sim")), docno_desc=False, split_rows=split_rows)
+    return d.select("run_id", "qid", "docno", "ret", (F.col("rank") - 1).alias("pos")).checkpoint()
 
 
-def _group_docs(prefs: DataFrame, pos: DataFrame) -> DataFrame:
-    """(run_id, qid, jg, docno, lvl, ret, pos, nsub) — one row per document of a group."""
+def _group_docs(prefs: DataFrame, pos: DataFrame, split_rows: int | None = None) -> DataFrame:
+    """(run_id, qid, jg, docno, lvl, ret, pos, nsub, pr, lr), one row per document of a group, kept as a table.
+
+    ``pr`` and ``lr`` number the row's range in the order of positions and in
+    that of (level, position) of all groups: most groups lie in one range of
+    each, a large group in several.
+    """
     nsub = prefs.groupBy("qid", "jg").agg(F.countDistinct("jsg").alias("nsub"))
     docs = prefs.groupBy("qid", "jg", "docno").agg(F.max("rel_level").cast("double").alias("lvl"))
-    return docs.join(nsub, ["qid", "jg"]).join(pos, ["qid", "docno"])
+    gd = docs.join(nsub, ["qid", "jg"]).join(pos, ["qid", "docno"]).checkpoint()
+    group = F.concat(F.col("qid"), F.lit("\x01"), F.col("jg"))
+    by_pos = range_of(gd, False, split_rows, (F.col("run_id"), group, -F.col("pos"), F.lit("")))
+    by_level = range_of(gd, False, split_rows, (F.col("run_id"), group, -F.col("lvl"), F.lpad(F.col("pos").cast("string"), 19, "0")))
+    return gd.withColumns({"pr": by_pos, "lr": by_level}).checkpoint()
 
 
 # ------------------------------------------------------------------ validation
@@ -162,14 +182,113 @@ def pref_closure(edges: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ counts per group
 
 
+def _larger_before(segment: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """For each row, in order of segments and places: how many earlier rows of its segment have a larger level.
+
+    Merge counting, all segments at once: two rows of a segment are compared
+    at the one bit of their places where they part, left half with right half.
+    """
+    n = len(level)
+    out = np.zeros(n, np.int64)
+    if not n:
+        return out
+    starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+    lengths = np.diff(np.r_[starts, n])
+    place = np.arange(n) - np.repeat(starts, lengths)
+    number = np.repeat(np.arange(len(starts)), lengths)
+    for bit in range(int(lengths.max() - 1).bit_length()):
+        half = place >> bit
+        left = (half & 1) == 0
+        order = np.lexsort((left, -level, half >> 1, number))  # equal levels: the right half first
+        sorted_left = left[order]
+        seen = np.cumsum(sorted_left) - sorted_left
+        fresh = np.r_[True, (number[order][1:] != number[order][:-1]) | ((half[order] >> 1)[1:] != (half[order] >> 1)[:-1])]
+        base = np.maximum.accumulate(np.where(fresh, seen, 0))
+        out[order] += np.where(sorted_left, 0, seen - base)
+    return out
+
+
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run_id, qid, jg, ful, ful_rel) of each segment of rows sorted by (run_id, qid, jg, seg) and place."""
+    names = ["run_id", "qid", "jg", "seg", "lvl"]
+
+    def counted(table: pa.Table) -> pa.RecordBatch:
+        keys = [table[c].cast(pa.string()) for c in names[:4]]
+        codes = [k.combine_chunks().dictionary_encode().indices.to_numpy() for k in keys]
+        fresh = np.zeros(table.num_rows, bool)
+        fresh[0] = True
+        for c in codes:
+            fresh[1:] |= c[1:] != c[:-1]
+        segment = np.cumsum(fresh) - 1
+        level = table["lvl"].to_numpy()
+        more = _larger_before(segment, level)
+        ful = np.zeros(segment[-1] + 1, np.int64)
+        rel = ful.copy()
+        np.add.at(ful, segment, more)
+        np.add.at(rel, segment, np.where(level > 0, more, 0))
+        heads = table.take(pa.array(np.flatnonzero(fresh))).combine_chunks()
+        return pa.RecordBatch.from_arrays([*(heads[c].combine_chunks() for c in names[:3]), pa.array(ful), pa.array(rel)], [*names[:3], "ful", "ful_rel"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and any(batch.column(c)[0] != held[-1].column(c)[held[-1].num_rows - 1] for c in names[:4]):
+            yield counted(pa.Table.from_batches(held))
+            held = []
+        # the batch's last segment may go on in the next batch, all before it is whole
+        ends = np.ones(batch.num_rows, bool)
+        for c in names[:4]:
+            ends &= pc.equal(batch.column(c), batch.column(c)[batch.num_rows - 1]).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(~ends)
+        if len(other):
+            cut = int(other[-1]) + 1
+            yield counted(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield counted(pa.Table.from_batches(held))
+
+
+def _local(rows: DataFrame, seg: str, order: list[str]) -> DataFrame:
+    """Fulfilled pairs inside each (group, range)."""
+    dealt = rows.select(*G, F.col(seg).cast("int").alias("seg"), "pos", "pr", "lvl").repartition(*G, "seg").sortWithinPartitions(*G, "seg", *order)
+    return dealt.select(*G, "seg", "lvl").mapInArrow(_crossed, "run_id string, qid string, jg string, ful long, ful_rel long")
+
+
+def _fulfilled(ret: DataFrame) -> DataFrame:
+    """(group, ful_ret, ful_ret_rel): retrieved pairs in the order of their levels, and those whose lower one is relevant.
+
+    Two documents of a group meet once: in one range of positions (counted
+    there), else in one range of levels (counted there, pairs of one range of
+    positions never count), else through the table of their ranges, where the
+    documents of all earlier position ranges and higher level ranges add up.
+    """
+    parts = [_local(ret, "pr", ["pos"])]
+    spread = ret.groupBy(*G).agg(F.min("pr").alias("a"), F.max("pr").alias("b")).where("a < b").select(*G)  # one group a boundary at most
+    wide = ret.join(spread, G, "left_semi")
+    parts.append(_local(wide, "lr", ["pr", "lvl"]))
+    cells = wide.groupBy(*G, "pr", "lr").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("lvl") > 0).cast("long")).alias("n_rel"))
+    grid = cells.select(*G, "pr").distinct().join(cells.select(*G, "lr").distinct(), G).join(cells, [*G, "pr", "lr"], "left").fillna(0, ["n", "n_rel"])
+    earlier = Window.partitionBy(*G, "lr").orderBy("pr").rowsBetween(Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*G, "pr").orderBy(F.desc("lr")).rowsBetween(Window.unboundedPreceding, -1)
+    grid = grid.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("above", F.coalesce(F.sum("before").over(higher), F.lit(0)))
+    parts.append(grid.select(*G, (F.col("n") * F.col("above")).alias("ful"), (F.col("n_rel") * F.col("above")).alias("ful_rel")))
+    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return union.groupBy(*G).agg(F.sum("ful").alias("ful_ret"), F.sum("ful_rel").alias("ful_ret_rel"))
+
+
 def _level_counts(gd: DataFrame) -> DataFrame:
     """Counts for one-sub-group groups without materialising pairs."""
     lv = gd.groupBy(*G, "lvl").agg(
-        F.sum(F.col("ret").cast("long")).alias("r_l"), F.sum((~F.col("ret")).cast("long")).alias("u_l")
+        F.sum(F.col("ret").cast("long")).alias("r_l"), F.sum((~F.col("ret")).cast("long")).alias("u_l"), (-F.min("lr")).alias("bucket")
     )
-    wl = Window.partitionBy(*G).orderBy(F.col("lvl").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    lv = lv.withColumn("R_above", F.coalesce(F.sum("r_l").over(wl), F.lit(0)))
-    lv = lv.withColumn("U_above", F.coalesce(F.sum("u_l").over(wl), F.lit(0)))
+    # documents of higher levels: inside the level's range, and in the ranges of higher levels
+    w = Window.partitionBy(*G, "bucket").orderBy(F.col("lvl").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lv = lv.withColumns({"R_in": F.coalesce(F.sum("r_l").over(w), F.lit(0)), "U_in": F.coalesce(F.sum("u_l").over(w), F.lit(0))})
+    heads = prefix_sums(lv.groupBy(*G, "bucket").agg(F.sum("r_l").alias("r"), F.sum("u_l").alias("u")), G, ["r", "u"]).drop("r", "u")
+    lv = lv.join(heads, [*G, "bucket"]).withColumns({"R_above": F.col("R_in") + F.col("off_r"), "U_above": F.col("U_in") + F.col("off_u")})
     rel = F.col("lvl") > 0
     base = lv.groupBy(*G).agg(
         F.sum(F.col("r_l") * F.col("R_above")).alias("poss_ret"),
@@ -180,30 +299,32 @@ def _level_counts(gd: DataFrame) -> DataFrame:
         F.sum(F.when(rel, (F.col("r_l") + F.col("u_l")) * (F.col("R_above") + F.col("U_above")))).alias("poss_rel"),
         F.sum(F.when(rel, F.col("u_l") * F.col("R_above"))).alias("ful_imp_rel"),
     )
-    # fulfilled among retrieved: for every level threshold t, the retrieved docs above t
-    # that come before each retrieved doc at t (one running count per (group, t))
-    levels = gd.groupBy(*G).agg(F.collect_set("lvl").alias("levels"))  # bounded by the number of levels
-    ret = gd.where(F.col("ret")).join(levels, G)
-    ex = ret.select(*G, "pos", "lvl", F.explode(F.filter("levels", lambda t: t <= F.col("lvl"))).alias("t"))
-    wt = Window.partitionBy(*G, "t").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    ex = ex.withColumn("above_before", F.coalesce(F.sum((F.col("lvl") > F.col("t")).cast("long")).over(wt), F.lit(0)))
-    at = ex.where(F.col("lvl") == F.col("t"))
-    ful = at.groupBy(*G).agg(
-        F.sum("above_before").alias("ful_ret"), F.sum(F.when(F.col("t") > 0, F.col("above_before"))).alias("ful_ret_rel")
-    )
-    out = base.join(ful, G, "left")
+    out = base.join(_fulfilled(gd.where(F.col("ret"))), G, "left")
     return out.fillna(0, ["ful_ret", "ful_ret_rel", "poss_ret_rel", "poss_rel", "ful_imp_rel"])
 
 
+def _doc_rows(gd: DataFrame) -> DataFrame:
+    """The documents with running counts along their group's positions and its totals of relevant documents."""
+    marks = {"is_ret": F.col("ret"), "nonrel": F.col("lvl") == 0, "ret_nonrel": (F.col("lvl") == 0) & F.col("ret")}
+    totals = {"n_rel": F.col("lvl") > 0, "n_rel_ret": (F.col("lvl") > 0) & F.col("ret")}
+    d = gd.withColumns({k: v.cast("long") for k, v in marks.items()})
+    heads = d.groupBy(*G, "pr").agg(*(F.sum(k).alias(k) for k in marks), *(F.sum(v.cast("long")).alias(k) for k, v in totals.items()))
+    heads = prefix_sums(heads, G, list(marks), "pr")
+    heads = heads.select(*G, "pr", *(f"off_{k}" for k in marks), *(F.sum(k).over(Window.partitionBy(*G)).alias(k) for k in totals))
+    w = Window.partitionBy(*G, "pr").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({f"c_{k}": F.sum(k).over(w) for k in marks}).join(heads, [*G, "pr"])
+    running = {k: F.col(f"c_{k}") + F.col(f"off_{k}") for k in marks}
+    return d.withColumns({
+        "ret_before": running["is_ret"] - F.col("is_ret"),
+        "nonrel_idx": F.when(F.col("nonrel") == 1, running["nonrel"]),
+        "ret_nonrel_idx": F.when(F.col("ret_nonrel") == 1, running["ret_nonrel"]),
+    })
+
+
 def _doc_counts(gd: DataFrame) -> DataFrame:
     """num_rel / num_nonrel (and retrieved versions) plus the recount terms of the Rnonrel measures."""
-    w = Window.partitionBy(*G).orderBy("pos")
     nonrel = F.col("lvl") == 0
-    d = gd.withColumn("ret_before", F.coalesce(F.sum(F.col("ret").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.withColumn("nonrel_idx", F.when(nonrel, F.sum(nonrel.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    d = d.withColumn("n_rel", F.sum((F.col("lvl") > 0).cast("long")).over(Window.partitionBy(*G)))
-    d = d.withColumn("n_rel_ret", F.sum(((F.col("lvl") > 0) & F.col("ret")).cast("long")).over(Window.partitionBy(*G)))
-    return d.groupBy(*G).agg(
+    return _doc_rows(gd).groupBy(*G).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum(F.col("ret").cast("long")).alias("n_ret"),
         F.max("n_rel").alias("num_rel"),
@@ -220,29 +341,28 @@ def _doc_counts(gd: DataFrame) -> DataFrame:
 
 def _edge_counts(closure: DataFrame, gd: DataFrame) -> DataFrame:
     """Counts of groups with several sub-groups from their closed edge set."""
-    d = gd.select(*G, "docno", "lvl", "ret", "pos")
-    a = d.select(*G, F.col("docno").alias("a"), F.col("ret").alias("ra"), F.col("pos").alias("pa"), F.col("lvl").alias("la"))
-    b = d.select(*G, F.col("docno").alias("b"), F.col("ret").alias("rb"), F.col("pos").alias("pb"), F.col("lvl").alias("lb"))
-    e = closure.join(a, ["qid", "jg", "a"]).join(b, ["run_id", "qid", "jg", "b"])
-    ful = F.col("ra") & (F.col("pa") < F.col("pb"))
-    both = F.col("ra") & F.col("rb")
-    one = F.col("ra") != F.col("rb")
     # Rnonrel recount: nonrelevant documents beyond the first num_rel (by position) are dropped
-    w = Window.partitionBy(*G).orderBy("pos")
-    nr = gd.withColumn("n_rel", F.sum((F.col("lvl") > 0).cast("long")).over(Window.partitionBy(*G)))
-    nr = nr.withColumn("nonrel_idx", F.when(F.col("lvl") == 0, F.sum((F.col("lvl") == 0).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    nr = nr.withColumn("ret_nonrel_idx", F.when((F.col("lvl") == 0) & F.col("ret"), F.sum(((F.col("lvl") == 0) & F.col("ret")).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    drop = nr.select(*G, "docno", (F.col("nonrel_idx") > F.col("n_rel")).alias("drop_all"), (F.col("ret_nonrel_idx") > F.col("n_rel")).alias("drop_ret"))
-    e = e.join(drop.select(*G, F.col("docno").alias("a"), F.col("drop_all").alias("da"), F.col("drop_ret").alias("dra")), G + ["a"], "left")
-    e = e.join(drop.select(*G, F.col("docno").alias("b"), F.col("drop_all").alias("db"), F.col("drop_ret").alias("drb")), G + ["b"], "left")
-    keep = ~F.coalesce(F.col("da"), F.lit(False)) & ~F.coalesce(F.col("db"), F.lit(False))
-    keep_r = ~F.coalesce(F.col("dra"), F.lit(False)) & ~F.coalesce(F.col("drb"), F.lit(False))
+    d = _doc_rows(gd).select(
+        *G, "docno", "ret", "pos",
+        F.coalesce(F.col("nonrel_idx") > F.col("n_rel"), F.lit(False)).alias("drop_all"),
+        F.coalesce(F.col("ret_nonrel_idx") > F.col("n_rel"), F.lit(False)).alias("drop_ret"),
+    )
+
+    def side(x: str) -> DataFrame:
+        return d.select(*G, F.col("docno").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("ret", "pos", "drop_all", "drop_ret")))
+
+    e = closure.join(side("a"), ["qid", "jg", "a"]).join(side("b"), [*G, "b"])
+    ful = F.col("ret_a") & (F.col("pos_a") < F.col("pos_b"))
+    both = F.col("ret_a") & F.col("ret_b")
+    one = F.col("ret_a") != F.col("ret_b")
+    keep = ~F.col("drop_all_a") & ~F.col("drop_all_b")
+    keep_r = ~F.col("drop_ret_a") & ~F.col("drop_ret_b")
     return e.groupBy(*G).agg(
         F.sum(both.cast("long")).alias("poss_ret"),
         F.sum((both & ful).cast("long")).alias("ful_ret"),
         F.sum(one.cast("long")).alias("poss_imp"),
-        F.sum((one & F.col("ra")).cast("long")).alias("ful_imp"),
-        F.sum((~F.col("ra") & ~F.col("rb")).cast("long")).alias("poss_notoccur"),
+        F.sum((one & F.col("ret_a")).cast("long")).alias("ful_imp"),
+        F.sum((~F.col("ret_a") & ~F.col("ret_b")).cast("long")).alias("poss_notoccur"),
         F.sum(keep.cast("long")).alias("rc_poss"),
         F.sum((keep & ful).cast("long")).alias("rc_ful"),
         F.sum((keep_r & both).cast("long")).alias("rcr_poss"),
@@ -251,11 +371,12 @@ def _edge_counts(closure: DataFrame, gd: DataFrame) -> DataFrame:
 
 
 def pref_counts(
-    run: DataFrame, prefs: DataFrame, max_docs: int | None = None, closure: DataFrame | None = None, pos: DataFrame | None = None
+    run: DataFrame, prefs: DataFrame, max_docs: int | None = None, closure: DataFrame | None = None, pos: DataFrame | None = None,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Per (run_id, qid, jg): fulfilled / possible preferences by class and the Rnonrel recounts."""
-    pos = pref_positions(run, prefs, max_docs) if pos is None else pos
-    gd = _group_docs(prefs, pos)
+    pos = pref_positions(run, prefs, max_docs, split_rows) if pos is None else pos
+    gd = _group_docs(prefs, pos, split_rows)
     one = gd.where(F.col("nsub") == 1)
     multi = gd.where(F.col("nsub") > 1)
     dc = _doc_counts(gd)
