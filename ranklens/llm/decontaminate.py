@@ -22,6 +22,8 @@ id are told apart by their texts.  Only ids and texts are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from ranklens.llm.shared import written
 #: Bytes of item windows that may be broadcast; beyond, both sides are shuffled.
 BROADCAST_BYTES = 64 << 20
 _WINDOW_BYTES = 64
+#: Longs of the bitmap of the items' first words (a power of two): 512 KB, whatever the items.
+FILTER_WORDS = 1 << 16
 _NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002"
 #: Fixed values.
 UNITS = "mm cm m km in ft yd mi miles meters metres kilometers kilometres feet inches mg g kg lb lbs oz ton tons grams kilograms pounds ml l liters litres gallons s sec min h hr hours minutes seconds days weeks months years mph kmh kw w v a hz usd eur dollars euros cents percent degrees"
@@ -73,34 +77,82 @@ def _value(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
-def _key(words: Column | str, at: Column, size: Column | int, plain: bool) -> Column:
-    part = F.slice(words, at + 1, size)
-    return F.xxhash64(part, F.lit(1)) if plain else F.xxhash64(part)
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, whatever number of times it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _grams(words: Column, size: int) -> Column:
+    """A number for ``size`` words (a power of two) from every place on: each pass joins two neighbours of the pass before."""
+    if size == 1:
+        return F.transform(words, lambda w: F.xxhash64(w))
+    half = size // 2
+    return _with(_grams(words, half), lambda g: F.transform(g, lambda x, i: F.xxhash64(x, F.get(g, i + half))))
+
+
+def _key(grams: Column, at: Column, size: int, gram: int, plain: bool) -> Column:
+    """A number for ``size`` words: that of the grams that cover them."""
+    places = sorted({*range(0, size - gram + 1, gram), size - gram})
+    return F.xxhash64(F.lit(plain), *(F.get(grams, at + p) for p in places))
+
+
+def _word(key: Column) -> Column:
+    return F.shiftright(key, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int")
+
 
+def _bitmap(keys: DataFrame) -> Column:
+    """``FILTER_WORDS`` longs with a bit for every ``key``, as a scalar subquery."""
+    bits = keys.groupBy(_word(F.col("key")).cast("long").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits"))
+    every = keys.sparkSession.range(0, FILTER_WORDS, 1, 8).join(bits, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", "bits"))).getField("bits").alias("bits")).scalar()
 
-def _windows(words: str, size: int, plain: bool) -> Column:
-    """(size, doc_pos, key) of every window of this size."""
-    n = F.size(words) - size
-    places = F.when(n >= 0, F.sequence(F.lit(0), F.greatest(n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.alias("doc_pos"), _key(words, i, size, plain).alias("key")))
+
+def _places(n: Column) -> Column:
+    return F.when(n >= 0, F.sequence(F.lit(0), F.greatest(n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+
+def _one(value: Column, name: str) -> Column:
+    """A column of its own: without the one-element array a plan holds the expression wherever it is used."""
+    return F.explode(F.array(value)).alias(name)
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = 8, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(id, th, item, ith, pos, doc_pos, size, plain): windows of documents that equal one of an item, in plain form or only in the canonical one."""
+    """(id, th, item, ith, pos, doc_pos, size, plain, doc_words): windows of documents that equal one of an item, in plain form or only in the canonical one.
+
+    A window is made a row only if the bit of its first words is set among
+    those of the items (a bitmap of fixed size; the join is exact), and such
+    rows carry their raw words, so no text is read again.
+    """
+    low = min(least, window)
+    gram = 1 << (max(low, 1).bit_length() - 1)
     given = items.select(F.col(item_col).alias("item"), F.xxhash64("text").alias("ith"), canonical_words(F.col("text")).alias("words"), plain_words(F.col("text")).alias("plain")).distinct().where(F.size("words") >= least)
-    given = given.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    own = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("size")), lambda i: F.array(F.struct(F.lit(False).alias("plain"), _key("words", i, F.col("size"), False).alias("key")), F.struct(F.lit(True).alias("plain"), _key("plain", i, F.col("size"), True).alias("key"))))
+    given = given.select("item", "ith", F.least(F.size("words"), F.lit(window)).alias("size"), F.size("words").alias("n"), _one(F.struct(_grams(F.col("words"), gram).alias("words"), _grams(F.col("plain"), gram).alias("plain")), "g")).select("item", "ith", "size", "n", "g.*")
+    forms = (("words", False), ("plain", True))
+    own_key = lambda c, i, plain: F.coalesce(*(F.when(F.col("size") == s, _key(F.col(c), i, s, gram, plain)) for s in range(low, window + 1)))
+    own = F.transform(_places(F.col("n") - F.col("size")), lambda i: F.array(*(F.struct(F.lit(plain).alias("plain"), own_key(c, i, plain).alias("key"), F.get(c, i).alias("head")) for c, plain in forms)))
     wins = given.select("item", "ith", "size", F.posexplode(own).alias("pos", "both"))
     wins = written(wins.select("item", "ith", "size", "pos", F.explode("both").alias("w")).select("item", "ith", "size", "pos", "w.*"), "item-windows")
     sizes = [r.size_ for r in wins.select(F.col("size").alias("size_")).distinct().collect()]  # at most window - least + 1 numbers
-    side = F.broadcast(wins) if wins.count() * _WINDOW_BYTES <= BROADCAST_BYTES else wins
-    # the one-element array keeps the words a column of their own: otherwise the plan holds their expression several times
+    side = F.broadcast(wins.drop("head")) if wins.count() * _WINDOW_BYTES <= BROADCAST_BYTES else wins.drop("head")
     text = F.col(text_col).cast("string")
-    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.explode(F.array(F.struct(canonical_words(text).alias("words"), plain_words(text).alias("plain")))).alias("t")).select("id", "th", "t.*")
-    every = [_windows(words, size, words == "plain") for size in sorted(sizes) for words in ("words", "plain")]
-    keyed = src.select("id", "th", F.explode(F.concat(F.array().cast("array<struct<size:int,doc_pos:int,key:bigint>>"), *every)).alias("w"))
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), text.alias("text"), _bitmap(wins.select(F.col("head").alias("key"))).alias("bits"))
+
+    def found_in(words: Column, plain: bool) -> Column:
+        """(size, doc_pos, key) of the windows whose first words may begin a window of an item."""
+
+        def of(g: Column) -> Column:
+            known = lambda i: F.getbit(F.get("bits", _word(F.get(g, i))), F.get(g, i).bitwiseAND(F.lit(63)).cast("int")) == 1
+            sized = lambda size: F.transform(F.filter(_places(F.size(g) - size), known), lambda i: F.struct(F.lit(size).alias("size"), i.alias("doc_pos"), _key(g, i, size, gram, plain).alias("key")))
+            return F.concat(F.array().cast("array<struct<size:int,doc_pos:int,key:bigint>>"), *(sized(size) for size in sorted(sizes)))
+
+        return _with(_grams(words, gram), of)
+
+    both = F.concat(found_in(canonical_words(F.col("text")), False), found_in(plain_words(F.col("text")), True))
+    held = src.select("id", "th", "text", _one(both, "w")).where(F.size("w") > 0)
+    held = held.select("id", "th", "w", _one(raw_words(F.col("text")), "raw"))
+    keyed = held.select("id", "th", F.explode(F.transform("w", lambda w: F.struct(w["size"].alias("size"), w["doc_pos"].alias("doc_pos"), w["key"].alias("key"), F.slice("raw", w["doc_pos"] + 1, w["size"]).alias("doc_words")))).alias("w"))
     found = keyed.select("id", "th", "w.*").join(side, ["key", "size"])
-    return found.groupBy("id", "th", "item", "ith", "pos", "doc_pos", "size").agg(F.max("plain").alias("plain"))
+    return found.groupBy("id", "th", "item", "ith", "pos", "doc_pos", "size").agg(F.max("plain").alias("plain"), F.first("doc_words").alias("doc_words"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", run: int = 13) -> DataFrame:
@@ -118,15 +170,10 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: floa
     slot = F.filter(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get(F.col("words"), F.col("pos") + k).rlike(f"[{_NAME}-{_UNIT}]"))
     items_ = given.select(F.col("item").alias("i"), F.col("ith").alias("it"), "words", "raw")
     slots = near.join(items_, (F.col("item").eqNullSafe(F.col("i"))) & (F.col("ith").eqNullSafe(F.col("it")))).withColumn("slots", slot)
-    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", "size", "plain", F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), (F.col("doc_pos") + k).alias("doc_at"), _value(F.get(F.col("raw"), F.col("pos") + k)).alias("value"))).alias("slots")), "slots")
-    pairs = slots.select("id", "th", "item", "ith", (F.col("doc_pos") - F.col("pos")).alias("off"), F.explode("slots").alias("s")).distinct()
-    texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
-    needed = pairs.groupBy("id", "th").agg(F.collect_set("s.doc_at").alias("ats"))
-    values = texts.join(needed, F.col("i").eqNullSafe(F.col("id")) & F.col("t").eqNullSafe(F.col("th"))).select("id", "th", "ats", raw_words(F.col("text")).alias("raw"))
-    values = values.select("id", "th", F.explode("ats").alias("doc_at"), "raw").select("id", "th", "doc_at", _value(F.get("raw", F.col("doc_at"))).alias("doc_value")).distinct()
-    flat = pairs.select("id", "th", "item", "ith", "off", F.col("s.at").alias("at"), F.col("s.doc_at").alias("doc_at"), F.col("s.value").alias("value"))
-    v = values.select(F.col("id").alias("vi"), F.col("th").alias("vt"), F.col("doc_at").alias("va"), "doc_value")
-    held = flat.join(v, F.col("id").eqNullSafe(F.col("vi")) & (F.col("th") == F.col("vt")) & (F.col("doc_at") == F.col("va")))
+    both = F.transform("slots", lambda k: F.struct((F.col("pos") + k).alias("at"), _value(F.get(F.col("raw"), F.col("pos") + k)).alias("value"), _value(F.get("doc_words", k)).alias("doc_value")))
+    slots = written(slots.select(*keys, "n_windows", "pos", "doc_pos", "size", "plain", both.alias("slots")), "slots")
+    pairs = slots.select(*keys, (F.col("doc_pos") - F.col("pos")).alias("off"), F.explode("slots").alias("s")).distinct()
+    held = pairs.select(*keys, "off", "s.*")
     votes = held.groupBy(*keys, "off", "value", "doc_value").agg(F.struct(F.count(F.lit(1)), F.max(F.col("doc_value") == F.col("value")), -F.min("at"), "doc_value").alias("vote"), F.collect_list("at").alias("ats"))
     against = votes.withColumn("best", F.max("vote").over(Window.partitionBy(*keys, "off", "value"))).where(F.col("vote") != F.col("best"))
     clash = against.groupBy(*keys, "off").agg(F.flatten(F.collect_list("ats")).alias("wrong"))
@@ -143,5 +190,7 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 8, share: floa
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 8, share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without the contaminated ones."""
-    bad = contaminated(docs, items, window, share, id_col=id_col, text_col=text_col).select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__th")), "left_anti")
+    bad = contaminated(docs, items, window, share, id_col=id_col, text_col=text_col).select("id", "th").distinct()
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th")).alias("own"), F.struct("*").alias("row"))
+    left = rows.join(bad, F.col("own.id").eqNullSafe(F.col("id")) & (F.col("own.th") == F.col("th")), "left_anti")
+    return left.select("row.*")
