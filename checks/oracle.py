@@ -471,6 +471,24 @@ def hits_sql(method: str, k: int = 10) -> str:
 SELECT qid, docno, method, round(score, 6) AS score, rank FROM top_{method} WHERE rank <= {k}"""
 
 
+BACKGROUND = {
+    "lm_jm": "0.9 * tf / dlen + (1.0 - 0.9) * CAST(ctf AS DOUBLE) / sum_tf",
+    "lm_dirichlet": "(tf + 1000.0 * ctf / sum_tf) / (dlen + 1000.0)",
+}
+
+
+def background_sql(method: str, k: int = 10) -> str:
+    """Every document with a query term against every query term of the collection."""
+    return f"""WITH {TEXT_CTE},
+cand AS (SELECT DISTINCT qid, docno, dlen FROM m),
+allt AS (SELECT c.qid, c.docno, c.dlen, q.term, q.qtf, ts.ctf, cs.sum_tf, coalesce(p.tf, 0) AS tf
+         FROM cand c JOIN qt q ON q.qid = c.qid JOIN ts ON ts.term = q.term CROSS JOIN cs
+         LEFT JOIN post p ON p.term = q.term AND p.docno = c.docno),
+sc AS (SELECT qid, docno, sum(qtf * log10({BACKGROUND[method]})) AS score FROM allt GROUP BY qid, docno),
+top AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, docno) AS rank FROM sc)
+SELECT qid, docno, '{method}' AS method, round(score, 6) AS score, rank FROM top WHERE rank <= {k}"""
+
+
 FEATURE_METHODS = ("bnn_bnn", "lnc_ltn", "lm_laplace", "lm_jm", "lm_dirichlet")
 
 

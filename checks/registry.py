@@ -346,6 +346,17 @@ for _meth, _key in [("bnn_bnn", "score_bnn_bnn"), ("lnc_ltn", "score_lnc_ltn"),
     register(_key, O.hits_sql(_meth))(_score_query(_meth))
 
 
+def _background_query(method):
+    def q(spark, sf):
+        return _r6(SC.score(method, T.topics(spark, sf), T.corpus(spark, sf), background=True), "score")
+
+    return q
+
+
+for _meth in ("lm_jm", "lm_dirichlet"):
+    register(f"score_{_meth}_background", O.background_sql(_meth))(_background_query(_meth))
+
+
 @register("topk_per_query", O.hits_sql("raw_tf", k=3))
 def q_topk_per_query(spark, sf):
     corpus = T.corpus(spark, sf)

@@ -17,6 +17,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklens.functions.exact import exact_total
+
 # fixed values: coordinate-ascent parameters of the recorded learner runs
 RESTARTS = 5
 MAX_ITERATIONS = 25
@@ -27,25 +29,20 @@ TOLERANCE = 0.001
 # fixed values: weights of the recorded five-feature model
 MODEL_WEIGHTS_5 = (0.7577692523343371, -0.005301593468447657, 0.15936974110041052, 0.006847577972692485, 0.07071183512411222)
 
-ORDER_DECIMALS = 9
-
 
 def feature_cols(df: DataFrame) -> list[str]:
     return sorted([c for c in df.columns if c.startswith("f") and c[1:].isdigit()], key=lambda c: int(c[1:]))
 
 
 def _dot(weights, cols) -> Column:
-    e = F.lit(0.0)
-    for w, c in zip(weights, cols):
-        e = e + F.lit(float(w)) * F.col(c).cast("double")
-    return e
+    return exact_total(F.array(*(F.lit(float(w)) * F.col(c).cast("double") for w, c in zip(weights, cols))))
 
 
 def linear_rerank(features: DataFrame, weights, k: int | None = None) -> DataFrame:
-    """score = Σ wᵢ·fᵢ, ranked per query (score desc, docno asc)."""
+    """score = Σ wᵢ·fᵢ, ranked per query (score desc, docno asc); equal sums tie, whatever the order of their terms."""
     cols = feature_cols(features)
     sc = features.withColumn("score", _dot(weights, cols))
-    w = Window.partitionBy("qid").orderBy(F.round("score", ORDER_DECIMALS).desc(), F.col("docno"))
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("docno"))
     out = sc.withColumn("rank", F.row_number().over(w).cast("long"))
     return out if k is None else out.where(F.col("rank") <= k)
 
@@ -75,9 +72,9 @@ def _score_candidates(features: DataFrame, cands: list[list[float]]) -> list[flo
     x = features.select(
         "qid", "docno", "label", F.array(*[F.col(c).cast("double") for c in cols]).alias("fv"), F.posexplode(arr).alias("cid", "w")
     )
-    score = F.aggregate(F.zip_with(F.col("w"), F.col("fv"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    score = exact_total(F.zip_with(F.col("w"), F.col("fv"), lambda a, b: a * b))
     x = x.select("qid", "docno", "label", "cid", score.alias("score"))
-    w = Window.partitionBy("cid", "qid").orderBy(F.round("score", ORDER_DECIMALS).desc(), F.col("docno"))
+    w = Window.partitionBy("cid", "qid").orderBy(F.col("score").desc(), F.col("docno"))
     x = x.withColumn("rank", F.row_number().over(w))
     ap = average_precision(x, keys=("cid", "qid"))
     res = {r["cid"]: r["map"] for r in ap.groupBy("cid").agg(F.avg("ap").alias("map")).collect()}

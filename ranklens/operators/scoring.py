@@ -102,7 +102,7 @@ def topk_per_query(scores: DataFrame, k: int = TOP_K, method: str | None = None)
     return out
 
 
-def _term_scores(method: str, mode: str = "literal", background: bool = False) -> tuple[Column, str]:
+def _term_scores(method: str, mode: str = "literal") -> tuple[Column, str]:
     """Per (term, doc) score column of one occurrence of the term and how scores combine per document."""
     tf = F.col("tf").cast("double")
     if method == "bnn_bnn":
@@ -132,6 +132,33 @@ def _term_scores(method: str, mode: str = "literal", background: bool = False) -
     raise ValueError(f"unknown method {method}")
 
 
+def _background(method: str) -> Column:
+    """The smoothed mass that a term has in a document without it (Dirichlet: times |d| + mu)."""
+    share = F.col("ctf").cast("double") / F.col("sum_tf").cast("double")
+    if method == "lm_jm":
+        return (1.0 - JM_LAMBDA) * share
+    if method == "lm_dirichlet":
+        return DIRICHLET_MU * share
+    raise ValueError(f"{method} has no background model")
+
+
+def _likelihoods(method: str, m: DataFrame) -> DataFrame:
+    """(qid, docno, score): log10 of the likelihood of the whole query, unmatched terms included.
+
+    A term that a document lacks adds the log of its background mass.  So the
+    sum splits into a constant of the query, as if nothing matched, and a
+    correction for each matched term: unmatched terms cost no row.  Terms that
+    the collection lacks say nothing about any document and are left out.
+    """
+    tf, dlen, times, rest = F.col("tf").cast("double"), F.col("dlen").cast("double"), F.col("qtf").cast("double"), _background(method)
+    matched = JM_LAMBDA * tf / dlen + rest if method == "lm_jm" else tf + rest
+    terms = m.select("qid", "term", "qtf", "ctf", "sum_tf").distinct()
+    query = terms.groupBy("qid").agg(exact_sum(times * F.log10(rest), SCORE_BITS).alias("_none"), F.sum("qtf").alias("_words"))
+    docs = m.groupBy("qid", "docno").agg(exact_sum(times * (F.log10(matched) - F.log10(rest)), SCORE_BITS).alias("_more"), F.max("dlen").alias("_dlen"))
+    length = F.lit(0.0) if method == "lm_jm" else F.col("_words") * F.log10(F.col("_dlen") + DIRICHLET_MU)
+    return docs.join(query, "qid").select("qid", "docno", (F.col("_more") + F.col("_none") - length).alias("score"))
+
+
 def _list_key(method: str, s: Column) -> Column:
     """What a term's list is ordered by: Laplace divides by the document's length only after the cut."""
     if method == "lm_laplace":
@@ -159,6 +186,7 @@ def score(
     mode: str = "literal",
     custom: Column | None = None,
     index: Index | None = None,
+    background: bool = False,
 ) -> DataFrame:
     """hits(qid, docno, method, score double, rank) — the top ``k`` documents per query.
 
@@ -166,16 +194,25 @@ def score(
 
     ``custom`` replaces the per-term score with any Column expression over
     ``tf, qtf, dlen, ulen, uvoc, df, ctf, num_docs, sum_tf, avg_dlen`` (summed).
+
+    ``background`` (``lm_jm``, ``lm_dirichlet``) scores documents with at least
+    one term by the log10 likelihood of the whole query, see :func:`_likelihoods`.
     """
+    if background:
+        _background(method)  # raises for other methods
+        if custom is not None or per_term_top:
+            raise ValueError("background scores the whole query: no custom score, no term lists")
     qt = query_terms(topics, raw_terms)
     if per_term_top is None:
-        per_term_top = method in TERM_LISTS
+        per_term_top = method in TERM_LISTS and not background
     if index is not None:
         m = _stored(qt, index, LIST_IMPACT.get(method) if per_term_top and custom is None else None, n)
     elif post is None:
         m = _matched(qt, corpus)
     else:
         m = _with_stats(qt, post, doc_stats(corpus) if stats is None else stats)
+    if background:
+        return topk_per_query(_likelihoods(method, m), k, method).select("qid", "docno", "method", "score", "rank")
     if custom is not None:
         s, combine = custom, "sum"
         key = s

@@ -76,3 +76,17 @@ def test_kfold_split_is_stable(spark, example):
     ds = FE.ltr_dataset(hits, qrels, methods=tuple(RANKINGS))
     folds = {r["fold"] for r in LT.kfold_split(ds).collect()}
     assert len(folds) == 1 and folds <= set(range(5))
+
+
+def test_equal_sums_tie_in_any_order_of_their_terms(spark):
+    from itertools import permutations
+
+    from ranklens.operators import ltr
+
+    values = (0.1, 0.3, 0.7, 1 / 3, 1 / 9)
+    rows = [("q", f"d{i:03d}", 0, *p) for i, p in enumerate(permutations(values))]
+    df = spark.createDataFrame(rows, "qid string, docno string, label int, f1 double, f2 double, f3 double, f4 double, f5 double")
+    for weights in ([0.2] * 5, [-0.1] * 5, [1e6] * 5):
+        got = ltr.linear_rerank(df, weights).orderBy("rank").collect()
+        assert [r.docno for r in got] == [r[1] for r in rows]  # one score: the documents' own order
+        assert len({r.score for r in got}) == 1 and abs(got[0].score - weights[0] * sum(values)) < 1e-9 * abs(weights[0])

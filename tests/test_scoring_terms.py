@@ -47,3 +47,30 @@ def test_all_methods_in_one_plan_agree_with_each_alone(spark):
     got = {(r.method, r.docno): r.score for r in scoring.score_many(topics, corpus, n=2).collect()}
     want = {(m, d): s for m in scoring.METHODS for d, s in _scores(spark, m, "alpha alpha beta", n=2).items()}
     _same(got, want)
+
+
+def test_background_mass_of_unmatched_terms(spark):
+    from math import log10
+
+    docs = {d: t.split() for d, t in CORPUS}
+    words = [w for t in docs.values() for w in t]
+    query = "alpha alpha beta sigma unknownword"
+    for method, mass in (
+        ("lm_jm", lambda t, d: 0.9 * d.count(t) / len(d) + (1 - 0.9) * words.count(t) / len(words)),
+        ("lm_dirichlet", lambda t, d: (d.count(t) + 1000 * words.count(t) / len(words)) / (len(d) + 1000)),
+    ):
+        want = {n: sum(log10(mass(t, d)) for t in query.split() if t in words) for n, d in docs.items()}
+        _same(_scores(spark, method, query, background=True), want)
+        # d3 lacks two of the terms, a document without any is no candidate
+        assert _scores(spark, method, "beta", background=True).keys() == {"d1"}
+        assert _scores(spark, method, "unknownword", background=True) == {}
+
+
+def test_only_smoothed_models_have_a_background(spark):
+    import pytest
+
+    for method in ("raw_tf", "bm25", "lm_laplace"):
+        with pytest.raises(ValueError):
+            _scores(spark, method, "alpha", background=True)
+    with pytest.raises(ValueError):
+        _scores(spark, "lm_jm", "alpha", background=True, per_term_top=True)
