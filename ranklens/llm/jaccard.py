@@ -139,10 +139,11 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     found = linked_rows(docs, n, percent, id_col, text_col).withColumn("at", F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "th"))
     first = found.where("size > 0").groupBy("component").agg(F.min("at").alias("at")).select("at.id", "at.th", F.lit(True).alias("once"))
     empty = found.where("size = 0").select("at.id", "at.th", F.lit(False).alias("once")).distinct()
-    stays = first.unionByName(empty).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("once").alias("__once"))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.col(text_col))}).join(stays, ["__id", "__th"])
-    again = F.row_number().over(Window.partitionBy("__id", "__th").orderBy("__once"))  # a row given twice stays once
-    return keyed.withColumn("__n", again).where("not __once or __n = 1").select(docs.columns)
+    stays = first.unionByName(empty)
+    # a given row is one column: its own columns may have any names
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.struct("*").alias("row"))
+    again = F.row_number().over(Window.partitionBy("id", "th").orderBy("once"))  # a row given twice stays once
+    return rows.join(stays, ["id", "th"]).withColumn("n", again).where("not once or n = 1").select("row.*")
 
 
 def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:

@@ -76,14 +76,13 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Scores of ``docs`` by the model that the tables of ``sf_dir`` train."""
-    weights = toxicity.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), usable=~held_out())
-    return toxicity.score(docs, weights, keep=keep)
+def toxic_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model that the tables of ``sf_dir`` train."""
+    return toxicity.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), usable=~held_out())
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = toxic_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
+    out = toxicity.score(_table(spark, sf_dir, "documents"), toxic_weights(spark, sf_dir))
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

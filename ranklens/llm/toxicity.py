@@ -132,14 +132,29 @@ def score(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col:
 
     ``weights`` is collected as the model: at most ``DIMENSIONS + 1`` rows.
     """
+    return _scored(docs, weights, id_col, text_col, keep).withColumnsRenamed({"id": id_col} | {f"k{i}": c for i, c in enumerate(keep)})
+
+
+def clean(docs: DataFrame, weights: DataFrame, below: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns (of any names), that score under ``below``."""
+    rest = tuple(c for c in docs.columns if c != id_col)
+    left = _scored(docs, weights, id_col, text_col, rest).where(F.col("score") < below)
+    own = {id_col: "id"} | {c: f"k{i}" for i, c in enumerate(rest)}
+    return left.select(*(F.col(own[c]).alias(c) for c in docs.columns))
+
+
+def _scored(docs: DataFrame, weights: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(id, k0, k1, ..., score), the kept columns by their numbers."""
     model = weights.where("weight <> 0").toPandas()
     w = np.zeros(DIMENSIONS + 1, np.float32)
     w[model["slot"].to_numpy(np.int64)] = model["weight"].to_numpy(np.float32)
     trained = len(model) > 0
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model["slot"].to_numpy(np.int32), w[model["slot"].to_numpy(np.int64)]))
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)))
-    kept = [f.name for f in src.schema if f.name not in ("id", "text")]
+    # a text to be kept that is a string already is sent once
+    same = [f"k{i}" for i, c in enumerate(keep) if c == text_col and docs.schema[c].dataType.simpleString() == "string"]
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep) if f"k{i}" not in same))
+    kept = [f.name for f in src.schema if f.name not in ("id", "text")] + (["text"] if same else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = np.zeros(DIMENSIONS + 1, np.float64)
@@ -155,4 +170,6 @@ def score(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col:
 
     types = {f.name: f.dataType.simpleString() for f in src.schema}
     out = src.mapInArrow(run, ", ".join([f"id {types['id']}", *(f"{c} {types[c]}" for c in kept), "score double"]))
-    return out.withColumnsRenamed({"id": id_col} | {f"k{i}": c for i, c in enumerate(keep)})
+    for c in same:
+        out = out.withColumn(c, F.col("text"))
+    return out.select("id", *(f"k{i}" for i in range(len(keep))), "score")
