@@ -513,6 +513,27 @@ ltr AS (SELECT f.qid, f.docno, CAST(CASE WHEN pq.rel > 0 THEN 1 ELSE 0 END AS IN
         FROM feat f LEFT JOIN pq ON f.qid = pq.qid AND f.docno = pq.docno)"""
 
 
+#: MAP along each weight from uniform weights: ranks counted anew after every swap of a query, then a running sum over all queries.
+LINE_CTE = """
+lx AS (SELECT qid, docno, label, feature, CAST(list_extract([f1, f2, f3, f4, f5], feature) AS DOUBLE) AS x,
+              list_sum(list_transform([f1, f2, f3, f4, f5], lambda v: round(0.2 * CAST(v AS DOUBLE) * 4503599627370496.0))) / 4503599627370496.0 AS s
+       FROM ltr, (SELECT unnest(range(1, 6)) AS feature)),
+lp AS (SELECT r.qid, r.feature, r.docno AS d, r.s - e.s AS ds, r.x - e.x AS dx, e.docno <= r.docno AS tie, e.label
+       FROM lx r JOIN lx e ON r.qid = e.qid AND r.feature = e.feature WHERE r.label > 0),
+lt AS (SELECT DISTINCT qid, feature, d, round(-ds / dx, 9) + 0.0 AS t FROM lp WHERE dx <> 0
+       UNION SELECT DISTINCT qid, feature, d, -1e300 FROM lp),
+lv AS (SELECT lt.qid, lt.feature, lt.d, lt.t,
+              sum(CASE WHEN up AND lp.label > 0 THEN 1 ELSE 0 END) / sum(CASE WHEN up THEN 1 ELSE 0 END) AS v
+       FROM lt JOIN LATERAL (SELECT lp.label, CASE WHEN dx = 0 THEN ds < 0 OR (ds = 0 AND tie)
+                                    WHEN dx > 0 THEN lt.t < round(-ds / dx, 9) ELSE lt.t >= round(-ds / dx, 9) END AS up
+                             FROM lp WHERE lp.qid = lt.qid AND lp.feature = lt.feature AND lp.d = lt.d) lp ON true
+       GROUP BY ALL),
+lc AS (SELECT qid, feature, t, v - coalesce(lag(v) OVER (PARTITION BY qid, feature, d ORDER BY t), 0) AS c FROM lv),
+ln AS (SELECT feature, t, sum(c / r) / (SELECT count(DISTINCT qid) FROM ltr) AS c
+       FROM lc JOIN (SELECT qid, sum(label) AS r FROM ltr GROUP BY qid) USING (qid) GROUP BY feature, t),
+line AS (SELECT CAST(feature AS INTEGER) AS feature, t, sum(c) OVER (PARTITION BY feature ORDER BY t) AS value,
+                lead(t) OVER (PARTITION BY feature ORDER BY t) AS until FROM ln)"""
+
 # ------------------------------------------------------------------ preferences (pairs materialised: brute force)
 
 MULTI_PREFS = """

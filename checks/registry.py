@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import oracle as O
 from ranklens.plans.evaluate import evaluate, evaluate_text
+from ranklens.session import written
 from ranklens.sources import tables as T
 
 REGISTRY: dict[str, tuple] = {}
@@ -424,17 +425,24 @@ def q_kfold_split(spark, sf):
     return LT.kfold_split(_ltr(spark, sf)).select("qid", "fold").distinct()
 
 
+@register("weight_line", f"""WITH {O.features_cte()},
+{O.LINE_CTE}
+SELECT feature, round(max(value), 6) AS best_map FROM line WHERE until IS NULL OR until - t > 1e-6 GROUP BY feature""")
+def q_weight_line(spark, sf):
+    feats = written(_ltr(spark, sf), "features")
+    best = LT.best_steps(LT.line_steps(feats, [(-1, [0.2] * 5)]), ("coord",))
+    return best.select((F.col("coord") + 1).alias("feature"), F.round("value", 6).alias("best_map"))
+
+
 @register("weight_search", None)
 def q_weight_search(spark, sf):
-    feats = _ltr(spark, sf).cache()
-    w, m = LT.weight_search(feats)
+    w, m = LT.weight_search(_ltr(spark, sf))
     return spark.createDataFrame([(i + 1, float(x), float(m)) for i, x in enumerate(w)], "feature int, weight double, train_map double")
 
 
 @register("cv_eval", None)
 def q_cv_eval(spark, sf):
-    feats = _ltr(spark, sf).cache()
-    return LT.cv_eval(feats, 5)
+    return LT.cv_eval(_ltr(spark, sf), 5)
 
 
 # ------------------------------------------------------------------ preferences
