@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import oracle as O
 from ranklens.plans.evaluate import evaluate, evaluate_text
 from ranklens.session import written
+from ranklens.sources import read_run
 from ranklens.sources import tables as T
 
 REGISTRY: dict[str, tuple] = {}
@@ -701,6 +702,17 @@ def q_write_run(spark, sf):
     return spark.read.text(path)
 
 
+@register("write_run_exact", f"""WITH {O.TEXT_CTE},
+{O.hits_cte('lm_dirichlet')}
+SELECT qid, docno, 'lm_dirichlet' AS run_id, round(score, 4) AS score, rank FROM top_lm_dirichlet WHERE rank <= 10""")
+def q_write_run_exact(spark, sf):
+    path = scratch_path(spark, "run_lines")
+    SK.write_run(SC.score("lm_dirichlet", T.topics(spark, sf), T.corpus(spark, sf)), path, exact=True)
+    run = read_run(spark, path)
+    order = Window.partitionBy("run_id", "qid").orderBy(F.col("sim").desc(), "docno")
+    return run.select("qid", "docno", "run_id", F.round(F.col("sim").cast("double"), 4).alias("score"), F.row_number().over(order).cast("long").alias("rank"))
+
+
 @register("write_report", None)
 def q_write_report(spark, sf):
     path = scratch_path(spark, "report")
@@ -751,7 +763,8 @@ def q_score_custom(spark, sf):
 
 
 _NAME_REQ = ["P.7,3", "iprec_at_recall..25,.5", "ndcg_cut.10", "utility.2,-1,0,0", "Rprec_mult.0.35"]
-_NAMES = [n for m in CAT.expand(_NAME_REQ) for n in m.names()]
+# fixed values: the output names of these requests as printed
+_NAMES = ["P_3", "P_7", "iprec_at_recall_0.25", "iprec_at_recall_0.50", "ndcg_cut_10", "utility_2,-1,0,0", "Rprec_mult_0.35"]
 
 
 @register("measure_names", f"""WITH {O.ranked_cte()}
