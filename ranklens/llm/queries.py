@@ -178,13 +178,15 @@ FROM v LEFT JOIN f USING (word) JOIN z ON z.word = v.word AND NOT EXISTS (SELECT
 
 _OP10_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+e AS (SELECT DISTINCT doc_id, ws FROM d),
 w AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
-      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
-r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM e)),
+f AS (SELECT g, min((doc_id, i)) AS first FROM w GROUP BY g),
+r AS (SELECT DISTINCT doc_id, i FROM w JOIN f USING (g) WHERE (doc_id, i) <> first),
 c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r),
-k AS (SELECT d.doc_id, p.i, d.ws[p.i] AS w
-      FROM d, LATERAL (SELECT unnest(range(1, len(d.ws) + 1)) AS i) p
-      WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = d.doc_id AND c.i = p.i)),
+k AS (SELECT e.doc_id, p.i, e.ws[p.i] AS w
+      FROM e, LATERAL (SELECT unnest(range(1, len(e.ws) + 1)) AS i) p
+      WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = e.doc_id AND c.i = p.i)),
 t AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS kept FROM k GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(t.n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
