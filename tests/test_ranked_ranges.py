@@ -132,3 +132,16 @@ def test_map_takes_eight_shuffles(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(re.findall(r"[-:] Exchange ", plan)) <= 8, plan
+
+
+def test_run_ids_need_no_order(spark):
+    """Runs with a ranked document in a judged topic, without windows over the lists."""
+    from ranklens.plans.evaluate import evaluate_text
+
+    run = spark.createDataFrame([("a", "1", "x", 1.0), ("a", "2", "y", 2.0), ("b", "3", "x", 1.0), ("c", "2", "z", None)], "run_id string, qid string, docno string, sim float")
+    qrels = spark.createDataFrame([("1", "x", -1), ("2", "y", 1), (None, "z", 1)], "qid string, docno string, rel int")
+    ids = lambda **k: sorted(r.value for r in evaluate_text(run, qrels, ["runid"], **k).collect())
+    assert ids() == ids(max_docs=1) == ["a", "c"] and ids(max_docs=0) == []
+    assert ids(judged_only=True) == ids(judged_only=True, max_docs=1) == ["a"]
+    plan = evaluate_text(run, qrels, ["runid"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
