@@ -145,3 +145,14 @@ def test_run_ids_need_no_order(spark):
     assert ids(judged_only=True) == ids(judged_only=True, max_docs=1) == ["a"]
     plan = evaluate_text(run, qrels, ["runid"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_only_lists_with_a_boundary_are_numbered(spark):
+    from ranklens.operators.ordered import range_of
+
+    rows = [("a", f"small {i:03d}", f"d{j}", float(j)) for i in range(200) for j in range(3)] + [("a", "zz long", f"d{j:04d}", float(j % 7)) for j in range(900)]
+    df = spark.createDataFrame(rows, RUN).repartition(4)
+    # all boundaries after the first lie in the long list; of the other lists at most one has a boundary
+    found = df.withColumn("range", range_of(df, rows=500)).groupBy("qid").agg(F.min("range").alias("lo"), F.max("range").alias("hi")).collect()
+    assert sum(x.hi > 0 for x in found if x.qid != "zz long") <= 2
+    assert any(x.hi > x.lo for x in found if x.qid == "zz long")
