@@ -75,3 +75,10 @@ def test_empty_corpus(spark, tmp_path):
     IX.write_index(spark.createDataFrame([], "docno string, text string"), str(tmp_path / "i"), buckets=2)
     topics = spark.createDataFrame([("q", "a")], "qid string, query string")
     assert SC.score("bm25", topics, spark.createDataFrame([], "docno string, text string")).collect() == []
+
+
+def test_postings_move_once_to_their_files(spark):
+    post = spark.createDataFrame([("w", "d", 1, 1, 1, 1)], "term string, docno string, tf long, dlen long, ulen long, uvoc long")
+    plan = IX.index_blocks(post, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert plan.count("hashpartitioning(bucket") == 1 and "hashpartitioning(term#" not in plan.split("BroadcastExchange")[0]
