@@ -2,6 +2,8 @@
 
 from math import isclose
 
+from pyspark.sql import functions as F
+
 from ranklens.operators import scoring
 
 # lengths 4, 8 and 12; collection: 24 words, alpha 1 + 2 + 3, beta 1
@@ -74,3 +76,18 @@ def test_only_smoothed_models_have_a_background(spark):
             _scores(spark, method, "alpha", background=True)
     with pytest.raises(ValueError):
         _scores(spark, "lm_jm", "alpha", background=True, per_term_top=True)
+
+
+def test_lists_of_terms_are_cut_once_for_all_queries(spark):
+    # more documents than groups of the bound, equal keys everywhere, null and empty names
+    rows = [(f"t{t}", d, 1 + (i * 7 + t) % 3, 5 + i % 4, 5, 4) for t in range(3) for i, d in enumerate([None, "", *(f"{i % 50}-{i}" for i in range(300)), "é1", "日本"])]
+    post = spark.createDataFrame(rows, "term string, docno string, tf long, dlen long, ulen long, uvoc long").repartition(5)
+    keys = {"bnn_bnn": F.lit(1.0), "lnc_ltn": F.log10(F.col("tf").cast("double")), "lm_jm": F.col("tf") / F.col("dlen")}
+    got = {}
+    for r in scoring._top_of_terms(post, keys, 4).collect():
+        got.setdefault((r.method, r.term), set()).add(r.docno)
+    plain = {"bnn_bnn": lambda r: 1.0, "lnc_ltn": lambda r: r[2], "lm_jm": lambda r: r[2] / r[3]}
+    for m, key in plain.items():
+        for t in ("t0", "t1", "t2"):
+            mine = sorted((r for r in rows if r[0] == t), key=lambda r: (-key(r), r[1] is not None, (r[1] or "").encode()))
+            assert got[m, t] == {r[1] for r in mine[:4]}, (m, t)
