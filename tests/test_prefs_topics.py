@@ -60,3 +60,17 @@ def test_topics_are_sent_once(spark, tables):
     for df in (PR.pref_counts(run, prefs), PR.pair_counts(run, prefs), PR.validate_prefs(prefs), PR.pref_positions(run, prefs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1 and "Join" not in plan, plan
+
+
+def test_topics_of_preferences_are_counted_without_their_levels(spark, tmp_path):
+    from ranklens.sources import tables as T
+
+    rows = [(1, 2, 3, 25.0, 0.03, "O", "N"), (1, 2, 3, 35.0, 0.07, "F", "A"), (1, 1, 4, 5.0, 0.0, "O", "R"), (None, 1, 4, None, None, None, None)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_tax double, l_linestatus string, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    p = T.multi_prefs(spark, str(tmp_path))
+    assert "max(" not in p.select("qid")._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.qid, r.jg, r.jsg, r.docno, r.rel_level) for r in p.collect()}
+    assert got == {("1", "0", "ls_O", "2-3", 3.0), ("1", "0", "rf_N", "2-3", 3.0), ("1", "1", "ls_O", "2-3", 2.0), ("1", "1", "rf_N", "2-3", 2.0),
+                   ("1", "0", "ls_O", "1-4", 0.0), ("1", "0", "rf_R", "1-4", 0.0), ("1", "1", "ls_O", "1-4", 0.0), ("1", "1", "rf_R", "1-4", 0.0),
+                   (None, "0", None, "1-4", None), (None, "1", None, "1-4", 0.0)}
+    assert p.count() == 12
