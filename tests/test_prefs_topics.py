@@ -74,3 +74,41 @@ def test_topics_of_preferences_are_counted_without_their_levels(spark, tmp_path)
                    ("1", "0", "ls_O", "1-4", 0.0), ("1", "0", "rf_R", "1-4", 0.0), ("1", "1", "ls_O", "1-4", 0.0), ("1", "1", "rf_R", "1-4", 0.0),
                    (None, "0", None, "1-4", None), (None, "1", None, "1-4", 0.0)}
     assert p.count() == 12
+
+
+@pytest.mark.parametrize("limit", [TP.SMALL_TOPIC, 60])
+def test_rows_by_document_equal_rows_one_by_one(spark, tables, monkeypatch, limit):
+    """Documents that lie by topic move once, on their way there; large topics and odd rows are the same."""
+    from pyspark.sql import functions as F
+
+    run, prefs = tables
+    prefs = prefs.unionByName(spark.createDataFrame([(None, "0", "s", "d1", 2.0), ("3", None, "s", None, 2.0), ("3", "0", "s", None, 1.0)], PREFS))
+    run = run.unionByName(spark.createDataFrame([("a", None, "d1", 2.0), (None, "3", "d1", 2.0), ("a", "3", None, 1.0)], RUN)).withColumn("run_id", F.coalesce("run_id", F.lit("run")))
+    both = prefs.select("qid", "docno", F.array(F.struct("jg", "jsg", "rel_level")).alias("judged"), F.expr("cast(array() as array<struct<run_id:string,sim:float>>)").alias("ranked"))
+    both = both.unionByName(run.select("qid", "docno", F.expr("cast(array() as array<struct<jg:string,jsg:string,rel_level:double>>)").alias("judged"), F.array(F.struct("run_id", "sim")).alias("ranked")))
+    docs = both.repartition("qid").groupBy("qid", "docno").agg(F.flatten(F.collect_list("judged")).alias("judged"), F.flatten(F.collect_list("ranked")).alias("ranked"))
+    docs = docs.withColumn("n", (F.size("judged") + F.size("ranked")).cast("long"))
+    monkeypatch.setattr(TP, "SMALL_TOPIC", limit)
+    for work in (PR.pref_counts, PR.pair_counts, PR.pref_positions, PR.pref_measures):
+        want = rows(work(run, prefs))
+        assert rows(work(run, prefs, docs=docs)) == want and want
+    if limit == TP.SMALL_TOPIC:
+        plan = PR.pref_counts(run, prefs, docs=docs)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan
+
+
+def test_documents_of_the_lines_hold_the_preferences_and_the_run(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from ranklens.sources import tables as T
+
+    lines = [
+        (1, 2, 3, 25.0, 0.03, "O", "N", 7.0, 0.0), (1, 2, 3, 35.0, 0.07, "F", "A", 9.0, 0.01), (1, 1, 4, 5.0, 0.0, "F", "R", 1.0, 0.04),
+        (1, 3, 4, 5.0, 0.0, "F", "R", 1.0, 0.03), (2, 1, 4, None, 0.0, None, "R", None, 0.05), (2, 1, None, 1.0, None, None, None, float("nan"), None),
+        (None, 1, 4, None, None, None, None, None, None), (None, 1, 4, 12.0, None, "O", None, 2.0, None), (2, 1, 4, None, 0.0, None, "R", None, 0.05),
+    ]
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_tax double, l_linestatus string, l_returnflag string, l_extendedprice double, l_discount double"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    docs = T.pref_docs(spark, str(tmp_path))
+    assert rows(docs.select("qid", "docno", F.inline("judged"))) == rows(T.multi_prefs(spark, str(tmp_path)))
+    assert rows(docs.select("qid", "docno", F.inline("ranked"))) == rows(T.prefs_run(spark, str(tmp_path)))
+    assert docs.where("n <> size(judged) + size(ranked)").isEmpty()
