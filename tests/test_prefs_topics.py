@@ -112,3 +112,47 @@ def test_documents_of_the_lines_hold_the_preferences_and_the_run(spark, tmp_path
     assert rows(docs.select("qid", "docno", F.inline("judged"))) == rows(T.multi_prefs(spark, str(tmp_path)))
     assert rows(docs.select("qid", "docno", F.inline("ranked"))) == rows(T.prefs_run(spark, str(tmp_path)))
     assert docs.where("n <> size(judged) + size(ranked)").isEmpty()
+
+
+def test_lines_move_as_numbers_whatever_their_values(spark, tmp_path):
+    """Small numbers and one-letter names move as one number; lines with other values are the same rows."""
+    from pyspark.sql import functions as F
+    from ranklens.sources import tables as T
+
+    lines = [
+        (1, 2, 3, 25.0, 0.03, "O", "N", 7.0, 0.0), (1, 255, (1 << 30) - 1, 2559.0, 0.07, "\x00", "\x7f", 9.0, 0.01), (1, 256, 3, 25.0, 0.03, "O", "N", 7.0, 0.0),
+        (1, -1, 1 << 30, 2560.0, 0.0, "", "R", 1.0, 0.04), (2, 3, -4, -5.0, 0.0, "OO", "é", 1.0, 0.03), (2, 1, 4, None, 0.0, None, "R", None, 0.05),
+        (2, None, 4, float("nan"), 0.0, "F", None, 3.0, 0.05), (2, 4, None, 1.0, None, "O", "A", 4.0, None), (2, 0, 0, 0.0, 0.06, "F", "A", 2.0, 0.0),
+    ]
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_tax double, l_linestatus string, l_returnflag string, l_extendedprice double, l_discount double"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    docs = T.pref_docs(spark, str(tmp_path))
+    assert rows(docs.select("qid", "docno", F.inline("judged"))) == rows(T.multi_prefs(spark, str(tmp_path)))
+    assert rows(docs.select("qid", "docno", F.inline("ranked"))) == rows(T.prefs_run(spark, str(tmp_path)))
+    plan = TP.doc_rows(docs)._jdf.queryExecution().executedPlan().toString()
+    moved = plan.split("Exchange", 1)[1]
+    assert "AS packed" in moved and "AS docno" not in moved and "Exchange" not in moved, plan
+    sizes = {r.qid: r["count"] for r in T.pref_sizes(spark, str(tmp_path)).collect()}
+    assert all(r.n <= sizes[r.qid] for r in docs.groupBy("qid").agg(F.sum("n").alias("n")).collect())
+
+
+@pytest.mark.parametrize("limit", [TP.SMALL_TOPIC, 30])
+def test_documents_are_counted_only_where_a_topic_may_be_large(spark, tmp_path, monkeypatch, limit):
+    from pyspark.sql import functions as F
+    from ranklens.sources import tables as T
+
+    lines = [(q, i % 40, i % 3, float(i * 7 % 50), i % 9 / 100, "OF"[i % 2], "NAR"[i % 3], float(i * 13 % 17), i % 10 / 100) for q, n in ((1, 4), (2, 7), (3, 90)) for i in range(n)]
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_tax double, l_linestatus string, l_returnflag string, l_extendedprice double, l_discount double"
+    sf = str(tmp_path)
+    spark.createDataFrame(lines, names).write.parquet(f"{sf}/lineitem.parquet")
+    monkeypatch.setattr(TP, "SMALL_TOPIC", limit)
+    docs, sizes = T.pref_docs(spark, sf), T.pref_sizes(spark, sf)
+    if limit == 2_048:
+        unread = docs.withColumn("n", F.raise_error(F.lit("documents were counted")).cast("long"))
+        assert TP.split_docs(unread, sizes)[1] is None
+    else:
+        large = TP.split_docs(docs, sizes)[1]
+        assert {r.qid for r in large(spark.createDataFrame([("1",), ("2",), ("3",)], "qid string")).collect()} == {"2", "3"}
+    for work in (PR.pref_counts, PR.pair_counts, PR.pref_positions, PR.pref_measures):
+        want = rows(work(T.prefs_run(spark, sf), T.multi_prefs(spark, sf)))
+        assert rows(work(T.prefs_run(spark, sf), T.multi_prefs(spark, sf), docs=docs, sizes=sizes)) == want and want
