@@ -91,3 +91,18 @@ def test_lists_of_terms_are_cut_once_for_all_queries(spark):
         for t in ("t0", "t1", "t2"):
             mine = sorted((r for r in rows if r[0] == t), key=lambda r: (-key(r), r[1] is not None, (r[1] or "").encode()))
             assert got[m, t] == {r[1] for r in mine[:4]}, (m, t)
+
+
+def test_only_lists_with_a_norm_are_brought_together(spark):
+    """Documents without a term list are cut to the best of each task before they move to their query."""
+    topics = spark.createDataFrame([("q", "alpha alpha beta"), ("r", "kappa gamma"), ("s", "nothing")], "qid string, query string")
+    corpus = spark.createDataFrame(CORPUS, "docno string, text string")
+    both = scoring.score_many(topics, corpus, ("lnc_ltn", "lm_dirichlet"), k=2)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    moved = plan.split("WindowGroupLimit", 2)[2]
+    assert "Partial" in moved.split("\n")[0] and "lm_dirichlet" in moved, plan
+    norm, every = moved.split("Union", 1)[1].split("Window [", 1)
+    assert "lm_dirichlet" not in norm + every.split("lm_dirichlet")[0] and "Window [" not in every.split("lm_dirichlet", 1)[1], plan
+    got = {(r.method, r.qid, r.docno): (r.score, r["rank"]) for r in both.collect()}
+    want = {(m, r.qid, r.docno): (r.score, r["rank"]) for m in ("lnc_ltn", "lm_dirichlet") for r in scoring.score(m, topics, corpus, k=2).collect()}
+    assert got == want and want
