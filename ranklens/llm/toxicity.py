@@ -19,7 +19,7 @@ out.  Columns other than id and text are never read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,8 @@ from ranklens.llm.wordhash import NOT_WORD, Texts, mix, ngrams, text_slices
 DIMENSIONS = 1 << 20
 #: Slot of the bias, past the hashed ones.
 BIAS = DIMENSIONS
+#: Bytes of text whose features a task holds at once (a longer text alone).
+SLICE = 1 << 20
 #: Offsets of the words in each kind of feature.
 KINDS = ((0,), (0, 1), (0, 2), (0, 3))
 
@@ -112,7 +114,7 @@ def train(
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.iloc[np.argsort(mix(rows["id"].map(hash).to_numpy().astype(np.int64)), kind="stable")]
         table = pa.RecordBatch.from_arrays([pa.array(rows["text"], pa.large_string()).cast(pa.large_string())], ["text"])
-        parts = [features(p.column("text")) for p in _chunks(table)]
+        parts = [features(p.column("text")) for p in text_slices(table, "text", SLICE)]
         slots = np.concatenate([s for s, _ in parts])
         sizes = np.concatenate([np.diff(o) for _, o in parts])
         at, w = ftrl(slots, np.concatenate([[0], np.cumsum(sizes)]), rows["label"].to_numpy(), alpha, beta, l1, l2, epochs)
@@ -122,54 +124,44 @@ def train(
     return fitted.groupBy("slot").agg((F.sum("weight") / F.lit(shards)).alias("weight"))
 
 
-def _chunks(table: pa.RecordBatch, rows: int = 64) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, table.num_rows, rows):
-        yield table.slice(lo, rows)
-
-
 def score(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, kept columns, score): the model's probability for every row.
 
     ``weights`` is collected as the model: at most ``DIMENSIONS + 1`` rows.
     """
-    return _scored(docs, weights, id_col, text_col, keep).withColumnsRenamed({"id": id_col} | {f"k{i}": c for i, c in enumerate(keep)})
+    return docs.select(id_col, *keep, _scorer(weights)(F.col(text_col).cast("string")).alias("score"))
 
 
 def clean(docs: DataFrame, weights: DataFrame, below: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns (of any names), that score under ``below``."""
-    rest = tuple(c for c in docs.columns if c != id_col)
-    left = _scored(docs, weights, id_col, text_col, rest).where(F.col("score") < below)
-    own = {id_col: "id"} | {c: f"k{i}" for i, c in enumerate(rest)}
-    return left.select(*(F.col(own[c]).alias(c) for c in docs.columns))
+    return docs.where(_scorer(weights)(F.col(text_col).cast("string")) < below)
 
 
-def _scored(docs: DataFrame, weights: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """(id, k0, k1, ..., score), the kept columns by their numbers."""
+def _scorer(weights: DataFrame) -> Callable[[Column], Column]:
+    """A text column -> its scores: only texts are sent to Python, and only scores come back."""
     model = weights.where("weight <> 0").toPandas()
     w = np.zeros(DIMENSIONS + 1, np.float32)
     w[model["slot"].to_numpy(np.int64)] = model["weight"].to_numpy(np.float32)
     trained = len(model) > 0
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model["slot"].to_numpy(np.int32), w[model["slot"].to_numpy(np.int64)]))
-    # a text to be kept that is a string already is sent once
-    same = [f"k{i}" for i, c in enumerate(keep) if c == text_col and docs.schema[c].dataType.simpleString() == "string"]
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep) if f"k{i}" not in same))
-    kept = [f.name for f in src.schema if f.name not in ("id", "text")] + (["text"] if same else [])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = weights.sparkSession.sparkContext.broadcast((model["slot"].to_numpy(np.int32), w[model["slot"].to_numpy(np.int64)]))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         full = np.zeros(DIMENSIONS + 1, np.float64)
         full[shared.value[0]] = shared.value[1]
         known = full != 0
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                slots, off = features(part.column("text"), known)
-                total = np.concatenate([[0], np.cumsum(full[slots])])
+
+        def found(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            slots, off = features(col, known)
+            return full[slots], np.diff(off)
+
+        for texts in batches:
+            out = [np.zeros(0)]
+            for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+                hits, sizes = zip(*(found(p.column("text")) for p in text_slices(part, "text", SLICE)))
+                total = np.concatenate([[0], np.cumsum(np.concatenate(hits))])
+                off = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
                 s = total[off[1:]] - total[off[:-1]]
-                p = 1 / (1 + np.exp(-np.clip(s, -35, 35))) if trained else np.zeros(len(s))
-                yield pa.RecordBatch.from_arrays([part.column("id"), *(part.column(c) for c in kept), pa.array(p)], ["id", *kept, "score"])
-
-    types = {f.name: f.dataType.simpleString() for f in src.schema}
-    out = src.mapInArrow(run, ", ".join([f"id {types['id']}", *(f"{c} {types[c]}" for c in kept), "score double"]))
-    for c in same:
-        out = out.withColumn(c, F.col("text"))
-    return out.select("id", *(f"k{i}" for i in range(len(keep))), "score")
+                out.append(1 / (1 + np.exp(-np.clip(s, -35, 35))) if trained else np.zeros(len(s)))
+            yield pa.array(np.concatenate(out))
+
+    return F.arrow_udf(run, "double")

@@ -95,3 +95,10 @@ def test_tokens_are_the_library_s(spark, tables):
 def test_empty_tables(spark, tables, name):
     docs, got = _stage(spark, tables, name, "false")
     assert got.count() == 0 and (name == "bpe" or got.columns == docs.columns)
+
+
+def test_toxicity_sends_texts_and_takes_scores(spark, tables):
+    """Other columns stay where they are, and the text doesn't come back."""
+    plan = _stage(spark, tables, "toxicity")[1]._jdf.queryExecution().executedPlan().toString()
+    sent = [x for x in plan.split("\n") if "ArrowEvalPython" in x]
+    assert len(sent) == 1 and "(text#" in sent[0] and "MapInArrow" not in plan, sent
