@@ -82,3 +82,49 @@ def test_postings_move_once_to_their_files(spark):
     plan = IX.index_blocks(post, 4)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
     assert plan.count("hashpartitioning(bucket") == 1 and "hashpartitioning(term#" not in plan.split("BroadcastExchange")[0]
+
+
+def _left(spark):
+    """Shuffle files of the session on disk now."""
+    import glob
+    import os
+
+    return {os.path.basename(f) for d in glob.glob(spark.conf.get("spark.local.dir", "/tmp").rstrip("/") + "/blockmgr-*") for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_postings_are_counted_inside_rows_and_documents_given_twice_are_added_up(spark, tmp_path):
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(30)] + ["the"]
+    rows_ = [(f"d{i % 40}" if i % 17 else None, " ".join(r.choice(words) for _ in range(r.randint(0, 60)))) for i in range(90)]
+    rows_ += [("d1", None), ("long", "w1 " * 3000 + "w2"), ("long", "w1")]
+    corpus = spark.createDataFrame(rows_, "docno string, text string").repartition(3)
+    each = IX.row_postings(corpus)
+    plan = each._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    whole = IX.all_postings(corpus)
+    from pyspark.sql import functions as F
+
+    assert rows(each.groupBy("term", "docno").agg(F.sum("tf").alias("tf"), *(F.max(c).alias(c) for c in ("dlen", "ulen", "uvoc")))) == rows(whole)
+    for rounds in (1, 2, 7):
+        path = str(tmp_path / f"i{rounds}")
+        IX.write_index(corpus, path, buckets=3, block=8, salt_postings=20, rounds=rounds)
+        index = IX.read_index(spark, path, buckets=3)
+        assert rows(index.postings()) == rows(whole.where("term <> ''"))
+        assert rows(index.term_stats()) == rows(IX.term_stats(whole.where("term <> ''")))
+        # a document's list of itself holds it once, however often it was given
+        assert rows(index.doc_stats()) == rows(whole.where("term = ''").select("docno", "dlen", "ulen", "uvoc"))
+
+
+def test_shuffle_files_go_when_an_index_is_written(spark, tmp_path):
+    import time
+
+    corpus = spark.createDataFrame([(f"d{i}", f"a{i} b c") for i in range(50)], "docno string, text string").repartition(3)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    before = _left(spark)
+    IX.write_index(corpus, str(tmp_path / "i"), buckets=2)
+    for _ in range(50):
+        left = _left(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
