@@ -85,11 +85,11 @@ def test_postings_move_once_to_their_files(spark):
 
 
 def _left(spark):
-    """Shuffle files of the session on disk now."""
-    import glob
+    """Shuffle files of this session on disk now."""
     import os
 
-    return {os.path.basename(f) for d in glob.glob(spark.conf.get("spark.local.dir", "/tmp").rstrip("/") + "/blockmgr-*") for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    tops = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {f for top in tops for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
 
 
 def test_postings_are_counted_inside_rows_and_documents_given_twice_are_added_up(spark, tmp_path):
